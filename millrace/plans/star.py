@@ -189,7 +189,7 @@ where ln <= 2"""
     k = "c_custkey"
     place = [_pick([p[i] for p in PLACES], d.div(k, 3)) for i in range(4)]
     t["customer"] = f"""
-select {k} + 1 as c_customer_sk, {_id('C', k)} as c_customer_id, ({k} - {k} % 5) + 1 as c_current_cdemo_sk,
+select {k} + 1 as c_customer_sk, {_id('C', k)} as c_customer_id, ({k} - {k} % 20) + 1 as c_current_cdemo_sk,
        ({k} - {k} % 7) + 1 as c_current_hdemo_sk, {k} + 1 as c_current_addr_sk,
        2440588 + 9500 + ({k} * 37) % 1500 as c_first_sales_date_sk,
        2440588 + 9530 + ({k} * 37) % 1500 as c_first_shipto_date_sk,
