@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import work_dir
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared work folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
 
 class Source:
     """``s.orders`` is the Parquet table of that name in the folder."""
