@@ -122,14 +122,27 @@ def _change_log(s):
     return s.events.select(js.parse(F.to_json(F.struct(tx.alias("transaction")))).alias("record_content"))
 
 
+_landed: dict[tuple[str, str], str] = {}
+
+
+def _landing(s):
+    """The landing table the feed arrives in, written once per session and source."""
+    place = (s.spark.sparkContext.applicationId, s.folder)
+    if place not in _landed:
+        path = scratch(s.spark, "landing")
+        _change_log(s).write.parquet(path)
+        _landed[place] = path
+    return s.spark.read.parquet(_landed[place])
+
+
 def _order_changes(s):
-    return cd.only_source(cd.change_columns(_change_log(s), fields=CHANGE_FIELDS), "PROD", "LIMIT_ORDERS")
+    return cd.only_source(cd.change_columns(_landing(s), fields=CHANGE_FIELDS), "PROD", "LIMIT_ORDERS")
 
 
 @query
 def cdc_sources(s):
     """Counts per source table of the feed."""
-    return cd.landing_counts(cd.change_columns(_change_log(s)), "source_schema", "source_table", "action")
+    return cd.landing_counts(cd.change_columns(_landing(s)), "source_schema", "source_table", "action")
 
 
 def _shown_state(df):

@@ -211,7 +211,7 @@ select {k} + 1 as ca_address_sk, cast(1 + ({k} * 7) % 999 as varchar(10)) as ca_
        case when {k} % 3 = 0 then {place[1]} else {_pick(COUNTIES, d.div(k, 2))} end as ca_county,
        case when {k} % 3 = 0 then {place[2]} else {_pick(STATES, d.div(k, 4))} end as ca_state,
        case when {k} % 3 = 0 then {place[3]} else {_pick(ZIPS, d.div(k, 5))} end as ca_zip,
-       'United States' as ca_country, case when {d.div(k, 3)} % 3 = 0 then -6 else -5 end as ca_gmt_offset,
+       'United States' as ca_country, cast(case when {d.div(k, 3)} % 3 = 0 then -6 else -5 end as bigint) as ca_gmt_offset,
        {_pick(['apartment', 'condo', 'single family'], k)} as ca_location_type
 from src_customer"""
     t["customer_demographics"] = f"""
@@ -274,7 +274,7 @@ from src_part"""
     t["store"] = f"""
 select {b10} + 1 as s_store_sk, {_id('S', b10)} as s_store_id, {_pick(['ese', 'ought', 'able', 'pri', 'ese', 'anti'], b10)} as s_store_name,
        200 + {b10} % 100 as s_number_employees, case when {b10} % 4 in (0, 1) then 8 else 3 end as s_market_id,
-       1 as s_company_id, 'Unknown' as s_company_name, cast(100 + {b10} as varchar(10)) as s_street_number,
+       cast(1 as bigint) as s_company_id, 'Unknown' as s_company_name, cast(100 + {b10} as varchar(10)) as s_street_number,
        'Market' as s_street_name, 'Street' as s_street_type, concat('Suite ', cast({b10} % 10 as varchar(10))) as s_suite_number,
        {sp[0]} as s_city, {sp[1]} as s_county, {sp[2]} as s_state, {sp[3]} as s_zip,
        case when {b10} % 2 = 0 then -6 else -5 end as s_gmt_offset

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans.star import RENAMED_SOURCES, needed_tables, star_sql
+from millrace.plans.star import RENAMED_SOURCES, star_sql
 from millrace.session import work_dir
 
 _lock = threading.Lock()
@@ -57,16 +58,25 @@ class DerivedTables:
             raise AttributeError(name)
         path = f"{self._root}/{name}"
         with _lock:
-            if name not in self._done:
-                self._write(name, path)
-                self._done.add(name)
+            self._ensure(name)
         return self._spark.read.parquet(path)
 
+    def _ensure(self, name: str) -> None:
+        if name in self._done:
+            return
+        text = self._texts[name]
+        # facts are cut from one written table of priced order lines
+        for shared in ("sale_line", "sale_amounts"):
+            if shared != name and re.search(rf"\b{shared}\b", text):
+                self._ensure(shared)
+        self._write(name, f"{self._root}/{name}")
+        self._done.add(name)
+
     def _write(self, name: str, path: str) -> None:
         text = self._texts[name]
         ctes = [f"{src} as (select * from parquet.`{self._source}/{src}.parquet`)" for src in ("lineitem", "orders")]
         ctes += [f"{alias} as (select * from parquet.`{self._source}/{src}.parquet`)" for alias, src in RENAMED_SOURCES.items()]
-        ctes += [f"{n} as ({self._texts[n]})" for n in needed_tables(self._texts, text)]
+        ctes += [f"{n} as (select * from parquet.`{self._root}/{n}`)" for n in ("sale_line", "sale_amounts") if n in self._done]
         df = self._spark.sql(f"with {', '.join(ctes)} {text}")
         dates = [c for c in df.columns if c.endswith(("_sold_date_sk", "_returned_date_sk", "inv_date_sk"))]
         if dates:

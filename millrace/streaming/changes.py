@@ -20,15 +20,20 @@ def change_columns(records: DataFrame, column: str = "record_content", fields: d
     """Typed columns of a change record ``{transaction: {schema, table, action, ..}}``.
 
     ``fields`` maps an output column to (name in the record, type); each is taken
-    from the record after the change, ``before_<name>`` from the one before.
+    from the record after the change, ``before_<name>`` from the one before.  The
+    record is walked once: one typed read of the transaction, then plain fields.
+    A value that does not convert is an error, a missing one is NULL.
     """
-    base = {"source_schema": ("schema", "string"), "source_table": ("table", "string"), "action": ("action", "string"),
-            "key": ("primaryKey_tokenized", "string"), "committed_at": ("committed_at", "bigint"), "dbuser": ("dbuser", "string")}
-    cols = [json_get(column, f"transaction.{p}", t).alias(n) for n, (p, t) in base.items()]
-    for n, (p, t) in (fields or {}).items():
-        cols.append(json_get(column, f"transaction.record_after.{p}", t).alias(n))
-        cols.append(json_get(column, f"transaction.record_before.{p}", t).alias(f"before_{n}"))
-    return records.select(*cols)
+    fields = fields or {}
+    image = ", ".join(f"`{p}`: {t}" for p, t in fields.values())
+    images = f", record_before: struct<{image}>, record_after: struct<{image}>" if fields else ""
+    kind = f"struct<schema: string, `table`: string, action: string, primaryKey_tokenized: string, committed_at: bigint, dbuser: string{images}>"
+    t = records.select(F.variant_get(F.col(column), "$.transaction", kind).alias("t"))
+    cols = [F.col("t.schema").alias("source_schema"), F.col("t.table").alias("source_table"), F.col("t.action").alias("action"),
+            F.col("t.primaryKey_tokenized").alias("key"), F.col("t.committed_at").alias("committed_at"), F.col("t.dbuser").alias("dbuser")]
+    for n, (p, _) in fields.items():
+        cols += [F.col(f"t.record_after.{p}").alias(n), F.col(f"t.record_before.{p}").alias(f"before_{n}")]
+    return t.select(*cols)
 
 
 def only_source(changes: DataFrame, schema: str, table: str) -> DataFrame:

@@ -70,7 +70,7 @@ SQL["rollup_grouping"] = """select r_name, n_name, sum(o_totalprice::decimal(12,
   from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey group by rollup (r_name, n_name)"""
 _k8 = "p_type, p_brand, p_size, yr, qtr, mo, l_returnflag, l_linestatus"
 SQL["rollup8_top100"] = top(f"""select *, rank() over (partition by p_type order by sumsales desc nulls first) as rk from (select {_k8}, sum(v)::double as sumsales from (
-  select p_type, p_brand, p_size, year(o_orderdate) as yr, quarter(o_orderdate) as qtr, month(o_orderdate) as mo, l_returnflag, l_linestatus, {REV} as v
+  select p_type, p_brand, p_size::bigint as p_size, year(o_orderdate) as yr, quarter(o_orderdate) as qtr, month(o_orderdate) as mo, l_returnflag, l_linestatus, {REV} as v
   from lineitem join part on p_partkey = l_partkey join orders on o_orderkey = l_orderkey where year(o_orderdate) = 1998) group by rollup ({_k8})) qualify rk <= 100""", _k8 + ", sumsales, rk")
 SQL["count_distinct_multi"] = "select l_returnflag, count(distinct l_partkey) as parts, count(distinct l_suppkey) as suppliers, count(distinct l_quantity) as quantities, count(*) as n from lineitem group by all"
 SQL["stddev_cov"] = f"select l_partkey, count(*) as n, {mean('l_quantity::bigint')} as mean, {sdev('l_quantity')} as stdev, {sdev('l_quantity')} / nullif({mean('l_quantity::bigint')}, 0) as cov from lineitem group by all having cov > 0.7 or n = 1"

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-SQL["json_path_cast"] = "select event_type, sum(k)::bigint as sum_k, max(k) as max_k, max(k::varchar) as max_text, 0 as absent, count(*) as n from (select event_type, (props->>'$.k')::bigint as k from events) group by all"
-SQL["json_paths_deep"] = """select o_orderdate::date::varchar as day, count(*) as n, sum(o_custkey)::bigint as cust, count(*) filter (n >= 4) as with_fourth, 0 as never
+SQL["json_path_cast"] = "select event_type, sum(k)::bigint as sum_k, max(k) as max_k, max(k::varchar) as max_text, 0::bigint as absent, count(*) as n from (select event_type, (props->>'$.k')::bigint as k from events) group by all"
+SQL["json_paths_deep"] = """select o_orderdate::date::varchar as day, count(*) as n, sum(o_custkey)::bigint as cust, count(*) filter (n >= 4) as with_fourth, 0::bigint as never
   from orders join (select l_orderkey, count(*) as n from lineitem group by all) on l_orderkey = o_orderkey group by all"""
 SQL["json_flatten"] = "select l_partkey as part, sum(l_quantity)::bigint as quantity, count(*) as n from lineitem join orders on o_orderkey = l_orderkey group by all"
-SQL["json_flatten_nested"] = """select 0 as pos, l_returnflag as extra, count(*) as n, sum(l_quantity)::bigint as quantity from lineitem join orders on o_orderkey = l_orderkey group by all
+SQL["json_flatten_nested"] = """select 0::bigint as pos, l_returnflag as extra, count(*) as n, sum(l_quantity)::bigint as quantity from lineitem join orders on o_orderkey = l_orderkey group by all
   union all select 1, l_linestatus, count(*), sum(l_quantity)::bigint from lineitem join orders on o_orderkey = l_orderkey group by all"""
 SQL["object_nest_address"] = """select '{"c_address":[{"n_name":"' || n_name || '","r_name":"' || r_name || '"}],"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}' as customer
   from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey"""
@@ -45,14 +45,14 @@ SQL["json_round_trip_counts"] = "select 'source' as location, count(*) as n_rows
 SQL["csv_round_trip_values"] = "select s_suppkey, 'say \"' || s_name || '\", twice' as note, s_acctbal from supplier"
 SQL["copy_into_once"] = """select o_orderstatus, count(*) as n, load from orders, (select unnest([1, 2, 3])::bigint as load) where o_orderstatus = 'F' or (o_orderstatus = 'O' and load = 3) group by all"""
 SQL["ingest_pipe"] = "select n_regionkey::bigint as n_regionkey, count(*) as n, count(*) as stamped from nation group by all"
-_col = lambda i, n, t, d, c="count(*)": f"select {i} as position, '{n}' as name, {c} as n_values, '{t}' as type, '{d}' as declared from lineitem"
+_col = lambda i, n, t, d, c="count(*)": f"select {i}::bigint as position, '{n}' as name, {c} as n_values, '{t}' as type, '{d}' as declared from lineitem"
 SQL["infer_csv_schema"] = " union all ".join([_col(1, "l_orderkey", "bigint", "number(38,0)"), _col(2, "l_linenumber", "bigint", "number(38,0)"), _col(3, "l_extendedprice", "double", "double"),
                                               _col(4, "l_returnflag", "string", "string"), _col(5, "l_shipdate", "date", "date"), _col(6, "nothing", "string", "string", "count(*) filter (l_linenumber > 99)")])
 SQL["inferred_table_text"] = """select string_agg(line, chr(10) order by i) as ddl from (values (1, 'create or replace table SUPPLIER'), (2, '('), (3, '"S_SUPPKEY" number(38,0),'), (4, '"S_NAME" string,'),
   (5, '"S_NATIONKEY" number(38,0),'), (6, '"S_ACCTBAL" double'), (7, ');')) t(i, line) where exists (from supplier)"""
 SQL["positional_load"] = "select p_size::bigint as size, count(*) as n, sum(p_retailprice::decimal(10,2))::double as price from part where p_size <= 25 group by all"
 SQL["null_tokens"] = "select c_custkey % 5 as rest, count(*) as n, count(*) filter (c_custkey % 5 >= 3) as known from customer group by all"
-SQL["gen_rows"] = "select count(*) as n_rows, count(*) * (count(*) + 1) // 2 as sum_n, 10 as shortest, 10 as longest from orders"
+SQL["gen_rows"] = "select count(*) as n_rows, count(*) * (count(*) + 1) // 2 as sum_n, 10::bigint as shortest, 10::bigint as longest from orders"
 SQL["list_files"] = "select least(3, count(*)) as files, least(3, count(*)) as filled from orders"
 SQL["peek_rows"] = "select least(10, count(*)) as n, least(10, count(*)) as second from orders"
 SQL["json_variant_scan"] = "select c_mktsegment as segment, count(*) as n, sum(c_custkey)::bigint as keys from customer group by all"
