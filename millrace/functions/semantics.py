@@ -83,18 +83,39 @@ def split_part(c, delimiter: str, n: int) -> Column:
     return F.split_part(_col(c), F.lit(delimiter), F.lit(n))
 
 
-def try_exact_integer(c) -> Column:
-    return F.expr(f"try_cast(trim({c}) as bigint)")
+_INTEGER = "^[+-]?[0-9]+$"
+_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
-def try_exact_date(c, fmt: str | None = None) -> Column:
+def lenient_cast(text: str, kind: str) -> str:
+    """SQL text: ``text`` (SQL for a trimmed string) as ``kind``, NULL where it does not parse.
+
+    A failing numeric ``try_cast`` raises and catches inside the parser for every
+    row, some ten microseconds each; the pattern keeps such text away from it.
+    """
+    if kind in ("bigint", "int", "smallint"):
+        return f"case when {text} rlike '{_INTEGER}' then try_cast({text} as {kind}) end"
+    if kind in ("double", "float") or kind.startswith("decimal"):
+        special = f" or lower({text}) in ('nan', 'infinity', '-infinity')" if kind in ("double", "float") else ""
+        return f"case when {text} rlike '{_NUMBER}'{special} then try_cast({text} as {kind}) end"
+    if kind == "date":  # a cast alone would drop a time of day
+        return f"case when {text} rlike '{_DATE}' then try_cast({text} as date) end"
+    return f"try_cast({text} as {kind})"
+
+
+def try_exact_integer(c: str) -> Column:
+    return F.expr(lenient_cast(f"trim(`{c}`)", "bigint"))
+
+
+def try_exact_date(c: str, fmt: str | None = None) -> Column:
     if fmt:
-        return F.try_to_date(F.trim(_col(c)), fmt)
-    return F.expr(f"try_cast(trim({c}) as date)")
+        return F.try_to_date(F.trim(F.col(c)), fmt)
+    return F.expr(lenient_cast(f"trim(`{c}`)", "date"))
 
 
-def try_to_double(c) -> Column:
-    return F.expr(f"try_cast(trim({c}) as double)")
+def try_to_double(c: str) -> Column:
+    return F.expr(lenient_cast(f"trim(`{c}`)", "double"))
 
 
 def decrypt_text(c, key: Column | str) -> Column:

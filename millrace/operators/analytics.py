@@ -145,12 +145,21 @@ def predict(model, df: DataFrame) -> DataFrame:
                          *[p[i].alias(f"probability_{x}") for i, x in enumerate(labels)])
 
 
-def importance(model) -> DataFrame:
-    """Weight of each input, largest first."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.active()
+def importance(model, df: DataFrame) -> DataFrame:
+    """Weight of each input, largest first.
+
+    Trees bring their own importances; a linear model's coefficients are scaled by
+    the spread of their inputs in ``df``, so that inputs of different units compare.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.stat import Summarizer
     last = model.stages[-1]
-    weights = (last.featureImportances if hasattr(last, "featureImportances") else last.coefficients).toArray()
+    if hasattr(last, "featureImportances"):
+        weights = last.featureImportances.toArray()
+    else:
+        inputs = PipelineModel(model.stages[1:-1]).transform(df)
+        spread = inputs.agg(Summarizer.std(F.col("__features")).alias("s")).first()["s"].toArray()  # one number per input
+        weights = abs(last.coefficients.toArray()) * spread
     names, at = [], 0
     for c in model.stages[-2].getInputCols():
         width = 1
@@ -158,8 +167,8 @@ def importance(model) -> DataFrame:
             width = next(s for s in model.stages if getattr(s, "getOutputCols", None) and s.isSet("outputCol") and s.getOutputCol() == c).categorySizes[0] - 1
         names.append((c.removeprefix("__").removesuffix("_v"), at, at + width))
         at += width
-    rows = [(n, float(sum(abs(w) for w in weights[a:b]))) for n, a, b in names]
-    return spark.createDataFrame(rows, "feature string, score double").orderBy(F.desc("score"), "feature")
+    rows = [(n, float(sum(weights[a:b]))) for n, a, b in names]
+    return df.sparkSession.createDataFrame(rows, "feature string, score double").orderBy(F.desc("score"), "feature")
 
 
 def confusion(df: DataFrame, label: str, predicted: str) -> DataFrame:

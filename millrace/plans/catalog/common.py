@@ -16,6 +16,9 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 class Source:
     """``s.orders`` is the Parquet table of that name in the folder."""
 
@@ -25,7 +28,11 @@ class Source:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        known = (self.spark.sparkContext.applicationId, path)
+        if known not in _schemas:  # read the footer once per session
+            _schemas[known] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[known]).parquet(path)
 
 
 def plain(df: DataFrame) -> DataFrame:

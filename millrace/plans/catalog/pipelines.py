@@ -588,7 +588,8 @@ def classifier_predictions(s):
 
 @query
 def feature_importance(s):
-    return an.importance(an.train_classifier(_training(s), "subscribed", ["p_type"], ["l_quantity", "l_discount", "l_tax"], trees=False))
+    df = _training(s)
+    return an.importance(an.train_classifier(df, "subscribed", ["p_type"], ["l_quantity", "l_discount", "l_tax"]), df)
 
 
 @query

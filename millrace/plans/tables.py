@@ -7,6 +7,7 @@ import re
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from millrace.plans.star import RENAMED_SOURCES, star_sql
 from millrace.session import work_dir
@@ -52,6 +53,7 @@ class DerivedTables:
         self._root = f"{work_dir(spark)}/star-{tag}"
         self._texts = star_sql("spark")
         self._done: set[str] = set()
+        self._schemas: dict[str, StructType] = {}  # a known schema saves a footer job per use
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -59,7 +61,9 @@ class DerivedTables:
         path = f"{self._root}/{name}"
         with _lock:
             self._ensure(name)
-        return self._spark.read.parquet(path)
+            if name not in self._schemas:
+                self._schemas[name] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(self._schemas[name]).parquet(path)
 
     def _ensure(self, name: str) -> None:
         if name in self._done:
@@ -74,10 +78,12 @@ class DerivedTables:
 
     def _write(self, name: str, path: str) -> None:
         text = self._texts[name]
-        ctes = [f"{src} as (select * from parquet.`{self._source}/{src}.parquet`)" for src in ("lineitem", "orders")]
-        ctes += [f"{alias} as (select * from parquet.`{self._source}/{src}.parquet`)" for alias, src in RENAMED_SOURCES.items()]
-        ctes += [f"{n} as (select * from parquet.`{self._root}/{n}`)" for n in ("sale_line", "sale_amounts") if n in self._done]
-        df = self._spark.sql(f"with {', '.join(ctes)} {text}")
+        words = set(re.findall(r"\w+", text))
+        sources = {src: f"{self._source}/{src}.parquet" for src in ("lineitem", "orders")}
+        sources |= {alias: f"{self._source}/{src}.parquet" for alias, src in RENAMED_SOURCES.items()}
+        sources |= {n: f"{self._root}/{n}" for n in ("sale_line", "sale_amounts") if n in self._done}
+        ctes = [f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words]
+        df = self._spark.sql((f"with {', '.join(ctes)} " if ctes else "") + text)
         dates = [c for c in df.columns if c.endswith(("_sold_date_sk", "_returned_date_sk", "inv_date_sk"))]
         if dates:
             df = df.sortWithinPartitions(dates[0])

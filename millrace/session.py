@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+_local_folders: dict[str, str] = {}
+
 
 def local_session(cpus: int = 8, partitions: int = 8, app: str = "millrace") -> SparkSession:
     """A single-JVM session for tests and the bench; a cluster brings its own session."""
@@ -31,6 +33,8 @@ def work_dir(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="millrace-")
+        folder = _local_folders[app]
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.semantics import lenient_cast
+
 
 def blank_to_null(df: DataFrame, tokens=("",)) -> DataFrame:
     """NULL for every text value that is one of the tokens."""
@@ -38,12 +40,12 @@ def read_csv(spark: SparkSession, path, schema=None, header: bool = False, delim
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns cast to a schema, NULL where the text does not parse."""
-    return df.select(*[F.expr(f"try_cast(`{f.name}` as {f.dataType.simpleString()})").alias(f.name) for f in schema.fields])
+    return df.select(*[F.expr(lenient_cast(f"`{f.name}`", f.dataType.simpleString())).alias(f.name) for f in schema.fields])
 
 
 def positional(df: DataFrame, names, types) -> DataFrame:
     """Columns by position (``$1``, ``$2`` ..) cast and named."""
-    return df.select(*[F.expr(f"try_cast(trim(`{c}`) as {t})").alias(n) for c, n, t in zip(df.columns, names, types)])
+    return df.select(*[F.expr(lenient_cast(f"trim(`{c}`)", t)).alias(n) for c, n, t in zip(df.columns, names, types)])
 
 
 def by_path(df: DataFrame, pattern: str) -> DataFrame:
@@ -73,14 +75,6 @@ def peek(spark: SparkSession, path, n: int = 10) -> DataFrame:
 
 # narrowest first; an exact integer rejects 1.5, a double accepts it
 _KINDS = (("bigint", "number(38,0)"), ("double", "double"), ("date", "date"), ("timestamp", "timestamp"))
-_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-
-
-def _parses(text: str, kind: str) -> str:
-    # a failing cast to double raises inside the parser, which is slow on text columns
-    if kind == "double":
-        return f"({text} rlike '{_NUMBER}' or lower({text}) in ('nan', 'infinity', '-infinity'))"
-    return f"try_cast({text} as {kind}) is not null"
 
 
 def infer_csv_schema(df: DataFrame) -> DataFrame:
@@ -93,7 +87,7 @@ def infer_csv_schema(df: DataFrame) -> DataFrame:
     for i, c in enumerate(df.columns):
         text = f"nullif(trim(`{c}`), '')"
         aggs.append(F.expr(f"count({text})").alias(f"n{i}"))
-        aggs += [F.expr(f"count_if({_parses(text, k)})").alias(f"n{i}_{k}") for k, _ in _KINDS]
+        aggs += [F.expr(f"count({lenient_cast(text, k)})").alias(f"n{i}_{k}") for k, _ in _KINDS]
     counts = df.agg(*aggs)
     rows = []
     for i, c in enumerate(df.columns):
@@ -120,8 +114,8 @@ def typed_load(df: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, Da
     bad = F.lit(False)
     for f in schema.fields:
         text = f"nullif(trim(`{f.name}`), '')"
-        bad = bad | F.expr(f"{text} is not null and try_cast({text} as {f.dataType.simpleString()}) is null")
-    values = [F.expr(f"try_cast(nullif(trim(`{f.name}`), '') as {f.dataType.simpleString()})").alias(f.name) for f in schema.fields]
+        bad = bad | F.expr(f"{text} is not null and ({lenient_cast(text, f.dataType.simpleString())}) is null")
+    values = [F.expr(lenient_cast(f"nullif(trim(`{f.name}`), '')", f.dataType.simpleString())).alias(f.name) for f in schema.fields]
     return df.where(~bad).select(*values), df.where(bad)
 
 
