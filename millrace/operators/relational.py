@@ -44,12 +44,22 @@ def full_join(a: DataFrame, b: DataFrame, keys) -> DataFrame:
     return a.join(b, list(keys), "full")
 
 
-def semi_join(a, b, *pairs):
-    return a.join(b, on(*pairs), "left_semi")
+def _once(b, pairs):
+    return b.select(*dict.fromkeys(k for _, k in pairs)).distinct()
 
 
-def anti_join(a, b, *pairs):
-    return a.join(b, on(*pairs), "left_anti")
+def semi_join(a, b, *pairs, many: bool = False):
+    """Rows of ``a`` with a partner in ``b``.
+
+    ``many`` is for a large ``b`` that repeats its keys: they are made distinct
+    map-side first, so a key that owns a third of ``b`` is one row in the join.
+    """
+    return a.join(_once(b, pairs) if many else b, on(*pairs), "left_semi")
+
+
+def anti_join(a, b, *pairs, many: bool = False):
+    """Rows of ``a`` without a partner in ``b``; ``many`` as for ``semi_join``."""
+    return a.join(_once(b, pairs) if many else b, on(*pairs), "left_anti")
 
 
 def exists_any(a: DataFrame, others, key: str) -> DataFrame:
@@ -58,7 +68,7 @@ def exists_any(a: DataFrame, others, key: str) -> DataFrame:
     The candidate keys are united and made distinct, so one semi join answers
     the disjunction.
     """
-    keys = reduce(DataFrame.union, [o.select(F.col(c).alias("__key")) for o, c in others])
+    keys = reduce(DataFrame.union, [o.select(F.col(c).alias("__key")) for o, c in others]).distinct()
     return a.join(keys, F.col(key) == F.col("__key"), "left_semi")
 
 
@@ -238,6 +248,18 @@ def running(fn, value, partition, order) -> Column:
     return fn(value).over(running_to_here(partition, order))
 
 
+def ends_of_partition(df: DataFrame, partition: str, order, value: str, first: str, last: str) -> DataFrame:
+    """First and last value of each partition beside every row.
+
+    The same as ``first_value``/``last_value`` over the whole partition, but the
+    two values come from an aggregate joined back, so no partition is buffered.
+    ``order`` must be unique within a partition.
+    """
+    key = F.struct(*order)
+    ends = df.groupBy(F.col(partition).alias("__p")).agg(F.min_by(value, key).alias(first), F.max_by(value, key).alias(last))
+    return df.join(ends, F.col(partition).eqNullSafe(F.col("__p"))).drop("__p")
+
+
 def qualify(df: DataFrame, column: Column, predicate: str, name: str = "__q") -> DataFrame:
     """Filter on a window expression; the predicate names it ``q``."""
     return df.withColumn("q", column).where(predicate).drop("q")

@@ -187,8 +187,8 @@ def stream_current_state(s):
     path, schema = _arrivals(s, "changes")
     root = scratch(s.spark, "state")
     stream = cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=1)
-    cd.run_available(cd.stream_current_state(stream, root, f"{root}/checkpoint", "key", "committed_at", "action"))
-    state = cd.StateTable(s.spark, root, schema).read()
+    cd.run_available(cd.stream_current_state(stream, root, f"{root}/checkpoint", "key", "committed_at", buckets=8))
+    state = cd.StateTable(s.spark, root, schema, "key", 8).read()
     return _shown_state(state.where("action <> 'DELETE'"))
 
 
@@ -198,8 +198,8 @@ def stream_scd2(s):
     path, schema = _arrivals(s, "changes")
     root = scratch(s.spark, "history")
     stream = cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=1)
-    cd.run_available(cd.stream_scd2(stream, f"{root}/log", f"{root}/state", f"{root}/checkpoint", "key", "committed_at", "action", 24 * HOUR_MS))
-    return _shown_history(cd.StateTable(s.spark, f"{root}/state", cd.scd2_schema(schema, "committed_at")).read())
+    cd.run_available(cd.stream_scd2(stream, f"{root}/log", f"{root}/state", f"{root}/checkpoint", "key", "committed_at", "action", 24 * HOUR_MS, buckets=8))
+    return _shown_history(cd.StateTable(s.spark, f"{root}/state", cd.scd2_schema(schema, "committed_at"), "key", 8).read())
 
 
 @query

@@ -82,7 +82,7 @@ def full_outer_overlap(s):
 @query
 def anti_no_orders(s):
     recent = _orders(s).where("yr >= 2001")
-    return r.anti_join(s.customer, recent, ("c_custkey", "o_custkey")).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum(_money("c_acctbal")).alias("balance"))
+    return r.anti_join(s.customer, recent, ("c_custkey", "o_custkey"), many=True).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum(_money("c_acctbal")).alias("balance"))
 
 
 @query
@@ -178,7 +178,7 @@ def cross_one_row_results(s):
 def in_long_list(s):
     """A long list of values as a semi join with a table."""
     wanted = s.lineitem.where("l_quantity = 50 and l_discount >= 0.09").select(F.col("l_partkey").alias("k"))
-    return semi_join(s.part, wanted, ("p_partkey", "k")).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
+    return semi_join(s.part, wanted, ("p_partkey", "k"), many=True).groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -359,9 +359,9 @@ def qualify_latest(s):
 @query
 def last_over_partition(s):
     """First and last event type of a user beside every purchase, with the whole partition as frame."""
-    w = W.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    df = s.events.select("event_id", "user_id", "event_type", F.last_value("event_type").over(w).alias("last_type"), F.first_value("event_type").over(w).alias("first_type"))
-    return df.where("event_type = 'purchase'")
+    df = s.events.select("event_id", "user_id", "ts", "event_type")
+    out = r.ends_of_partition(df, "user_id", ["ts", "event_id"], "event_type", "first_type", "last_type")
+    return out.where("event_type = 'purchase'").drop("ts")
 
 
 @query

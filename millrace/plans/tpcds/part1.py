@@ -144,7 +144,7 @@ def _active_customers(t, predicate, counties=None, states=None):
         home = home.where(f"ca_state in {c.sql_list(states)}")
     customers = star_join(t.customer.select("c_customer_sk", "c_current_addr_sk", "c_current_cdemo_sk"), (home, "c_current_addr_sk", "ca_address_sk"),
                           (t.customer_demographics, "c_current_cdemo_sk", "cd_demo_sk"))
-    return semi_join(customers, c.sold(t, "ss", predicate), ("c_customer_sk", "ss_customer_sk"))
+    return semi_join(customers, c.sold(t, "ss", predicate), ("c_customer_sk", "ss_customer_sk"), many=True)
 
 
 def _web_or_catalog(t, predicate):
@@ -355,7 +355,7 @@ def _best_customers(t, year, share):
 
 def _best_sales(t, year, month, often, share):
     items, best = _frequent_items(t, year, often), _best_customers(t, year, share)
-    return [(p, semi_join(semi_join(c.sold(t, p, f"d_year = {year} and d_moy = {month}"), items, (f"{p}_item_sk", "item_sk")),
+    return [(p, semi_join(semi_join(c.sold(t, p, f"d_year = {year} and d_moy = {month}"), items, (f"{p}_item_sk", "item_sk"), many=True),
                           best, (c.BUYER[p], "best_sk"))) for p in ("cs", "ws")]
 
 

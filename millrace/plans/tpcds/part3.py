@@ -60,7 +60,7 @@ def q54(t, category="Shoes", item_class="womens", year=2000, month=5, width=50,
     when = f"d_moy = {month} and d_year = {year}"
     wanted = t.item.where(f"i_category = '{category}' and i_class = '{item_class}'").select("i_item_sk")
     buyers = union_all(*[semi_join(c.sold(t, p, when), wanted, (f"{p}_item_sk", "i_item_sk")).select(F.col(c.BUYER[p]).alias("buyer")) for p in ("cs", "ws")])
-    customers = semi_join(t.customer.select("c_customer_sk", "c_current_addr_sk"), buyers, ("c_customer_sk", "buyer"))
+    customers = semi_join(t.customer.select("c_customer_sk", "c_current_addr_sk"), buyers, ("c_customer_sk", "buyer"), many=True)
     local = star_join(customers, (t.customer_address.select("ca_address_sk", "ca_county", "ca_state"), "c_current_addr_sk", "ca_address_sk")) \
         .join(t.store.select("s_store_sk", "s_county", "s_state"), on(("ca_county", "s_county"), ("ca_state", "s_state")))
     bounds = t.date_dim.where(when).agg(F.min("d_month_seq").alias("m"))
@@ -258,8 +258,8 @@ def q69(t, states=("IA", "GA", "MN"), year=2001, month=4, limit=100):
     """Demographics of customers who bought in stores only."""
     when = f"d_year = {year} and d_moy between {month} and {month + 2}"
     df = _active_customers(t, when, states=states)
-    df = anti_join(df, c.sold(t, "ws", when), ("c_customer_sk", "ws_bill_customer_sk"))
-    df = anti_join(df, c.sold(t, "cs", when), ("c_customer_sk", "cs_ship_customer_sk"))
+    df = anti_join(df, c.sold(t, "ws", when), ("c_customer_sk", "ws_bill_customer_sk"), many=True)
+    df = anti_join(df, c.sold(t, "cs", when), ("c_customer_sk", "cs_ship_customer_sk"), many=True)
     return _profile_counts(df, [("cd_gender", None), ("cd_marital_status", None), ("cd_education_status", "cnt1"), ("cd_purchase_estimate", "cnt2"), ("cd_credit_rating", "cnt3")], limit)
 
 

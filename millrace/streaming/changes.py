@@ -169,79 +169,93 @@ def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str
 
 
 class StateTable:
-    """Snapshots of a keyed table in a folder: each refresh writes the next one.
+    """A keyed table kept in hash buckets of its key; a refresh rewrites only the buckets it touches.
 
-    A small marker file names the newest complete snapshot and the batch that made
-    it, so a batch that is retried after a failure is not applied twice and readers
-    never see a half-written folder.
+    A marker names, per bucket, the folder of its newest complete rows and the batch
+    that made the marker: a batch retried after a failure is not applied twice,
+    readers never see a half-written folder, and untouched buckets stay in place.
+    The marker holds one entry per bucket, whatever the size of the table.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema):
-        self.spark, self.root, self.schema = spark, root, schema
+    def __init__(self, spark: SparkSession, root: str, schema, key: str, buckets: int = 64):
+        self.spark, self.root, self.schema, self.key, self.buckets = spark, root, schema, key, buckets
 
-    def _marker(self) -> tuple[int, str] | None:
+    def _marker(self):
         try:
-            rows = self.spark.read.schema("batch long, path string").json(f"{self.root}/marker").orderBy(F.col("batch").desc()).limit(1).collect()
-        except AnalysisException:  # no snapshot yet
+            marks = self.spark.read.schema("batch long, folders map<string, string>").json(f"{self.root}/marker")
+            rows = marks.orderBy(F.col("batch").desc()).limit(1).collect()
+        except AnalysisException:  # no refresh yet
             return None
-        return (rows[0]["batch"], rows[0]["path"]) if rows else None
+        return (rows[0]["batch"], dict(rows[0]["folders"])) if rows else None
 
-    def read(self) -> DataFrame:
+    def bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def touched(self, df: DataFrame) -> list[int]:
+        """Buckets that hold keys of ``df``: at most ``buckets`` numbers."""
+        return sorted(r[0] for r in df.select(self.bucket().alias("b")).distinct().collect())
+
+    def read(self, only=None) -> DataFrame:
+        """The table, or the rows of some buckets."""
         mark = self._marker()
-        if mark is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(mark[1])
+        folders = [] if mark is None else sorted(f for b, f in mark[1].items() if only is None or int(b) in set(only))
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
     def applied(self, batch: int) -> bool:
         mark = self._marker()
         return mark is not None and mark[0] >= batch
 
-    def replace(self, df: DataFrame, batch: int) -> None:
-        path = f"{self.root}/snapshot-{batch}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"), F.lit(path).alias("path")).coalesce(1).write.mode("append").json(f"{self.root}/marker")
+    def replace(self, df: DataFrame, batch: int, touched) -> None:
+        """Put ``df`` in place of the touched buckets; it must hold all their rows."""
+        folder = f"{self.root}/rows-{batch}-{uuid.uuid4().hex}"
+        df.withColumn("__bucket", self.bucket()).repartition(F.col("__bucket")).write.partitionBy("__bucket").parquet(folder)
+        mark = self._marker()
+        folders = {} if mark is None else mark[1]
+        filled = self.touched(self.spark.read.schema(self.schema).parquet(folder)) if touched else []
+        for b in touched:
+            folders.pop(str(b), None)
+        folders |= {str(b): f"{folder}/__bucket={b}" for b in filled}
+        row = self.spark.createDataFrame([(batch, folders)], "batch long, folders map<string, string>")
+        row.coalesce(1).write.mode("append").json(f"{self.root}/marker")
 
 
-def stream_current_state(changes: DataFrame, root: str, checkpoint: str, key: str, order: str, tie: str, lag: str | None = None):
+def stream_current_state(changes: DataFrame, root: str, checkpoint: str, key: str, order: str, buckets: int = 64, lag: str | None = None):
     """Keep the newest change per key up to date from a change stream.
 
     State holds deletions too, so a late change older than a deletion stays
-    without effect.  ``StateTable(spark, root, schema).read()`` is the state.
+    without effect.  ``StateTable(spark, root, schema, key, buckets).read()`` is the state.
     """
-    schema = changes.schema
-    spark = changes.sparkSession
+    table = StateTable(changes.sparkSession, root, changes.schema, key, buckets)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        state = StateTable(spark, root, schema)
-        if state.applied(batch_id):
+        if table.applied(batch_id):
             return
+        touched = table.touched(batch)
         # newest per key inside the batch first (partial aggregation), then against the state
-        merged = state.read().unionByName(latest(batch, key, order))
-        state.replace(latest(merged, key, order), batch_id)
+        merged = table.read(touched).unionByName(latest(batch, key, order))
+        table.replace(latest(merged, key, order), batch_id, touched)
 
     return changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger(lag)).start()
 
 
-def stream_scd2(changes: DataFrame, log_path: str, root: str, checkpoint: str, key: str, order: str, tie: str, width: int, lag: str | None = None):
-    """Keep the type-2 history: all versions of the touched keys are recomputed.
+def stream_scd2(changes: DataFrame, log_path: str, root: str, checkpoint: str, key: str, order: str, tie: str, width: int, buckets: int = 64, lag: str | None = None):
+    """Keep the type-2 history: all versions in the touched buckets are recomputed.
 
-    The change log is kept as its own folder per batch (an overwritten folder if a
-    batch is retried); history rows of untouched keys are carried over unchanged.
+    The change log is kept in the same hash buckets, one folder per batch (written
+    over if a batch is retried), so a refresh reads only the log of its buckets.
     """
     spark = changes.sparkSession
     columns = changes.schema
-    out_schema = scd2_schema(columns, order)
+    table = StateTable(spark, root, scd2_schema(columns, order), key, buckets)
+    log_schema = T.StructType(columns.fields + [T.StructField("__bucket", T.IntegerType())])
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        state = StateTable(spark, root, out_schema)
-        if state.applied(batch_id):
+        if table.applied(batch_id):
             return
-        batch.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
-        log = spark.read.schema(columns).option("recursiveFileLookup", "true").parquet(log_path)
-        touched = spark.read.schema(columns).parquet(f"{log_path}/batch={batch_id}").select(F.col(key).alias("__t")).distinct()
-        fresh = scd2_history(log.join(touched, F.col(key) == F.col("__t"), "left_semi"), key, order, tie, width)
-        kept = state.read().join(touched, F.col(key) == F.col("__t"), "left_anti")
-        state.replace(kept.unionByName(fresh), batch_id)
+        batch.withColumn("__bucket", table.bucket()).write.mode("overwrite").partitionBy("__bucket").parquet(f"{log_path}/batch={batch_id}")
+        touched = table.touched(batch)
+        log = spark.read.schema(log_schema).parquet(log_path).where(F.col("__bucket").isin(touched)).drop("__bucket", "batch")
+        table.replace(scd2_history(log, key, order, tie, width), batch_id, touched)
 
     return changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger(lag)).start()
 

@@ -104,13 +104,27 @@ def test_change_tables_after_apply(spark):
     assert sorted(map(tuple, h.collect()), key=str) == [(1, "2001", "t0", "t1"), (1, "2024", "t1", None), (2, "2002", "t0", None)]
 
 
-def test_a_retried_batch_is_applied_once(spark, tmp_path):
-    t = cd.StateTable(spark, str(tmp_path), spark.createDataFrame([], "k int").schema)
+def test_a_refresh_rewrites_touched_buckets_once(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, v int").schema
+    t = cd.StateTable(spark, str(tmp_path), schema, "k", 4)
     assert t.read().count() == 0
-    t.replace(spark.createDataFrame([(1,)], "k int"), 0)
+    first = spark.createDataFrame([(k, 0) for k in range(20)], schema)
+    t.replace(first, 0, t.touched(first))
     assert t.applied(0) and not t.applied(1)
-    t.replace(spark.createDataFrame([(1,), (2,)], "k int"), 1)
-    assert t.read().count() == 2
+    change = spark.createDataFrame([(3, 9)], schema)
+    touched = t.touched(change)
+    before = t._marker()[1]
+    t.replace(t.read(touched).where("k <> 3").unionByName(change), 1, touched)
+    after = t._marker()[1]
+    assert [b for b in before if before[b] != after[b]] == [str(touched[0])]
+    assert {(r.k, r.v) for r in t.read().collect()} == {(k, 9 if k == 3 else 0) for k in range(20)}
+
+
+def test_ends_of_partition_equal_whole_frame(spark, skewed):
+    w = W.partitionBy("key").orderBy("t", "id").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    want = skewed.select("id", F.first_value("id").over(w), F.last_value("id").over(w))
+    got = r.ends_of_partition(skewed, "key", ["t", "id"], "id", "a", "b").select("id", "a", "b")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 # ---- plans --------------------------------------------------------------------
