@@ -118,7 +118,7 @@ def _change_log(s):
                      F.when(F.col("user_id") % 2 == 0, "LONG").otherwise("SHORT").alias("LongOrShort"), F.col("value").cast("decimal(18,3)").alias("Price"),
                      F.get_json_object("props", "$.k").cast("bigint").alias("Quantity"))
     tx = F.struct(F.lit("PROD").alias("schema"), F.when(F.col("event_type") == "view", "AUDIT").otherwise("LIMIT_ORDERS").alias("table"), action.alias("action"), F.col("user_id").cast("string").alias("primaryKey_tokenized"),
-                  F.unix_millis(F.col("ts").cast("timestamp")).alias("committed_at"), F.lit("app").alias("dbuser"), F.when(action == "DELETE", image).alias("record_before"), F.when(action != "DELETE", image).alias("record_after"))
+                  F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) div 1000").alias("committed_at"), F.lit("app").alias("dbuser"), F.when(action == "DELETE", image).alias("record_before"), F.when(action != "DELETE", image).alias("record_after"))
     return s.events.select(js.parse(F.to_json(F.struct(tx.alias("transaction")))).alias("record_content"))
 
 

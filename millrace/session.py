@@ -10,6 +10,22 @@ from pyspark.sql import SparkSession
 _local_folders: dict[str, str] = {}
 
 
+# For the cluster's session builder.  Broadcasts stay behind a size check: the
+# planner's estimate first, the measured size again at run time.
+SCALE_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.autoBroadcastJoinThreshold": "128m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+}
+
+
 def local_session(cpus: int = 8, partitions: int = 8, app: str = "millrace") -> SparkSession:
     """A single-JVM session for tests and the bench; a cluster brings its own session."""
     return (

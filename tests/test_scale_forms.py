@@ -174,3 +174,13 @@ def test_published_variants_run(spark):
     assert "customer_birth_country" in QUERIES["q11"](t, columns=("customer_id", "customer_birth_country")).columns
     assert QUERIES["q47"](t, columns=("i_category", "i_brand")).columns[:2] == ["i_category", "i_brand"]
     assert QUERIES["q78"](t, columns=("ss_sold_year", "ss_item_sk", "ss_customer_sk")).count() > 0
+
+
+def test_run_times_are_summarised(spark):
+    from millrace.plans.runner import run_pack, summarise
+
+    timings = run_pack(spark, derived_tables(spark, FOLDER), ["q03", "q42"])
+    row = summarise(timings).first()
+    each = [x.seconds for x in timings.collect()]
+    assert len(each) == 2 and row.total_seconds == pytest.approx(sum(each))
+    assert row.geomean_seconds == pytest.approx((each[0] * each[1]) ** 0.5)
