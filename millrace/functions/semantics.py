@@ -6,6 +6,8 @@ rounds when a decimal becomes an integer; these helpers say so once.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,20 @@ def guarded_ratio(num, den, otherwise=None) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(otherwise).cast("double"))
 
 
+def whole_units(c, scale: int = 2) -> Column:
+    """A double that holds a decimal of ``scale`` digits, as whole units (cents).
+
+    Casting a double to decimal goes through text for every row; this is one
+    multiplication and exact for values below 2**53 units.
+    """
+    return F.floor(_col(c) * float(10 ** scale) + 0.5)
+
+
+def money(c) -> Column:
+    """A double amount as an exact ``decimal(12,2)``."""
+    return (whole_units(c).cast("decimal(14,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
+
+
 def dec_ratio(num, den, precision: int, scale: int) -> Column:
     """Ratio of two values first rounded to ``decimal(precision, scale)``."""
     kind = f"decimal({precision},{scale})"

@@ -351,14 +351,14 @@ def merge_upsert(s):
     """Orders of one status replaced, new keys added."""
     target = s.orders.where("o_orderkey % 10 <> 3").select("o_orderkey", "o_orderstatus", "o_totalprice")
     changed = s.orders.where("o_orderstatus = 'P'").select("o_orderkey", F.lit("M").alias("o_orderstatus"), (F.col("o_totalprice") * 0).alias("o_totalprice"))
-    return files.merge_rows(target, changed, ["o_orderkey"]).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
+    return files.merge_rows(target, changed, ["o_orderkey"]).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(m.money("o_totalprice")).alias("total"))
 
 
 @query
 def delete_update(s):
     df = files.delete_where(s.customer.select("c_custkey", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("seg"), "c_acctbal"), "seg = 'MACHINERY'")
     df = files.update_where(df, "c_acctbal < 0", {"seg": F.lit("DEBT")})
-    return df.groupBy("seg").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("c_acctbal").cast("decimal(12,2)")).alias("balance"))
+    return df.groupBy("seg").agg(F.count(F.lit(1)).alias("n"), F.sum(m.money("c_acctbal")).alias("balance"))
 
 
 @query
@@ -462,7 +462,7 @@ def rollup_only_role(s):
 def tenant_view(s):
     mapping = s.customer.select("c_custkey", F.concat(F.lit("org-"), F.col("c_nationkey")).alias("account")).union(s.customer.where("c_nationkey = 7").select("c_custkey", F.lit("org-7")))
     seen = gv.tenant_view(s.orders, mapping, "o_custkey", "org-7", mapping_key="c_custkey")
-    return seen.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("total"))
+    return seen.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.sum(m.money("o_totalprice")).alias("total"))
 
 
 # A key for the self-contained check only; real keys come from configuration.
@@ -498,7 +498,7 @@ def month_offset_pivot(s):
     as_of = "2001-06-15"
     back = F.months_between(F.trunc(F.lit(as_of).cast("date"), "month"), F.trunc(F.to_date("o_orderdate"), "month")).cast("int")
     df = s.orders.withColumn("back", back).where("back between 1 and 6")
-    return df.groupBy("o_orderpriority").agg(*[F.sum(F.when(F.col("back") == i, F.col("o_totalprice").cast("decimal(12,2)"))).alias(f"prev_month{i}") for i in range(1, 7)])
+    return df.groupBy("o_orderpriority").agg(*[F.sum(F.when(F.col("back") == i, m.money("o_totalprice"))).alias(f"prev_month{i}") for i in range(1, 7)])
 
 
 @query
@@ -611,7 +611,7 @@ def row_count(s):
 @query
 def summary_answer(s):
     """Point query on a stored summary of orders per customer."""
-    summary = pd_.build_summary(s.orders, ["o_custkey"], [F.sum(F.col("o_totalprice").cast("decimal(12,2)")).alias("sum_total_price"), F.count(F.lit(1)).alias("num_orders")], scratch(s.spark, "summary"))
+    summary = pd_.build_summary(s.orders, ["o_custkey"], [F.sum(m.money("o_totalprice")).alias("sum_total_price"), F.count(F.lit(1)).alias("num_orders")], scratch(s.spark, "summary"))
     return pd_.answer(summary, "o_custkey between 55 and 60")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,12 +22,13 @@ def query(fn):
     return fn
 
 
-def _money(c):
-    return F.col(c).cast("decimal(12,2)")
+_money = m.money
 
 
 def _revenue():
-    return _money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    """Discounted price, exact to four digits: cents times percent."""
+    units = m.whole_units("l_extendedprice") * (100 - m.whole_units("l_discount"))
+    return (units.cast("decimal(14,0)") * F.lit(Decimal("0.0001"))).cast("decimal(16,4)")
 
 
 def _orders(s, *extra):

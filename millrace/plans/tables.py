@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -12,7 +13,7 @@ from pyspark.sql.types import StructType
 from millrace.plans.star import RENAMED_SOURCES, star_sql
 from millrace.session import work_dir
 
-_lock = threading.Lock()
+_SHARED = ("sale_line", "sale_amounts")
 
 
 class ParquetTables:
@@ -53,35 +54,42 @@ class DerivedTables:
         self._root = f"{work_dir(spark)}/star-{tag}"
         self._texts = star_sql("spark")
         self._done: set[str] = set()
+        self._locks: dict[str, threading.Lock] = {}
         self._schemas: dict[str, StructType] = {}  # a known schema saves a footer job per use
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         path = f"{self._root}/{name}"
-        with _lock:
-            self._ensure(name)
-            if name not in self._schemas:
-                self._schemas[name] = self._spark.read.parquet(path).schema
+        self._ensure(name)
+        if name not in self._schemas:
+            self._schemas[name] = self._spark.read.parquet(path).schema
         return self._spark.read.schema(self._schemas[name]).parquet(path)
 
+    def stage(self, workers: int = 4) -> None:
+        """Write every table now, several at a time."""
+        names = [n for n in self._texts if n not in _SHARED]
+        with ThreadPoolExecutor(workers) as pool:
+            list(pool.map(lambda n: getattr(self, n), names))
+
     def _ensure(self, name: str) -> None:
-        if name in self._done:
-            return
-        text = self._texts[name]
-        # facts are cut from one written table of priced order lines
-        for shared in ("sale_line", "sale_amounts"):
-            if shared != name and re.search(rf"\b{shared}\b", text):
-                self._ensure(shared)
-        self._write(name, f"{self._root}/{name}")
-        self._done.add(name)
+        with self._locks.setdefault(name, threading.Lock()):
+            if name in self._done:
+                return
+            text = self._texts[name]
+            # facts are cut from one written table of priced order lines
+            for shared in _SHARED:
+                if shared != name and re.search(rf"\b{shared}\b", text):
+                    self._ensure(shared)
+            self._write(name, f"{self._root}/{name}")
+            self._done.add(name)
 
     def _write(self, name: str, path: str) -> None:
         text = self._texts[name]
         words = set(re.findall(r"\w+", text))
         sources = {src: f"{self._source}/{src}.parquet" for src in ("lineitem", "orders")}
         sources |= {alias: f"{self._source}/{src}.parquet" for alias, src in RENAMED_SOURCES.items()}
-        sources |= {n: f"{self._root}/{n}" for n in ("sale_line", "sale_amounts") if n in self._done}
+        sources |= {n: f"{self._root}/{n}" for n in _SHARED if n in self._done}
         ctes = [f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words]
         df = self._spark.sql((f"with {', '.join(ctes)} " if ctes else "") + text)
         dates = [c for c in df.columns if c.endswith(("_sold_date_sk", "_returned_date_sk", "inv_date_sk"))]
