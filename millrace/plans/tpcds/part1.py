@@ -125,13 +125,13 @@ def q08(t, zips, quarter=1, year=2002, least=10, limit=100):
     return top_n(df.groupBy("s_store_name").agg(F.sum("ss_net_profit").alias("net_profit")), limit, "s_store_name")
 
 
-def q09(t, thresholds=(177560856, 165030289, 357290662, 205197751, 80111186), reason_sk=1):
+def q09(t, thresholds=(177560856, 165030289, 357290662, 205197751, 80111186), reason_sk=1, above="ss_ext_discount_amt", below="ss_net_paid_inc_tax"):
     """Five quantity buckets, each choosing one of two averages by its row count; one pass over the fact."""
     aggs, picks = [], []
     for i, limit in enumerate(thresholds):
         inside = F.col("ss_quantity").between(20 * i + 1, 20 * i + 20)
-        aggs += [F.count_if(inside).alias(f"n{i}"), mean(F.when(inside, F.col("ss_ext_discount_amt"))).alias(f"a{i}"),
-                 mean(F.when(inside, F.col("ss_net_paid_inc_tax"))).alias(f"b{i}")]
+        aggs += [F.count_if(inside).alias(f"n{i}"), mean(F.when(inside, F.col(above))).alias(f"a{i}"),
+                 mean(F.when(inside, F.col(below))).alias(f"b{i}")]
         picks.append(F.when(F.col(f"n{i}") > limit, F.col(f"a{i}")).otherwise(F.col(f"b{i}")).alias(f"bucket{i + 1}"))
     return t.reason.where(f"r_reason_sk = {reason_sk}").crossJoin(t.store_sales.agg(*aggs)).select(*picks)
 

@@ -80,7 +80,7 @@ def q30(t, year=2001, state="MI", limit=100):
     return top_n(_returning_customers(t, "wr", "wr_return_amt", year, state).select(*cols), limit, *cols)
 
 
-def q31(t, year=1999):
+def q31(t, year=1999, order="web_q1_q2_increase"):
     """Counties where web sales grew faster than store sales over two quarters.
 
     The three quarters of a county are pivoted in one aggregate per channel.
@@ -95,7 +95,7 @@ def q31(t, year=1999):
     df = df.where((guarded_ratio("ws2", "ws1") > guarded_ratio("ss2", "ss1")) & (guarded_ratio("ws3", "ws2") > guarded_ratio("ss3", "ss2")))
     out = df.select(F.col("ss_county").alias("ca_county"), F.lit(year).cast("bigint").alias("d_year"), ratio("ws2", "ws1").alias("web_q1_q2_increase"),
                     ratio("ss2", "ss1").alias("store_q1_q2_increase"), ratio("ws3", "ws2").alias("web_q2_q3_increase"), ratio("ss3", "ss2").alias("store_q2_q3_increase"))
-    return out.orderBy(asc("web_q1_q2_increase"), asc("ca_county"))
+    return out.orderBy(asc(order), asc("ca_county"))
 
 
 def _excess_discount(t, p, manufacturer, start):
@@ -130,10 +130,11 @@ def q35(t, year=2000, aggs=("stddev_samp", "max", "sum"), limit=100):
     df = exists_any(_active_customers(t, when), _web_or_catalog(t, when), "c_customer_sk")
     keys = ["ca_state", "cd_gender", "cd_marital_status", "cd_dep_count", "cd_dep_employed_count", "cd_dep_college_count"]
     fns = {"stddev_samp": sd, "max": F.max, "sum": F.sum, "min": F.min, "avg": mean}
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), *[fns[a](k).alias(f"{a}_{k[3:]}") for k in keys[3:] for a in aggs])
+    named = [(a if aggs.index(a) == i else f"{a}{i + 1}", fns[a]) for i, a in enumerate(aggs)]  # a repeated aggregate gets its position
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"), *[fn(k).alias(f"{a}_{k[3:]}") for k in keys[3:] for a, fn in named])
     shown = keys[:3]
     for i, k in enumerate(keys[3:], 1):
-        shown = shown + [k, F.col("cnt").alias(f"cnt{i}"), *[f"{a}_{k[3:]}" for a in aggs]]
+        shown = shown + [k, F.col("cnt").alias(f"cnt{i}"), *[f"{a}_{k[3:]}" for a, _ in named]]
     return top_n(grouped.select(*shown), limit, *keys)
 
 
@@ -250,7 +251,7 @@ def q45(t, zips=Q15_ZIPS, item_sks=(2, 3, 5, 7, 11, 13, 17, 19, 23, 29), quarter
     ids = t.item.where(f"i_item_sk in {c.sql_list(item_sks)}").select(F.col("i_item_id").alias("id")).distinct().withColumn("listed", F.lit(True))
     df = star_join(c.sold(t, "ws", f"d_qoy = {quarter} and d_year = {year}"),
                    (t.customer.select("c_customer_sk", "c_current_addr_sk"), "ws_bill_customer_sk", "c_customer_sk"),
-                   (t.customer_address.select("ca_address_sk", "ca_zip", "ca_city", "ca_county"), "c_current_addr_sk", "ca_address_sk"),
+                   (t.customer_address.select("ca_address_sk", "ca_zip", *[x for x in by if x != "ca_zip"]), "c_current_addr_sk", "ca_address_sk"),
                    (t.item.select("i_item_sk", "i_item_id"), "ws_item_sk", "i_item_sk"), (ids, "i_item_id", "id", "left"))
     df = df.where(f"substr(ca_zip, 1, 5) in {c.sql_list(zips)} or listed")
     return top_n(df.groupBy(*by).agg(F.sum("ws_sales_price").alias("sum_sales")), limit, *by)
@@ -275,14 +276,14 @@ def _around_year(year):
     return f"d_year = {year} or (d_year = {year - 1} and d_moy = 12) or (d_year = {year + 1} and d_moy = 1)"
 
 
-def q47(t, year=1999, columns=("s_store_name", "s_company_name"), limit=100):
+def q47(t, year=1999, columns=("s_store_name", "s_company_name"), then="sum_sales", limit=100):
     """Monthly brand sales per store that deviate from the yearly average, with both neighbours."""
     keys = ["i_category", "i_brand", "s_store_name", "s_company_name"]
     df = star_join(c.sold(t, "ss", _around_year(year), "d_year", "d_moy"), (t.item, "ss_item_sk", "i_item_sk"), (t.store, "ss_store_sk", "s_store_sk")) \
         .groupBy(*keys, "d_year", "d_moy").agg(F.sum("ss_sales_price").alias("sum_sales"))
     out = c.neighbours(df, keys, year, "")
     gap = asc(F.col("sum_sales").cast("double") - F.col("avg_monthly_sales"))
-    return top_n(out.select(*columns, "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum"), limit, gap, "sum_sales")
+    return top_n(out.select(*columns, "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum"), limit, gap, then)
 
 
 def q48(t, year=2001, demo=(("D", "Secondary", 100, 150), ("W", "2 yr Degree", 50, 100), ("U", "Unknown", 150, 200)),

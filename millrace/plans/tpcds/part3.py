@@ -82,14 +82,14 @@ def q56(t, colors=("rose", "brown", "drab"), year=2000, month=4, gmt_offset=-5,
     return top_n(c.channel_totals(t, "i_item_id", ids, f"d_year = {year} and d_moy = {month}", gmt_offset), limit, "total_sales", "i_item_id")
 
 
-def q57(t, year=2001, columns=("i_brand",), limit=100):
+def q57(t, year=2001, columns=("i_brand",), then="nsum", limit=100):
     """As q47, for catalog sales per call center."""
     keys = ["i_category", "i_brand", "cc_name"]
     df = star_join(c.sold(t, "cs", _around_year(year), "d_year", "d_moy"), (t.item, "cs_item_sk", "i_item_sk"), (t.call_center, "cs_call_center_sk", "cc_call_center_sk")) \
         .groupBy(*keys, "d_year", "d_moy").agg(F.sum("cs_sales_price").alias("sum_sales"))
     out = c.neighbours(df, keys, year, "")
     gap = asc(F.col("sum_sales").cast("double") - F.col("avg_monthly_sales"))
-    return top_n(out.select(*columns, "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum"), limit, gap, "nsum")
+    return top_n(out.select(*columns, "d_year", "d_moy", "avg_monthly_sales", "sum_sales", "psum", "nsum"), limit, gap, then)
 
 
 def _weeks_of(t, dates):
@@ -213,16 +213,16 @@ def q65(t, first_month=1192, share=0.1, limit=100):
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
-def q66(t, year=1998, time=46866, carriers=("GREAT EASTERN", "UPS"), web_price="ws_ext_sales_price", catalog_price="cs_sales_price", net="net_paid", limit=100):
+def q66(t, year=1998, time=46866, carriers=("GREAT EASTERN", "UPS"), web_price="ws_ext_sales_price", catalog_price="cs_sales_price", web_net="ws_net_paid", catalog_net="cs_net_paid", limit=100):
     """Monthly sales and net per warehouse and per square foot for two carriers."""
     keys = ["w_warehouse_name", "w_warehouse_sq_ft", "w_city", "w_county", "w_state", "w_country"]
     parts = []
-    for p, price in (("ws", web_price), ("cs", catalog_price)):
+    for p, price, net in (("ws", web_price, web_net), ("cs", catalog_price, catalog_net)):
         df = star_join(c.sold(t, p, f"d_year = {year}", "d_year", "d_moy"), (t.time_dim.where(f"t_time between {time} and {time + 28800}").select("t_time_sk"), f"{p}_sold_time_sk", "t_time_sk"),
                        (t.ship_mode.where(f"sm_carrier in {c.sql_list(carriers)}").select("sm_ship_mode_sk"), f"{p}_ship_mode_sk", "sm_ship_mode_sk"),
                        (t.warehouse, f"{p}_warehouse_sk", "w_warehouse_sk"))
         parts.append(df.select(*keys, F.col("d_year").alias("year"), "d_moy", (F.col(price) * F.col(f"{p}_quantity")).alias("sales"),
-                               (F.col(f"{p}_{net}") * F.col(f"{p}_quantity")).alias("net")))
+                               (F.col(net) * F.col(f"{p}_quantity")).alias("net")))
     zero = F.lit(0).cast("decimal(18,2)")
     monthly = [F.coalesce(F.sum(F.when(F.col("d_moy") == i, F.col(v))), zero).alias(f"{m}_{v}") for v in ("sales", "net") for i, m in enumerate(MONTHS, 1)]
     out = union_all(*parts).groupBy(*keys, "year").agg(*monthly)
