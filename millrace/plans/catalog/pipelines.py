@@ -227,7 +227,7 @@ def incremental_two_stage(s):
         cd.weather_pipeline(s.spark, f"{root}/raw", f"{root}/stage", f"{root}/final", f"{root}/checkpoints")
     final = s.spark.read.parquet(f"{root}/final")
     return final.groupBy("country", "conditions").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("temp_cel").cast("decimal(12,4)")), 2).alias("temp"), F.round(F.max("temp_max_cel"), 4).alias("hottest"),
-                                                      F.min(F.date_format("date", "yyyy-MM-dd HH:mm:ss")).alias("first_local"), F.sum("wind_dir").alias("wind_dir"))
+                                                      F.min(F.substring(F.col("date").cast("string"), 1, 19)).alias("first_local"), F.sum("wind_dir").alias("wind_dir"))
 
 
 # ---- files ---------------------------------------------------------------------------

@@ -459,7 +459,7 @@ def date_funcs(s):
     return s.orders.select("o_orderkey", F.date_add(d, 30).alias("plus30"), F.date_sub(d, 30).alias("minus30"), (d + F.expr("interval '60' day")).cast("date").alias("plus60"), F.add_months(d, -1).alias("prev_month"),
                            F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"), F.quarter(d).alias("q"), F.datediff(F.lit("2001-01-01").cast("date"), d).alias("age"),
                            F.expr("timestampdiff(HOUR, o_orderdate, timestamp_ntz'2001-01-01 00:00:00')").alias("hours"),
-                           F.date_format(F.convert_timezone(F.lit("UTC"), F.lit("Europe/Paris"), F.col("o_orderdate").cast("timestamp_ntz")), "yyyy-MM-dd HH:mm").alias("paris"))
+                           F.substring(F.convert_timezone(F.lit("UTC"), F.lit("Europe/Paris"), F.col("o_orderdate").cast("timestamp_ntz")).cast("string"), 1, 16).alias("paris"))
 
 
 @query
