@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from millrace.llm.quality_divergence import op10_quality_divergence
+from millrace.llm.sentencepiece_chunks import op4_sentencepiece_chunks
+from millrace.llm.toxicity_trees import op6_toxicity_trees
 
-QUERIES = {f.__name__: f for f in (op10_quality_divergence,)}
+QUERIES = {f.__name__: f for f in (op4_sentencepiece_chunks, op6_toxicity_trees, op10_quality_divergence)}
 
 SQL: dict[str, str] = {}
