@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from millrace.llm.minhash_components import op8_minhash_components
 from millrace.llm.quality_divergence import op10_quality_divergence
+from millrace.llm.secret_ownership import op1_secret_ownership
 from millrace.llm.sentencepiece_chunks import op4_sentencepiece_chunks
+from millrace.llm.simhash_windows import op9_simhash_windows
 from millrace.llm.toxicity_trees import op6_toxicity_trees
 
-QUERIES = {f.__name__: f for f in (op4_sentencepiece_chunks, op6_toxicity_trees, op10_quality_divergence)}
+QUERIES = {f.__name__: f for f in (op1_secret_ownership, op4_sentencepiece_chunks, op6_toxicity_trees, op8_minhash_components,
+                                   op9_simhash_windows, op10_quality_divergence)}
 
 SQL: dict[str, str] = {}
