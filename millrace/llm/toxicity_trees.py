@@ -67,7 +67,7 @@ class Lexicon:
 class Reader:
     """Feature rows of texts; remembers the flags of words, emptied at ``most`` words."""
 
-    def __init__(self, lexicon: Lexicon, most: int = 500_000):
+    def __init__(self, lexicon: Lexicon, most: int = 300_000):
         self.lexicon, self.most, self.known = lexicon, most, {}
 
     def row(self, text: str) -> list[float]:
@@ -75,8 +75,9 @@ class Reader:
         if len(self.known) > self.most:
             self.known.clear()
         known = self.known
-        for w in set(words) - known.keys():
-            known[w] = self.lexicon.flags(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = self.lexicon.flags(w)
         n = len(words)
         f = np.fromiter(map(known.__getitem__, words), np.int64, n)
         hit, you = np.flatnonzero(f & (LEXICON | PREFIX)), np.flatnonzero(f & YOU)
