@@ -35,7 +35,7 @@ from millrace.llm.common import documents, lists
 
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
-SLICE_CHARS, SLICE_IDS = 1 << 20, 1 << 18
+SLICE_CHARS, SLICE_IDS = 1 << 19, 1 << 17
 
 
 def default_model() -> str:
@@ -114,7 +114,7 @@ class ChunkTable:
         keys = [k for p in parts for k in p]
         if len(self.row) > self.limit:
             self.clear()
-        new = list(set(keys) - self.row.keys())
+        new = [k for k in set(keys) if k not in self.row]
         if new:
             self.add(new)
         rows = np.fromiter(map(self.row.__getitem__, keys), np.int64, len(keys))
@@ -137,7 +137,7 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def encode(text: Column, model: str | None = None, table_rows: int = 600_000) -> Column:
+def encode(text: Column, model: str | None = None, table_rows: int = 300_000) -> Column:
     """The ids of a text as the library gives them, without begin or end ids."""
     path = model or default_model()
     by_chunk = separable(path)
