@@ -41,7 +41,7 @@ def _none() -> Column:
     return F.array().cast(SPAN)
 
 
-def _spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
+def match_spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
     """The matches of a pattern from left to right; their values are those of the group."""
     p = F.lit(pattern)
     hits = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, p, F.lit(0)).alias("hit"),
@@ -68,11 +68,11 @@ def candidates(text: Column) -> Column:
     hint = F.lit(False)
     for word in HINTS:
         hint = hint | low.contains(word)
-    assign = F.when(hint, F.filter(_spans(text, ASSIGN, 0, 2), lambda x: F.length(x["value"]) >= 8)).otherwise(_none())
-    access = F.when(text.contains("AKIA"), _spans(text, ACCESS, 1)).otherwise(_none())
-    hexes = F.when(text.rlike(HEX), _spans(text, HEX, 2)).otherwise(_none())
-    keys = F.when(text.contains("PRIVATE KEY-----"), _spans(text, KEY, 3)).otherwise(_none())
-    tokens = F.when(text.rlike(TOKEN), F.filter(_spans(text, TOKEN, 4), lambda x: _mixed(x["value"]))).otherwise(_none())
+    assign = F.when(hint, F.filter(match_spans(text, ASSIGN, 0, 2), lambda x: F.length(x["value"]) >= 8)).otherwise(_none())
+    access = F.when(text.contains("AKIA"), match_spans(text, ACCESS, 1)).otherwise(_none())
+    hexes = F.when(text.rlike(HEX), match_spans(text, HEX, 2)).otherwise(_none())
+    keys = F.when(text.contains("PRIVATE KEY-----"), match_spans(text, KEY, 3)).otherwise(_none())
+    tokens = F.when(text.rlike(TOKEN), F.filter(match_spans(text, TOKEN, 4), lambda x: _mixed(x["value"]))).otherwise(_none())
     return F.concat(assign, access, hexes, keys, tokens)
 
 
