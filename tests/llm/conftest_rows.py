@@ -1,6 +1,17 @@
 """Rows that operators must bear."""
 
 import random
+import re
+
+PATTERNS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m.group(2)) >= 8),
+            ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m.group(0)) >= 16), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m.group(0)) >= 32)]
+
+
+def base_spans(text):
+    """The base spans of a text as the contract states them."""
+    found = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(PATTERNS) for m in p.finditer(text) if ok(m))
+    return [f"{PATTERNS[k][0]}:{a}:{b}" for a, k, b in found]
+
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, bytes string, row string, spans string, words string, n int"
 

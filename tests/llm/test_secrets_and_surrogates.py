@@ -5,19 +5,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest_rows import hard_rows, table_of
+from conftest_rows import base_spans as base, hard_rows, table_of
 from millrace.llm.secret_ownership import op1_secret_ownership, redacted, report
 from millrace.llm.surrogates import assigned, check_digit, op5_surrogates, replaced
 
-PATTERNS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m.group(2)) >= 8),
-            ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m.group(0)) >= 16), ("hex", re.compile("[0-9a-f]+"), lambda m: len(m.group(0)) >= 32)]
-
-
-def base(text):
-    found = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(PATTERNS) for m in p.finditer(text) if ok(m))
-    return [f"{PATTERNS[k][0]}:{a}:{b}" for a, k, b in found]
-
-
 def no_python(df):
     plan = df._jdf.queryExecution().toString()
     return "Python" not in plan and "Arrow" not in plan
