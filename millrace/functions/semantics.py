@@ -65,16 +65,14 @@ def round_to_int(c) -> Column:
     return F.round(_col(c), 0).cast("bigint")
 
 
-def sd(c) -> Column:
-    """Sample standard deviation from exact integer sums; NULL for a single row."""
-    c = _col(c).cast("bigint")
-    n, s, q = F.count(c), F.sum(c), F.sum(c * c)
-    var = (q.cast("double") - s.cast("double") * s.cast("double") / n) / F.when(n > 1, n - 1)
-    return F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+def sd(c, digits: int = 6) -> Column:
+    """Sample standard deviation, NULL for a single row; rounded, so that the order of rows doesn't show."""
+    return F.round(F.stddev_samp(_col(c).cast("double")), digits)
 
 
-def coefficient_of_variation(c) -> Column:
-    return F.try_divide(sd(c), mean(c))
+def coefficient_of_variation(c, digits: int = 6) -> Column:
+    """Standard deviation over mean, rounded."""
+    return F.round(F.try_divide(F.stddev_samp(_col(c).cast("double")), mean(c)), digits)
 
 
 def sum_if(cond, value) -> Column:

@@ -43,7 +43,7 @@ def round_trip(df: DataFrame, path: str, kind: str = "csv") -> DataFrame:
     spark: SparkSession = df.sparkSession
     if kind == "csv":
         unload_csv(df, path)
-        loaded = read_csv(spark, path, schema=df.schema, header=True)
+        loaded = read_csv(spark, path, schema=df.schema, header=True, multi_line=True, null_tokens=("\\N",))
     else:
         unload_json(df, path)
         loaded = spark.read.schema(df.schema).json(path)

@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 def repaired_line(c) -> Column:
     """A CSV line without quoting, stray quotes inside the text kept.
 
-    The first and last characters stay; a quote that is not next to a comma is
-    marked, the delimiting quotes are dropped and the marks become quotes again.
+    A quote delimits at either end of the line and next to a comma; only such
+    quotes are removed.
     """
     c = F.col(c) if isinstance(c, str) else c
-    middle = F.regexp_replace(F.substr(c, F.lit(2), F.length(c) - 2), r'(?<!,)"(?!,)', "^^^")
-    conformed = F.concat(F.left(c, F.lit(1)), middle, F.right(c, F.lit(1)))
-    return F.replace(F.replace(conformed, F.lit('"'), F.lit("")), F.lit("^^^"), F.lit('"'))
+    return F.regexp_replace(c, r'(?<=^|,)"|"(?=,|$)', "")
 
 
 def repair_quotes(df: DataFrame, column: str, names) -> DataFrame:
@@ -39,8 +37,12 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
 
 
 def fk_referenced(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str) -> DataFrame:
-    """Parent rows that may not be deleted because a child refers to them."""
-    return parent.join(child.select(F.col(child_key).alias("__c")), F.col(parent_key) == F.col("__c"), "left_semi")
+    """Parent rows that may not be deleted because a child refers to them.
+
+    Child keys are made distinct first, which combines before the shuffle, so a
+    key with most of the children is one row in the join.
+    """
+    return parent.join(child.select(F.col(child_key).alias("__c")).distinct(), F.col(parent_key) == F.col("__c"), "left_semi")
 
 
 def not_null_violations(df: DataFrame, columns) -> DataFrame:

@@ -178,13 +178,12 @@ select {web_date} + 1 + h % 130 as wr_returned_date_sk, item_sk as wr_item_sk, {
        supp + 1 as wr_web_page_sk, h % 70 + 1 as wr_reason_sk, ord as wr_order_number,
        rqty as wr_return_quantity, {returns('wr', 'return_amt')}
 from sale_amounts where m >= 4 and flag = 'R'"""
-    # Eight weekly stock counts after the first line of every order.
+    # Eight weekly stock counts after every order line.
     t["inventory"] = f"""
 select distinct {d.div('sold_sk', 7)} * 7 + 7 * n as inv_date_sk, item_sk as inv_item_sk, {depot} as inv_warehouse_sk,
        case when (item_sk + n) % 3 = 0 then (item_sk * 13 + n * 17) % 900 + 50 else (item_sk + n * n) % 9 end
            as inv_quantity_on_hand
-from sale_line cross join {d.ints(0, 7)} weeks
-where ln <= 2"""
+from sale_line cross join {d.ints(0, 7)} weeks"""
 
     k = "c_custkey"
     place = [_pick([p[i] for p in PLACES], d.div(k, 3)) for i in range(4)]

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from millrace.plans.star import RENAMED_SOURCES, star_sql
 from millrace.session import work_dir
+from millrace.sources.files import state_of
 
 _SHARED = ("sale_line", "sale_amounts")
 
@@ -50,7 +51,7 @@ class DerivedTables:
 
     def __init__(self, spark: SparkSession, source_dir: str):
         self._spark, self._source = spark, source_dir.rstrip("/")
-        tag = hashlib.sha1(self._source.encode()).hexdigest()[:10]
+        tag = hashlib.sha1(f"{self._source} {source_state(spark, self._source)}".encode()).hexdigest()[:10]
         self._root = f"{work_dir(spark)}/star-{tag}"
         self._texts = star_sql("spark")
         self._done: set[str] = set()
@@ -98,11 +99,19 @@ class DerivedTables:
         df.write.mode("overwrite").parquet(path)
 
 
-_derived: dict[tuple[str, str], DerivedTables] = {}
+_derived: dict[tuple[str, str, str], DerivedTables] = {}
+
+
+def source_state(spark: SparkSession, source_dir: str) -> str:
+    """A mark of the source files the star comes from."""
+    names = sorted({"lineitem", "orders", *RENAMED_SOURCES.values()})
+    return state_of(spark, [f"{source_dir}/{n}.parquet" for n in names])
 
 
 def derived_tables(spark: SparkSession, source_dir: str) -> DerivedTables:
-    key = (spark.sparkContext.applicationId, source_dir.rstrip("/"))
+    """The star of a folder; written anew once its source files have changed."""
+    folder = source_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, folder, source_state(spark, folder))
     if key not in _derived:
         _derived[key] = DerivedTables(spark, source_dir)
     return _derived[key]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.semantics import asc, desc, guarded_ratio, mean, ratio, sd
+from millrace.functions.semantics import asc, coefficient_of_variation, desc, guarded_ratio, mean, ratio, sd
 from millrace.operators.relational import (above_group_avg, exists_any, grouping_level, intersect, on, pivot_sum,
                                            prefixed, semi_join, star_join, top_n, union_all)
 from millrace.plans.tpcds import common as c
@@ -280,7 +280,7 @@ def q17(t, year=1999, limit=100):
     aggs = []
     for col, name in (("ss_quantity", "store_sales"), ("sr_return_quantity", "store_returns"), ("cs_quantity", "catalog_sales")):
         aggs += [F.count(col).alias(f"{name}_quantitycount"), mean(col).alias(f"{name}_quantityave"),
-                 sd(col).alias(f"{name}_quantitystdev"), F.try_divide(sd(col), mean(col)).alias(f"{name}_quantitycov")]
+                 sd(col).alias(f"{name}_quantitystdev"), coefficient_of_variation(col).alias(f"{name}_quantitycov")]
     return top_n(df.groupBy("i_item_id", "i_item_desc", "s_state").agg(*aggs), limit, "i_item_id", "i_item_desc", "s_state")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import asc, coefficient_of_variation, dec_ratio, desc, guarded_ratio, mean, ratio, sd
@@ -294,11 +293,19 @@ def q48(t, year=2001, demo=(("D", "Secondary", 100, 150), ("W", "2 yr Degree", 5
     return df.where(_demo_bands(demo, "ss_sales_price")).where(_address_bands(address, "ss_net_profit")).agg(F.sum("ss_quantity").alias("sum_quantity"))
 
 
+def _rank_among(picked, items, value, name):
+    """The rank of a few rows among all: one more than the items with a smaller value."""
+    values = picked.select(F.col(value).alias("__v")).distinct()
+    below = items.select(F.col(value).alias("__x")).join(F.broadcast(values), F.col("__x") < F.col("__v")).groupBy("__v").agg(F.count(F.lit(1)).alias("__n"))
+    return picked.join(below, F.col(value) == F.col("__v"), "left").withColumn(name, F.coalesce("__n", F.lit(0)).cast("int") + 1).drop("__v", "__n")
+
+
 def q49(t, year=2002, month=11, amount=10000, top=10, limit=100):
     """Items with the worst return ratios per channel, by quantity or by money.
 
-    Filtering the returned amount makes the outer join an inner one.  The two
-    rankings run over one row per item that had a large return in the month.
+    Filtering the returned amount makes the outer join an inner one.  The rows
+    with a rank up to ``top`` are found among that many extremes; the other rank
+    of these few rows is a count of the items below them.
     """
     parts = []
     for label, p in (("web", "ws"), ("catalog", "cs"), ("store", "ss")):
@@ -308,9 +315,9 @@ def q49(t, year=2002, month=11, amount=10000, top=10, limit=100):
         items = df.groupBy(F.col(f"{p}_item_sk").alias("item")).agg(
             dec_ratio(F.sum(F.coalesce(f"{rp}_return_quantity", F.lit(0))), F.sum(f"{p}_quantity"), 15, 4).alias("return_ratio"),
             dec_ratio(F.sum(F.coalesce(ramt, F.lit(0).cast("decimal(8,2)"))), F.sum(f"{p}_net_paid"), 15, 4).alias("currency_ratio"))
-        ranked = items.select(F.lit(label).alias("channel"), "item", "return_ratio", F.rank().over(W.orderBy("return_ratio")).alias("return_rank"),
-                              F.rank().over(W.orderBy("currency_ratio")).alias("currency_rank"))
-        parts.append(ranked.where(f"return_rank <= {top} or currency_rank <= {top}"))
+        worst = union_distinct(*[rank_top(items, v, top).select(*items.columns) for v in ("return_ratio", "currency_ratio")])
+        ranked = _rank_among(_rank_among(worst, items, "return_ratio", "return_rank"), items, "currency_ratio", "currency_rank")
+        parts.append(ranked.select(F.lit(label).alias("channel"), "item", "return_ratio", "return_rank", "currency_rank"))
     return top_n(union_distinct(*parts), limit, "channel", "return_rank", "currency_rank", "item")
 
 

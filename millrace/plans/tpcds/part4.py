@@ -27,8 +27,9 @@ def q76(t, nulls=(("store", "ss_hdemo_sk"), ("web", "ws_ship_mode_sk"), ("catalo
 def q77(t, start="1998-08-21", limit=100):
     """Channel profit including returns over 30 days.
 
-    Catalog sales and returns are paired without a key, as published; both sides
-    are one row per call center by then.
+    Catalog sales and returns are paired without a key, as published: each call
+    center meets every group of returns.  Sums over those pairs follow from the
+    number of groups and their totals, so the returns are one row.
     """
     when = c.between_days(start, 30)
     zero = F.lit(0).cast("decimal(18,2)")
@@ -48,7 +49,8 @@ def q77(t, start="1998-08-21", limit=100):
 
     some = (F.coalesce("returns", zero), F.coalesce("loss", zero))
     store = sales("ss", "ss_store_sk", t.store, "s_store_sk").join(backs("sr", "sr_store_sk", "sr_return_amt", t.store, "s_store_sk"), on(("id", "back_id")), "left")
-    catalog = cross_rows(sales("cs", "cs_call_center_sk"), backs("cr", "cr_call_center_sk", "cr_return_amount"))
+    totals = backs("cr", "cr_call_center_sk", "cr_return_amount").agg(F.count(F.lit(1)).alias("n"), F.count("loss").alias("n_loss"), F.sum("returns").alias("returns"), F.sum("loss").alias("loss"))
+    catalog = cross_rows(sales("cs", "cs_call_center_sk"), totals.where("n > 0")).withColumn("sales", F.col("sales") * F.col("n")).withColumn("gain", F.when(F.col("n_loss") > 0, F.col("gain") * F.col("n_loss")))
     web = sales("ws", "ws_web_page_sk", t.web_page, "wp_web_page_sk").join(backs("wr", "wr_web_page_sk", "wr_return_amt", t.web_page, "wp_web_page_sk"), on(("id", "back_id")), "left")
     rows = union_all(row(store, "store channel", *some), row(catalog, "catalog channel", F.col("returns"), F.col("loss")), row(web, "web channel", *some))
     return top_n(_channel_rollup(rows), limit, "channel", "id")

@@ -16,16 +16,20 @@ def blank_to_null(df: DataFrame, tokens=("",)) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path, schema=None, header: bool = False, delimiter: str = ",", quote: str = '"',
-             null_tokens=("",), pattern: str | None = None, trim: bool = False) -> DataFrame:
+             null_tokens=("", "\\N"), pattern: str | None = None, trim: bool = False, multi_line: bool = False, on_error: str = "null") -> DataFrame:
     """CSV files as text or as typed columns.
 
     Text is read first and the null tokens (any number of them) become NULL
     before the cast, so ``"NULL"`` in a number column is missing, not corrupt.
-    A typed column uses ``try_cast``; compressed files are recognised by suffix
-    and invalid UTF-8 is replaced.  ``pattern`` is a regular expression on the path.
+    Numbers and dates are trimmed before the cast.  A value that doesn't parse
+    becomes NULL (``on_error="null"``), fails the load ("stop") or drops its row
+    ("skip"); :func:`typed_load` reports the rows.  ``multi_line`` reads quoted
+    line breaks and then takes each file as one piece.  Compressed files are
+    recognised by suffix and invalid UTF-8 is replaced.  ``pattern`` is a regular
+    expression on the path.
     """
     reader = spark.read.option("header", header).option("sep", delimiter).option("quote", quote).option("escape", quote) \
-        .option("mode", "PERMISSIVE").option("nullValue", null_tokens[0] if null_tokens else "").option("emptyValue", "") \
+        .option("mode", "PERMISSIVE").option("nullValue", null_tokens[0] if null_tokens else "").option("emptyValue", "").option("multiLine", multi_line) \
         .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
     if schema is not None:
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -35,12 +39,19 @@ def read_csv(spark: SparkSession, path, schema=None, header: bool = False, delim
         df = df.where(F.col("_metadata.file_path").rlike(pattern))
     if null_tokens:
         df = blank_to_null(df, tuple(null_tokens))
-    return df if schema is None else typed(df, schema)
+    if schema is None:
+        return df
+    return typed(df, schema) if on_error == "null" else load_rows(df, schema, on_error)
+
+
+def _trimmed(name: str, kind: str) -> str:
+    return f"`{name}`" if kind == "string" else f"nullif(trim(`{name}`), '')"
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns cast to a schema, NULL where the text does not parse."""
-    return df.select(*[F.expr(lenient_cast(f"`{f.name}`", f.dataType.simpleString())).alias(f.name) for f in schema.fields])
+    kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    return df.select(*[F.expr(lenient_cast(_trimmed(n, k), k)).alias(n) for n, k in kinds])
 
 
 def positional(df: DataFrame, names, types) -> DataFrame:
@@ -63,11 +74,17 @@ def gen_rows(spark: SparkSession, n: int, seed: int = 10, length: int = 10) -> D
     return spark.range(1, n + 1).select(F.col("id").alias("n"), F.randstr(F.lit(length), F.lit(seed)).alias("r"))
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Path, size and time of the files below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
 
 
+def state_of(spark: SparkSession, path: str | list[str]) -> str:
+    """A mark of the files at one or more paths: it changes when one is added, removed or written anew."""
+    listed = list_files(spark, path).agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return f"{listed[0]}:{listed[1]}"
+
+
 def peek(spark: SparkSession, path, n: int = 10) -> DataFrame:
     """The first rows of staged delimited files as positional text columns."""
     return spark.read.csv(path).limit(n)
@@ -108,26 +125,61 @@ def create_table_text(inferred: DataFrame, table: str) -> DataFrame:
     return inferred.agg(F.concat(F.lit(f"create or replace table {table}\n(\n"), body, F.lit("\n);")).alias("ddl"))
 
 
-def typed_load(df: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(loaded rows, rejected rows): a row is rejected when a value is present but does not parse."""
-    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+def _unparsable(schema: T.StructType) -> Column:
+    """Whether a row has a value that is present but does not parse."""
     bad = F.lit(False)
     for f in schema.fields:
-        text = f"nullif(trim(`{f.name}`), '')"
+        text = _trimmed(f.name, f.dataType.simpleString())
         bad = bad | F.expr(f"{text} is not null and ({lenient_cast(text, f.dataType.simpleString())}) is null")
-    values = [F.expr(lenient_cast(f"nullif(trim(`{f.name}`), '')", f.dataType.simpleString())).alias(f.name) for f in schema.fields]
-    return df.where(~bad).select(*values), df.where(bad)
+    return bad
+
+
+def typed_load(df: DataFrame, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """(loaded rows, rejected rows): a row is rejected when a value is present but does not parse."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    bad = _unparsable(schema)
+    return typed(df.where(~bad), schema), df.where(bad)
 
 
-def unload_csv(df: DataFrame, path: str, header: bool = True, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip") -> None:
-    """Write quoted CSV; ``rows_per_file`` bounds the size of one file."""
+def load_rows(df: DataFrame, schema: T.StructType | str, on_error: str = "stop") -> DataFrame:
+    """Typed rows; a row with a value that does not parse fails the load ("stop") or is left out ("skip")."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if on_error == "skip":
+        return typed_load(df, schema)[0]
+    if on_error != "stop":
+        raise ValueError(f"on_error is 'stop' or 'skip', not {on_error!r}")
+    row = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields]))
+    checked = df.where(F.when(_unparsable(schema), F.raise_error(F.concat(F.lit("a value does not parse: "), row)).cast("boolean")).otherwise(True))
+    return typed(checked, schema)
+
+
+def _rows_in(df: DataFrame, bytes_per_file: int, rows_per_file: int) -> int:
+    """Rows of which a file holds fewer bytes than asked, from the longest row."""
+    if not bytes_per_file:
+        return rows_per_file
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]))) * 2 + 4 * len(df.columns)
+    longest = df.agg(F.max(row)).first()[0] or 1
+    fits = max(1, bytes_per_file // longest)
+    return min(fits, rows_per_file) if rows_per_file else fits
+
+
+def unload_csv(df: DataFrame, path: str, header: bool = True, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip",
+               null_token: str = "\\N", bytes_per_file: int = 0) -> None:
+    """Write quoted CSV.
+
+    Text keeps its blanks, line breaks and emptiness; only NULL is written as
+    ``null_token``.  ``rows_per_file`` and ``bytes_per_file`` (before compression)
+    bound one file.  Read back with ``multi_line=True, null_tokens=(null_token,)``.
+    """
     df.write.mode("overwrite" if overwrite else "append").option("header", header).option("quoteAll", True).option("escape", '"') \
-        .option("maxRecordsPerFile", rows_per_file).option("compression", compression).csv(path)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", null_token).option("emptyValue", "") \
+        .option("maxRecordsPerFile", _rows_in(df, bytes_per_file, rows_per_file)).option("compression", compression).csv(path)
 
 
-def unload_json(df: DataFrame, path: str, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip") -> None:
-    """Write one JSON document per row, without NULL fields."""
-    df.write.mode("overwrite" if overwrite else "append").option("maxRecordsPerFile", rows_per_file).option("compression", compression).json(path)
+def unload_json(df: DataFrame, path: str, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip", bytes_per_file: int = 0) -> None:
+    """Write one JSON document per row, without NULL fields; files are bounded as in :func:`unload_csv`."""
+    df.write.mode("overwrite" if overwrite else "append").option("maxRecordsPerFile", _rows_in(df, bytes_per_file, rows_per_file)) \
+        .option("compression", compression).json(path)
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -143,8 +195,24 @@ def save(df: DataFrame, path: str, append: bool = False) -> DataFrame:
 
 # ---- snapshots: Parquet has no row changes, so each returns the next state ---
 
-def merge_rows(target: DataFrame, changes: DataFrame, keys) -> DataFrame:
-    """Upsert by key: rows of ``changes`` replace rows of ``target`` with the same key."""
+def newest_per_key(changes: DataFrame, keys, order: str | None) -> DataFrame:
+    """One row per key: the newest by ``order`` (ties by the other columns), or an error on repeated keys without one."""
+    keys = list(keys)
+    others = [c for c in changes.columns if c not in keys and c != order]
+    rank = ([F.col(order)] if order else []) + [F.col(f"`{c}`") for c in others]
+    picked = changes.groupBy(*keys).agg(F.max(F.struct(*rank)).alias("__row"), F.count(F.lit(1)).alias("__n")) if rank else changes.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    if order is None:
+        picked = picked.where(F.when(F.col("__n") > 1, F.raise_error(F.lit("a key is changed twice; name the column that orders its changes")).cast("boolean")).otherwise(True))
+    return picked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`").alias(c) for c in changes.columns])
+
+
+def merge_rows(target: DataFrame, changes: DataFrame, keys, order: str | None = None) -> DataFrame:
+    """Upsert by key: rows of ``changes`` replace rows of ``target`` with the same key.
+
+    A key that is changed more than once takes its newest row by ``order``;
+    without an order the merge fails, as its result would depend on chance.
+    """
+    changes = newest_per_key(changes, keys, order)
     return target.join(changes.select(*keys), list(keys), "left_anti").unionByName(changes)
 
 

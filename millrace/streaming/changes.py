@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.semistructured import json_get
+from millrace.sources.files import newest_per_key
 
 
 def change_columns(records: DataFrame, column: str = "record_content", fields: dict | None = None) -> DataFrame:
@@ -36,6 +37,11 @@ def change_columns(records: DataFrame, column: str = "record_content", fields: d
     return t.select(*cols)
 
 
+def commit_time(c: str):
+    """A commit time in milliseconds as a timestamp."""
+    return F.timestamp_millis(F.col(c))
+
+
 def only_source(changes: DataFrame, schema: str, table: str) -> DataFrame:
     """The changes of one source table out of a multi-table feed."""
     return changes.where((F.col("source_schema") == schema) & (F.col("source_table") == table))
@@ -98,13 +104,17 @@ def position_summary(current: DataFrame, keys, price: str = "price", quantity: s
     return out.withColumn("total_value_usd", F.round(F.col("total_shares") * F.col("average_price"), 2).cast("decimal(38,2)"))
 
 
-def scd2_apply(history: DataFrame, current: DataFrame, changes: DataFrame, key: str, ts, start: str = "record_start_time", end: str = "record_end_time"):
+def scd2_apply(history: DataFrame, current: DataFrame, changes: DataFrame, key: str, ts, start: str = "record_start_time", end: str = "record_end_time",
+               order: str | None = None):
     """(new history, new current) after applying changed rows at time ``ts``.
 
     Current rows are replaced by key; the open history row of a changed key is
     closed and the new version is opened.  Keys that do not exist are ignored, as
-    an update of them would be.
+    an update of them would be.  A key changed twice takes its newest change by
+    ``order``, or fails without one.
     """
+    changes = newest_per_key(changes, [key], order)
+    changes = changes.drop(order) if order and order not in current.columns else changes
     ts = F.lit(ts).cast(current.schema[start].dataType)
     values = [c for c in changes.columns if c != key]
     new = changes.select(F.col(key).alias("__k"), *[F.col(c).alias("__" + c) for c in values])
@@ -124,10 +134,14 @@ def landing_counts(df: DataFrame, *by) -> DataFrame:
 
 # ---- streams ---------------------------------------------------------------
 
+# The file source skips files much older than the newest it has seen; a load must not.
+ANY_AGE = {"maxFileAge": "36500d"}
+
+
 def read_changes(spark: SparkSession, path: str, schema, kind: str = "parquet", **options) -> DataFrame:
-    """Rows that arrive in a folder; together with a checkpoint, the rows not yet consumed."""
+    """Rows that arrive in a folder, whatever the age of their file; together with a checkpoint, the rows not yet consumed."""
     reader = spark.readStream.schema(schema)
-    for k, v in options.items():
+    for k, v in (ANY_AGE | options).items():
         reader = reader.option(k, v)
     return reader.format(kind).load(path)
 
@@ -135,7 +149,7 @@ def read_changes(spark: SparkSession, path: str, schema, kind: str = "parquet",
 def read_json_changes(spark: SparkSession, path: str, column: str = "v", **options) -> DataFrame:
     """JSON lines that arrive in a folder, one semi-structured value per row."""
     reader = spark.readStream.option("singleVariantColumn", column)
-    for k, v in options.items():
+    for k, v in (ANY_AGE | options).items():
         reader = reader.option(k, v)
     return reader.schema(f"{column} variant").json(path)
 
@@ -184,8 +198,10 @@ class StateTable:
         try:
             marks = self.spark.read.schema("batch long, folders map<string, string>").json(f"{self.root}/marker")
             rows = marks.orderBy(F.col("batch").desc()).limit(1).collect()
-        except AnalysisException:  # no refresh yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None  # no refresh yet
         return (rows[0]["batch"], dict(rows[0]["folders"])) if rows else None
 
     def bucket(self):

@@ -23,9 +23,11 @@ def ratio(a: str, b: str) -> str:
 
 
 def sd(x: str) -> str:
-    x = f"({x})::bigint"
-    return (f"case when count({x}) > 1 then sqrt(greatest((sum({x} * {x})::double - sum({x})::double * sum({x})::double / count({x}))"
-            f" / (count({x}) - 1), 0)) end")
+    return f"round(stddev_samp(({x})::double), 6)"
+
+
+def cov(x: str) -> str:
+    return f"round(stddev_samp(({x})::double) / nullif({avg(x)}, 0), 6)"
 
 
 def keys(text: str) -> str:

@@ -19,15 +19,15 @@ SQL["prediction_columns"] = "select doc_id, quality::bigint as class, toxic / 4
 
 _ACTION = "case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end"
 _LOG = f"""log as (select user_id::varchar as key, epoch_us(ts) // 1000 as committed_at, {_ACTION} as action, 'c' || user_id % 7 as client, 'T' || user_id % 30 as ticker,
-  case when user_id % 2 = 0 then 'LONG' else 'SHORT' end as position, value::decimal(18,3) as price, (props->>'$.k')::bigint as quantity from events where event_type <> 'view')"""
+  case when user_id % 2 = 0 then 'LONG' else 'SHORT' end as position, value::decimal(18,3) as price, (props->>'$.k')::decimal(38,3) as quantity from events where event_type <> 'view')"""
 SQL["cdc_sources"] = f"select 'PROD' as source_schema, if(event_type = 'view', 'AUDIT', 'LIMIT_ORDERS') as source_table, {_ACTION} as action, count(*) as n_rows from events group by all"
-SQL["cdc_current_state"] = f"""with {_LOG} select key, committed_at as last_updated, client, ticker, position, price::double as price, quantity from (from log qualify rank() over (partition by key order by committed_at desc) = 1) where action <> 'DELETE'"""
+SQL["cdc_current_state"] = f"""with {_LOG} select key, make_timestamp(committed_at * 1000)::varchar as last_updated, client, ticker, position, price::double as price, quantity::double as quantity from (from log qualify rank() over (partition by key order by committed_at desc) = 1) where action <> 'DELETE'"""
 SQL["cdc_scd2"] = f"""with {_LOG}, ranked as (
     select *, rank() over (partition by key order by committed_at desc) as score, lag(committed_at) over (partition by key order by committed_at desc, action desc) as valid_to from log)
-  select key, action, client, ticker, position, if(action = 'DELETE', null, price)::double as price, if(action = 'DELETE', null, quantity) as quantity, score = 1 as is_latest,
-    max(score) over (partition by key) + 1 - score as version, committed_at as valid_from, valid_to from ranked"""
+  select key, action, client, ticker, position, if(action = 'DELETE', null, price)::double as price, if(action = 'DELETE', null, quantity)::double as quantity, score = 1 as is_latest,
+    max(score) over (partition by key) + 1 - score as version, make_timestamp(committed_at * 1000)::varchar as valid_from, make_timestamp(valid_to * 1000)::varchar as valid_to from ranked"""
 SQL["cdc_summary"] = f"""with {_LOG}, cur as (from log qualify rank() over (partition by key order by committed_at desc) = 1)
-  select ticker, position, min(price)::double as min_price, max(price)::double as max_price, round(avg(price), 2) as average_price, sum(quantity)::bigint as total_shares, round(sum(quantity) * round(avg(price), 2), 2)::double as total_value_usd
+  select ticker, position, min(price)::double as min_price, max(price)::double as max_price, round(avg(price), 2) as average_price, sum(quantity)::double as total_shares, round(sum(quantity) * round(avg(price), 2), 2)::double as total_value_usd
   from cur where action <> 'DELETE' group by all"""
 SQL["stream_current_state"] = SQL["cdc_current_state"]
 SQL["stream_scd2"] = SQL["cdc_scd2"]
@@ -42,7 +42,7 @@ SQL["incremental_two_stage"] = """select 'N' || user_id % 25 as country, event_t
 
 SQL["csv_round_trip_counts"] = "select 'source' as location, count(*) as n_rows from customer union all select 'loaded', count(*) from customer"
 SQL["json_round_trip_counts"] = "select 'source' as location, count(*) as n_rows from orders union all select 'loaded', count(*) from orders"
-SQL["csv_round_trip_values"] = "select s_suppkey, 'say \"' || s_name || '\", twice' as note, s_acctbal from supplier"
+SQL["csv_round_trip_values"] = """select s_suppkey, case s_suppkey % 4 when 0 then 'say "' || s_name || '",' || chr(10) || 'twice' when 1 then '  ' || s_name || ' ' || chr(9) when 2 then '' end as note, s_acctbal from supplier"""
 SQL["copy_into_once"] = """select o_orderstatus, count(*) as n, load from orders, (select unnest([1, 2, 3])::bigint as load) where o_orderstatus = 'F' or (o_orderstatus = 'O' and load = 3) group by all"""
 SQL["ingest_pipe"] = "select n_regionkey::bigint as n_regionkey, count(*) as n, count(*) as stamped from nation group by all"
 _col = lambda i, n, t, d, c="count(*)": f"select {i}::bigint as position, '{n}' as name, {c} as n_values, '{t}' as type, '{d}' as declared from lineitem"
@@ -63,7 +63,7 @@ SQL["ctas_append"] = "select n_regionkey::bigint as n_regionkey, count(*) * if(n
 
 SQL["unique_violations"] = "select l_orderkey, l_linenumber::bigint as l_linenumber, count(*) as n_rows from lineitem group by all having count(*) > 1"
 SQL["fk_orphans"] = "select l_returnflag, count(*) as n from lineitem where l_orderkey not in (select o_orderkey from orders where o_orderstatus <> 'P') group by all"
-SQL["fk_referenced"] = "select p_brand, count(*) as n from part where p_partkey in (select l_partkey from lineitem where l_quantity = 50) group by all"
+SQL["fk_referenced"] = "select p_brand, count(*) as n from part where p_partkey in (select l_partkey from lineitem) group by all"
 SQL["quote_repair"] = """select 'A' as id, p_partkey::varchar as part_id, substr(p_name, 1, 3) || '"' || substr(p_name, 4, 30) as text1, 'other""thing' as text2, p_brand || '"TACK' as other_id, '' as text3, '' as text4, '' as text5 from part"""
 SQL["typed_load_rejects"] = """select 'loaded' as side, count(*) as n, sum(c_custkey)::bigint as ids, count(*) filter (c_custkey % 7 <> 0) as balances from customer where c_custkey % 10 <> 3
   union all select 'rejected', count(*), null, count(*) from customer where c_custkey % 10 = 3"""
@@ -104,8 +104,10 @@ _FIT = """d as (select event_type as series, ts::date as day, sum(value::decimal
 SQL["anomaly_daily"] = f"with {_FIT} select series, day::varchar as ts, round(y, 4) as y, round(fc, 4) as forecast, round(lo, 4) as lower_bound, round(hi, 4) as upper_bound, bad as is_anomaly from an"
 SQL["alert_exists"] = f"with {_FIT} select bool_or(bad) as fire, 'start' as since from an union all select false, 'end'"
 SQL["hash_split"] = "select count(*) as n, count(*) as stable, true as near_95 from orders"
+SQL["classifier_predictions"] = "select count(*) > 0 as all_scored, true as each_has_a_class, true as sums_to_one, true as accurate from lineitem"
+SQL["feature_importance"] = "select 'l_discount' as first, 4::bigint as n_features, true as weights from lineitem limit 1"
 SQL["class_balance"] = "select quality::bigint as quality, count(*) as cnt, count(*)::double * 100 / sum(count(*)) over ()::double as percent from labels group by all"
-_SC = "sc as (select quality::bigint as q, least(n_chars, 4000) / 4096 as s, (n_chars > 500)::bigint as p from labels join documents using (doc_id))"
+_SC = "sc as (select quality::bigint as q, n_chars / (n_chars + 1000) as s, (n_chars > 500)::bigint as p from labels join documents using (doc_id))"
 SQL["confusion_matrix"] = f"with {_SC} select q as actual, p as predicted, count(*) as n_rows from sc group by all"
 SQL["evaluation_metrics"] = f"""with {_SC}, c as (select unnest([0, 1])::bigint as class) select class, count(*) filter (q = class) as support, count(*) filter (q = class and p = class)::double / nullif(count(*) filter (p = class), 0) as precision,
   count(*) filter (q = class and p = class)::double / nullif(count(*) filter (q = class), 0) as recall, (2 * count(*) filter (q = class and p = class))::double / (count(*) filter (q = class) + count(*) filter (p = class)) as f1 from sc, c group by all"""

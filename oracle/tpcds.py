@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.kit import CH, WEEK, avg, back, item, keys, lags, ratio, sd, sold, star, top, weekdays, within
+from oracle.kit import CH, WEEK, avg, back, cov, item, keys, lags, ratio, sd, sold, star, top, weekdays, within
 
 Q: dict[str, str] = {}
 
@@ -199,7 +199,7 @@ def chain(first, later, again):
 
 
 def _spread(col, name):
-    return f"count({col}) as {name}_quantitycount, {avg(col)} as {name}_quantityave, {sd(col)} as {name}_quantitystdev, {sd(col)} / nullif({avg(col)}, 0) as {name}_quantitycov"
+    return f"count({col}) as {name}_quantitycount, {avg(col)} as {name}_quantityave, {sd(col)} as {name}_quantitystdev, {cov(col)} as {name}_quantitycov"
 
 
 _q17 = "d_quarter_name in ('1999Q1', '1999Q2', '1999Q3')"
@@ -230,7 +230,7 @@ Q["q22"] = top(f"""
   where d_month_seq between 1190 and 1201 group by rollup (i_product_name, i_brand, i_class, i_category)""", "qoh, i_product_name, i_brand, i_class, i_category")
 
 _best = f"""
-  often as (select ss_item_sk as it from {sold('ss')}{item('ss')} where d_year between 2000 and 2003 group by substr(i_item_desc, 1, 30), ss_item_sk, d_date having count(*) > 0),
+  often as (select ss_item_sk as it from {sold('ss')}{item('ss')} where d_year between 2000 and 2003 group by substr(i_item_desc, 1, 30), ss_item_sk, d_date having count(*) > 1),
   spent as (select ss_customer_sk as cu, sum(ss_quantity * ss_sales_price) as total, sum(ss_quantity * ss_sales_price) filter (d_year between 2000 and 2003) as recent
             from store_sales left join date_dim on d_date_sk = ss_sold_date_sk where ss_customer_sk is not null group by all),
   best as (select cu from spent where total::double > (select max(recent) from spent)::double * 0.5::double)"""
@@ -376,7 +376,7 @@ Q["q38"] = "select count(*) as cnt from (" + " intersect ".join(name_days(p, 117
 def unsteady(least):
     return f"""
       with stats as (
-        select w_warehouse_sk, i_item_sk, d_moy, {avg('inv_quantity_on_hand')} as mean, {sd('inv_quantity_on_hand')} / nullif({avg('inv_quantity_on_hand')}, 0) as cov
+        select w_warehouse_sk, i_item_sk, d_moy, {avg('inv_quantity_on_hand')} as mean, {cov('inv_quantity_on_hand')} as cov
         from inventory join item on i_item_sk = inv_item_sk join warehouse on w_warehouse_sk = inv_warehouse_sk join date_dim on d_date_sk = inv_date_sk
         where d_year = 2001 group by w_warehouse_name, w_warehouse_sk, i_item_sk, d_moy having cov > 1)
       select a.*, b.w_warehouse_sk as next_w_warehouse_sk, b.i_item_sk as next_i_item_sk, b.d_moy as next_d_moy, b.mean as next_mean, b.cov as next_cov
@@ -536,7 +536,7 @@ Q["q64"] = f"""
     join household_demographics h1 on h1.hd_demo_sk = ss_hdemo_sk join household_demographics h2 on h2.hd_demo_sk = c_current_hdemo_sk
     join income_band i1 on i1.ib_income_band_sk = h1.hd_income_band_sk join income_band i2 on i2.ib_income_band_sk = h2.hd_income_band_sk
     join customer_address b on b.ca_address_sk = ss_addr_sk join customer_address c on c.ca_address_sk = c_current_addr_sk
-    where i_color is not null and i_current_price between 23 and 32 and ss_item_sk in (from good) group by all)
+    where i_color in ('cornsilk', 'rose', 'drab', 'coral', 'puff', 'peach', 'indian', 'green', 'papaya') and i_current_price between 23 and 32 and ss_item_sk in (from good) group by all)
   select p.product_name as product_name, p.store_name as store_name, p.store_zip as store_zip, {_who_names}, p.syear as syear, p.cnt as cnt, p.s1 as s11, p.s2 as s21, p.s3 as s31,
          n.s1 as s12, n.s2 as s22, n.s3 as s32, n.syear as syear_2, n.cnt as cnt_2
   from g p join g n on n.i_item_sk = p.i_item_sk and n.store_name = p.store_name and n.store_zip = p.store_zip and p.syear = 1999 and n.syear = 2000 and n.cnt <= p.cnt"""
