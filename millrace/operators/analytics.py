@@ -26,10 +26,12 @@ def allocate_credits(metering: DataFrame, queries: DataFrame, as_of: str, months
     m = metering.where(F.col("start_time") > F.date_trunc("month", F.add_months(F.lit(as_of).cast("date"), -months)))
     q = queries.where("warehouse_size is not null").select("query_id", "user_name", "warehouse_id", "execution_time", F.col("start_time").alias("query_start"))
     joined = interval_join(q, m, ("warehouse_id", "entity_id"), "query_start", "start_time", "end_time", closed=closed)
-    costed = allocate(joined, ["name", "start_time", "end_time"], "execution_time", "credits_used", "credit")
+    # the interval join is the dearest step: its sums per period and user are what both sides of the shares read
+    used = joined.groupBy("name", "start_time", "end_time", "credits_used", "user_name").agg(F.sum("execution_time").alias("execution_time"), F.count(F.lit(1)).alias("n_queries"))
+    costed = allocate(used, ["name", "start_time", "end_time"], "execution_time", "credits_used", "credit")
     month = F.months_between(F.trunc(F.lit(as_of).cast("date"), "month"), F.trunc("start_time", "month")).cast("int")
     aggs = []
-    for kind, value in (("credits_in_prev_month", F.col("credit")), ("query_count_in_prev_month", F.lit(1))):
+    for kind, value in (("credits_in_prev_month", F.col("credit")), ("query_count_in_prev_month", F.col("n_queries"))):
         for i in range(1, months + 1):
             name = kind + (str(i) if i > 1 else "")
             total = F.sum(F.when(F.col("__m") == i, value).otherwise(0))

@@ -33,15 +33,16 @@ def mask(c, policy: str, role: str, allowed=(ADMIN,), constant: str = "***") ->
 def employee_view(df: DataFrame, role: str, user: str, reports: DataFrame | None = None) -> DataFrame:
     """Salaries for oneself, one's reports, staff outside HR, or everybody, by role.
 
-    ``reports`` is the closure of ``reports_closure``; managers see the employees
-    it lists below them, direct and indirect.
+    Managers see the employees below them, direct and indirect: those of
+    ``reports``, a closure of ``reports_closure``, or else found from the manager
+    downwards.
     """
     salary, out = F.col("salary"), df
     if role == "RL_EMPLOYEE":
         seen = F.upper("employee_id") == user.upper()
     elif role == "RL_MANAGER":
-        below = (reports if reports is not None else reports_closure(df)).where(F.upper("manager") == user.upper()) \
-            .select(F.col("employee").alias("__e")).distinct().withColumn("__below", F.lit(True))
+        below = reports_below(df, user) if reports is None else reports.where(F.upper("manager") == user.upper()).select("employee").distinct()
+        below = below.select(F.col("employee").alias("__e"), F.lit(True).alias("__below"))
         out = df.join(below, F.col("employee_id") == F.col("__e"), "left")
         seen = F.coalesce("__below", F.lit(False))
     elif role == "RL_HR_REP":
@@ -56,6 +57,27 @@ def visible_rows(df: DataFrame, role: str, user: str, reports: DataFrame | None
     return employee_view(df, role, user, reports).where("salary is not null").select("employee_id", "reports_to", "department", "salary")
 
 
+def reports_below(df: DataFrame, user: str, employee: str = "employee_id", manager: str = "reports_to") -> DataFrame:
+    """The employees below one manager, direct and indirect, each once.
+
+    The walk goes down level by level; each level is written and names seen
+    before are dropped, so it costs what lies below and ends on loops.
+    """
+    spark = df.sparkSession
+    root = f"{work_dir(spark)}/below-{uuid.uuid4().hex}"
+    edges = df.select(F.col(employee).alias("employee"), F.col(manager).alias("above")).where("employee is not null and above is not null")
+    level, seen = 0, None
+    found = edges.where(F.upper("above") == user.upper()).select("employee").distinct()
+    while True:
+        found.write.parquet(f"{root}/level={level}")
+        newest = spark.read.schema(found.schema).parquet(f"{root}/level={level}")
+        if seen is not None and newest.isEmpty():
+            return seen
+        seen = spark.read.schema(found.schema).parquet(*[f"{root}/level={i}" for i in range(level + 1)])
+        found = edges.join(newest.select(F.col("employee").alias("above")), "above", "left_semi").select("employee").distinct().join(seen, "employee", "left_anti")
+        level += 1
+
+
 def reports_closure(df: DataFrame, employee: str = "employee_id", manager: str = "reports_to") -> DataFrame:
     """Every (employee, manager) pair, direct and indirect.
 

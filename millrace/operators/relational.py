@@ -142,7 +142,7 @@ def count_matching(df: DataFrame, key: str, predicate) -> DataFrame:
 
 def entitled(df: DataFrame, mapping: DataFrame, key: str, mapping_key: str, owner: str, account: str) -> DataFrame:
     """Rows whose key the mapping table grants to ``account``."""
-    granted = mapping.where(F.col(owner) == account).select(F.col(mapping_key).alias("__key"))
+    granted = mapping.where(F.col(owner) == account).select(F.col(mapping_key).alias("__key")).distinct()
     return df.join(granted, F.col(key) == F.col("__key"), "left_semi")
 
 

@@ -84,3 +84,14 @@ def split_to_rows(df: DataFrame, column: str, delimiter: str, name: str = "piece
     """One row per piece of a delimited text, with its position from 1."""
     pieces = F.posexplode(F.split(F.col(column), re.escape(delimiter))).alias("__p", name)
     return df.select(*[F.col(c) for c in df.columns], pieces).withColumn(index, F.col("__p") + 1).drop("__p")
+
+
+def to_array(c) -> Column:
+    """A value as an array of one; NULL gives an empty array."""
+    return F.array_compact(F.array(c))
+
+
+def array_with(c, value) -> Column:
+    """The array with a value added at its end, as text where the kinds differ."""
+    c, value = (F.col(x) if isinstance(x, str) else x for x in (c, value))
+    return F.array_append(c, value.cast("string"))

@@ -98,6 +98,14 @@ def json_relational_join(s):
     return joined.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum(js.json_get("src", "order.id", "number")).alias("ids"))
 
 
+@query
+def array_building(s):
+    """Arrays from single values, with values added at their end and lists joined."""
+    df = s.orders.select("o_orderkey", js.to_array("o_orderstatus").alias("a"), F.split("o_orderpriority", "-").alias("b"))
+    built = df.select("o_orderkey", js.array_with("a", "o_orderkey").alias("a"), js.array_with(F.concat("a", "b"), F.lit("end")).alias("b"))
+    return built.select("o_orderkey", F.concat_ws("|", "a").alias("status_key"), F.concat_ws("|", "b").alias("parts"), F.size("b").cast("bigint").alias("n_parts"))
+
+
 @query
 def prediction_columns(s):
     """A prediction object per labelled document, read into columns."""

@@ -100,7 +100,7 @@ def semi_or_exists(s):
 def exists_other_supplier(s):
     """Returned lines of orders that other suppliers also served, where no line is open."""
     df = r.exists_other(s.lineitem, "l_orderkey", "l_suppkey").where("l_returnflag = 'R'")
-    df = r.anti_join(df, s.lineitem.where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("open_key")), ("l_orderkey", "open_key"))
+    df = r.anti_join(df, s.lineitem.where("l_linestatus = 'O'").select(F.col("l_orderkey").alias("open_key")), ("l_orderkey", "open_key"), many=True)
     return df.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("orders"))
 
 

@@ -105,7 +105,7 @@ def shipped_twice(t, prefix: str, date_column: str, start: str, state: str, outl
         (t.customer_address.where(f"ca_state = '{state}'").select("ca_address_sk"), f"{p}_ship_addr_sk", "ca_address_sk"),
         outlet,
         (several, number, "several", "left_semi"),
-        (getattr(t, rt).select(rnumber), number, rnumber, "left_semi" if returned_too else "left_anti"),
+        (getattr(t, rt).select(rnumber).distinct(), number, rnumber, "left_semi" if returned_too else "left_anti"),
     )
     return picked.agg(F.count_distinct(number).alias("order_count"),
                       F.sum(f"{p}_ext_ship_cost").alias("total_shipping_cost"),

@@ -15,6 +15,8 @@ SQL["object_nest_address"] = """select '{"c_address":[{"n_name":"' || n_name ||
 SQL["row_to_object"] = """select '{"o_orderkey":' || o_orderkey || case when o_orderstatus = 'O' then '' else ',"status":"' || o_orderstatus || '"' end || ',"o_orderpriority":"' || o_orderpriority || '"}' as object from orders"""
 SQL["rows_to_json_array"] = "select o_orderkey, o_custkey, nullif(o_orderstatus, 'O') as o_orderstatus from orders order by o_totalprice desc, o_orderkey desc limit 100"
 SQL["json_relational_join"] = "select c_mktsegment, count(*) as n, sum(o_orderkey)::bigint as ids from orders join customer on c_custkey = o_custkey where o_orderkey in (select l_orderkey from lineitem) group by all"
+SQL["array_building"] = """select o_orderkey, o_orderstatus || '|' || o_orderkey as status_key, array_to_string(list_append(list_concat([o_orderstatus], string_split(o_orderpriority, '-')), 'end'), '|') as parts,
+  len(string_split(o_orderpriority, '-')) + 2 as n_parts from orders"""
 SQL["prediction_columns"] = "select doc_id, quality::bigint as class, toxic / 4 as false_probability, 1 - toxic / 4 as true_probability from labels"
 
 _ACTION = "case event_type when 'signup' then 'INSERT' when 'error' then 'DELETE' else 'UPDATE' end"
