@@ -8,6 +8,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.plans.star import RENAMED_SOURCES, star_sql
@@ -16,6 +17,9 @@ from millrace.sources.files import state_of
 
 _SHARED = ("sale_line", "sale_amounts")
 
+# Facts are partitioned by the period of their date key, in a column of this suffix.
+PERIOD_DAYS, PERIOD_SUFFIX = 91, "_period"
+
 
 class ParquetTables:
     """Tables as ``<root>/<name>`` Parquet folders, e.g. a generated TPC-DS data set."""
@@ -45,8 +49,10 @@ class DerivedTables:
     """The star of ``millrace.plans.star``, written as Parquet on first use of a table.
 
     Written tables give the queries what a loaded warehouse has: statistics,
-    column pruning and filters in the scan.  Facts are sorted by date key within
-    their files so that row groups prune on date ranges.
+    column pruning and filters in the scan.  Facts are partitioned by the period
+    of their date key, so a join with a filtered calendar prunes partitions at run
+    time, and sorted by it within their files.  A period of any size is spread
+    over files of a fair size.
     """
 
     def __init__(self, spark: SparkSession, source_dir: str):
@@ -94,9 +100,12 @@ class DerivedTables:
         ctes = [f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words]
         df = self._spark.sql((f"with {', '.join(ctes)} " if ctes else "") + text)
         dates = [c for c in df.columns if c.endswith(("_sold_date_sk", "_returned_date_sk", "inv_date_sk"))]
-        if dates:
-            df = df.sortWithinPartitions(dates[0])
-        df.write.mode("overwrite").parquet(path)
+        if not dates:
+            df.write.mode("overwrite").parquet(path)
+            return
+        part = dates[0] + PERIOD_SUFFIX
+        df = df.withColumn(part, F.expr(f"cast({dates[0]} div {PERIOD_DAYS} as int)"))
+        df.hint("rebalance", part).sortWithinPartitions(part, dates[0]).write.mode("overwrite").partitionBy(part).parquet(path)
 
 
 _derived: dict[tuple[str, str, str], DerivedTables] = {}

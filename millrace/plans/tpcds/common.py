@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.semantics import asc, coefficient_of_variation, desc, guarded_ratio, mean, ratio, sd  # noqa: F401
+from millrace.plans.tables import PERIOD_DAYS, PERIOD_SUFFIX
 from millrace.operators.relational import *  # noqa: F401,F403
 from millrace.operators.relational import (exists_any, on, pivot_sum, prefixed, rank_in_hierarchy,  # noqa: F401
                                            ratio_to_report, semi_join, star_join, top_n, union_all)
@@ -33,15 +34,33 @@ def between_days(start: str, n: int, before: int = 0) -> str:
     return f"d_date between date_sub(date '{start}', {before}) and date_add(date '{start}', {n})"
 
 
+def period(date_sk: str):
+    """The period that a date key lies in: what facts are partitioned by."""
+    return F.expr(f"cast({date_sk} div {PERIOD_DAYS} as int)")
+
+
+def dated(fact: DataFrame, date_column: str, calendar: DataFrame) -> DataFrame:
+    """A fact joined with calendar rows.
+
+    A fact that is partitioned by the period of its date joins on that too, so
+    Spark reads only the partitions of the calendar rows that a query keeps.
+    """
+    part = date_column + PERIOD_SUFFIX
+    if part not in fact.columns:
+        return star_join(fact, (calendar, date_column, "d_date_sk"))
+    days_of = calendar.withColumn("d_period", period("d_date_sk"))
+    return fact.join(days_of, (F.col(date_column) == F.col("d_date_sk")) & (F.col(part) == F.col("d_period"))).drop(part, "d_period")
+
+
 def sold(t, prefix: str, predicate: str, *columns) -> DataFrame:
     """Sales of one channel restricted to calendar rows; ``columns`` come from the calendar."""
     table = {p: n for n, p in CHANNELS.values()}[prefix]
-    return star_join(getattr(t, table), (days(t, predicate, *columns), f"{prefix}_sold_date_sk", "d_date_sk"))
+    return dated(getattr(t, table), f"{prefix}_sold_date_sk", days(t, predicate, *columns))
 
 
 def returned(t, prefix: str, predicate: str, *columns) -> DataFrame:
     table = {r[1]: r[0] for r in RETURNS.values()}[prefix]
-    return star_join(getattr(t, table), (days(t, predicate, *columns), f"{prefix}_returned_date_sk", "d_date_sk"))
+    return dated(getattr(t, table), f"{prefix}_returned_date_sk", days(t, predicate, *columns))
 
 
 def with_returns(t, sales: DataFrame, prefix: str, how: str = "left") -> DataFrame:

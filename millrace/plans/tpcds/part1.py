@@ -318,7 +318,7 @@ def q20(t, categories=("Men", "Electronics", "Music"), start="2001-03-09", limit
 
 def q21(t, day="2000-05-19", lo=0.99, hi=1.49, limit=100):
     """Stock of cheap items before and after a day where the ratio stays within 2/3 and 3/2."""
-    df = star_join(t.inventory, (c.days(t, c.between_days(day, 30, 30), "d_date"), "inv_date_sk", "d_date_sk"),
+    df = star_join(c.dated(t.inventory, "inv_date_sk", c.days(t, c.between_days(day, 30, 30), "d_date")),
                    (t.item.where(f"i_current_price between {lo} and {hi}").select("i_item_sk", "i_item_id"), "inv_item_sk", "i_item_sk"),
                    (t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), "inv_warehouse_sk", "w_warehouse_sk"))
     early = F.col("d_date") < F.lit(day).cast("date")
@@ -331,7 +331,7 @@ def q21(t, day="2000-05-19", lo=0.99, hi=1.49, limit=100):
 def q22(t, first_month=1190, limit=100):
     """Average stock over the product hierarchy; the rollup runs on per-product sums."""
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
-    df = star_join(t.inventory, (c.days(t, f"d_month_seq between {first_month} and {first_month + 11}"), "inv_date_sk", "d_date_sk"))
+    df = c.dated(t.inventory, "inv_date_sk", c.days(t, f"d_month_seq between {first_month} and {first_month + 11}"))
     per_item = df.groupBy("inv_item_sk").agg(F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("n"))
     out = star_join(per_item, (t.item.select("i_item_sk", *keys), "inv_item_sk", "i_item_sk")) \
         .rollup(*keys).agg(ratio(F.sum("s"), F.sum("n")).alias("qoh"))

@@ -190,3 +190,28 @@ def test_run_times_are_summarised(spark):
     each = [x.seconds for x in timings.collect()]
     assert len(each) == 2 and row.total_seconds == pytest.approx(sum(each))
     assert row.geomean_seconds == pytest.approx((each[0] * each[1]) ** 0.5)
+
+
+def test_facts_are_pruned_by_the_periods_of_a_calendar(spark):
+    from millrace.plans.tables import derived_tables
+    from millrace.plans.tpcds import common as c
+    t = derived_tables(spark, "/root/testdata/sf0.001")
+    df = c.sold(t, "ss", "d_year = 1998 and d_moy = 3").agg(F.count(F.lit(1)).alias("n"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    whole = t.store_sales.join(t.date_dim, F.expr("ss_sold_date_sk = d_date_sk")).where("d_year = 1998 and d_moy = 3").count()
+    assert df.first().n == whole > 0
+
+
+def test_q77_needs_no_product(spark):
+    from millrace.plans.tables import derived_tables
+    from millrace.plans.tpcds import QUERIES
+    plan = QUERIES["q77"](derived_tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+
+
+def test_reports_below_walks_down_and_ends_on_loops(spark):
+    from millrace.operators import governance as gv
+    df = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("x", "y")], "employee_id string, reports_to string")
+    assert {r.employee for r in gv.reports_below(df, "A").collect()} == {"a", "b", "c", "d"}
+    assert gv.reports_below(df, "nobody").count() == 0
