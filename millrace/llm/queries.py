@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from millrace.llm.masked_likelihood import op7_masked_likelihood
 from millrace.llm.minhash_components import op8_minhash_components
+from millrace.llm.oracle import SQL  # noqa: F401
 from millrace.llm.quality_divergence import op10_quality_divergence
 from millrace.llm.relative_lz import op3_relative_lz
 from millrace.llm.secret_ownership import op1_secret_ownership
@@ -15,5 +16,3 @@ from millrace.llm.toxicity_trees import op6_toxicity_trees
 
 QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_suffix_dedup, op3_relative_lz, op4_sentencepiece_chunks, op5_surrogates,
                                    op6_toxicity_trees, op7_masked_likelihood, op8_minhash_components, op9_simhash_windows, op10_quality_divergence)}
-
-SQL: dict[str, str] = {}
