@@ -12,14 +12,24 @@ from pyspark.sql import functions as F
 from millrace.session import work_dir
 
 
+#: Texts that a Python worker gets at a time; Spark's default of 10,000 holds several copies of some 30 MB.
+BATCH_ROWS = 2_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: one execution, a short lineage."""
+    small_batches(df.sparkSession)
     path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/documents.parquet")
 
 
