@@ -4,7 +4,10 @@ Each document gives two histograms: characters by class, and its common
 function words against all other words.  The sums over all documents of a
 language are that language's references; a document is rejected if the
 Jensen-Shannon distance (base 2, 0 to 1) of one of its histograms to its
-reference exceeds a limit.  The guard: only documents of ``min_words`` words or
+reference exceeds a limit.  The limit of the words is ``max_words`` plus
+``word_noise`` over the root of the document's number of words, as the distance
+of a clean text falls that way; both are fixed values, chosen on the 3,980 labelled
+rows of sf0.1, and nothing is fitted at run time.  The guard: only documents of ``min_words`` words or
 more are judged by the method, so a short text is never rejected for the noise
 of its few words.
 
@@ -140,14 +143,15 @@ def references(stat: DataFrame, min_words: int = 50) -> DataFrame:
             .agg(_sums("chars", _REST).alias("ref_chars"), _sums("words", len(_WORDS) + 1).alias("ref_words")))
 
 
-def _verdict(d: DataFrame, min_words: int, max_chars: float, max_words: float) -> DataFrame:
+def _verdict(d: DataFrame, min_words: int, max_chars: float, max_words: float, word_noise: float) -> DataFrame:
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    far = (F.col("n_words") >= min_words) & ((F.col("char_distance") > max_chars) | (F.col("word_distance") > max_words))
+    word_limit = max_words + word_noise / F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
+    far = (F.col("n_words") >= min_words) & ((F.col("char_distance") > max_chars) | (F.col("word_distance") > word_limit))
     return d.withColumn("base_failed", failed).withColumn("kept", ~failed & ~far)
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_words: int = 50,
-          max_chars: float = 0.3, max_words: float = 0.55) -> DataFrame:
+          max_chars: float = 0.3, max_words: float = 0.18, word_noise: float = 1.0) -> DataFrame:
     """One row per document: its counts, both distances and whether the rules keep it.
 
     The counts and histograms are taken in one pass and staged; the references
@@ -158,11 +162,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     ref = references(stat, min_words).withColumnRenamed("lang", "ref_lang")
     both = stat.join(ref, F.col("lang").eqNullSafe(F.col("ref_lang")))
     far = both.withColumn("char_distance", js_distance("chars", "ref_chars")).withColumn("word_distance", js_distance("words", "ref_words"))
-    return _verdict(far, min_words, max_chars, max_words).select(
+    return _verdict(far, min_words, max_chars, max_words, word_noise).select(
         "doc_id", *_COUNTS, "base_failed", "kept", "char_distance", "word_distance")
 
 
-def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 50, max_chars: float = 0.3, max_words: float = 0.55) -> DataFrame:
+def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 50, max_chars: float = 0.3,
+             max_words: float = 0.18, word_noise: float = 1.0) -> DataFrame:
     """The documents that :func:`judge` keeps, with all their columns.
 
     Texts never move: the references (a row per language) are joined to the
@@ -176,7 +181,7 @@ def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", mi
     d = docs.join(ref, F.col(lang_col).cast("string").eqNullSafe(F.col(ref_lang))).withColumn(s, stats(raw(F.col(text_col))))
     d = d.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), f"{s}.*", f"{ref_lang}_sums.*")
     d = d.withColumn("char_distance", js_distance("chars", "ref_chars")).withColumn("word_distance", js_distance("words", "ref_words"))
-    return _verdict(d, min_words, max_chars, max_words).where("kept").select("row.*")
+    return _verdict(d, min_words, max_chars, max_words, word_noise).where("kept").select("row.*")
 
 
 def op10_quality_divergence(spark, folder):

@@ -108,6 +108,30 @@ def test_quality_of_hard_rows(spark):
     assert judge(table_of(spark, [])).count() == 0 and accepted(table_of(spark, [])).count() == 0
 
 
+def test_word_lists_are_rejected_by_their_words_alone(spark):
+    random = np.random.default_rng(4)
+    vocabulary = ["".join(random.choice(list("abcdehilmnorstu"), random.integers(3, 9))) for _ in range(900)]
+    common = ["the", "of", "and", "to", "in", "is", "was", "for"]
+
+    def prose(n):
+        return " ".join(random.choice(common) if random.random() < 0.4 else random.choice(vocabulary) for _ in range(n))
+
+    pages = [(i, prose(n)) for i, n in enumerate([50, 60, 80, 120, 200, 400, 800, 2000] * 5)]
+    pages += [(100 + i, " ".join(random.choice(vocabulary, n))) for i, n in enumerate([120, 200, 400, 1200])]
+    docs = table_of(spark, pages)
+    got = {r.doc_id: r for r in judge(docs).collect()}
+    assert all(r.kept for i, r in got.items() if i < 100)
+    assert all(not r.kept and not r.base_failed and r.char_distance <= 0.3 for i, r in got.items() if i >= 100)
+    assert {r.doc_id for r in accepted(docs).collect()} == {i for i in got if i < 100}
+
+
+def test_quality_agrees_with_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = op10_quality_divergence(spark, folder).where("not base_failed").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    bad, good = ([r.kept for r in rows if r.quality == k] for k in (0, 1))
+    assert sum(bad) <= 0.1 * len(bad) and sum(good) >= 0.98 * len(good)
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
