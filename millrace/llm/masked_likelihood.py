@@ -10,8 +10,8 @@ sum of the log-probabilities of its tokens.
 Training is numpy in the tasks: in each round every task runs gradient steps
 over its part of the corpus, starting from the same weights, and the weights are
 averaged over tasks by the number of positions, as sums that Spark combines.
-Every document takes part, with every ``STRIDE``-th of its positions; counting
-and scoring use all.  Weights and counts have fixed sizes, so the driver and the
+Every position of every document is trained once: round ``k`` of ``ROUNDS`` takes
+the positions that leave ``k``.  Weights and counts have fixed sizes, so the driver and the
 tasks hold the same few hundred kilobytes at any scale, while the numbers sent
 to be summed grow with the tasks, and so with the corpus.
 
@@ -38,11 +38,12 @@ from pyspark.sql import types as T
 from millrace.llm.common import byte_rows, documents, raw
 
 TOKENS, INPUTS, CLASSES, OWN = 1 << 16, 1 << 12, 128, 64
-WIDTH, REACH, STRIDE, BATCH = 16, 2, 8, 256
+WIDTH, REACH, ROUNDS, BATCH, SCORED = 16, 2, 2, 256, 1024
 PLACES = [k for k in range(-REACH, REACH + 1) if k]
 _SIZES = {"embed": (INPUTS + 1, WIDTH), "place": (len(PLACES), WIDTH), "bias": (WIDTH,), "out": (WIDTH, CLASSES), "out_bias": (CLASSES,)}
 _LENGTH = sum(int(np.prod(s)) for s in _SIZES.values())
 _CHUNK = 4096  # weights in one row when they are averaged
+_LANES = np.arange(WIDTH)
 
 
 def tokens(text: bytes) -> np.ndarray:
@@ -104,21 +105,21 @@ def log_probabilities(w: Weights, around: np.ndarray, goal: np.ndarray) -> np.nd
 
 def step(w: Weights, around: np.ndarray, goal: np.ndarray, rate: float) -> None:
     """One gradient step on the mean negative log-probability of a batch."""
-    h = hidden(w, around)
-    p = h @ w.out + w.out_bias
+    h, each = hidden(w, around), np.float32(rate / len(goal))
+    p = h @ w.out
+    p += w.out_bias
     p -= p.max(axis=1, keepdims=True)
     np.exp(p, out=p)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(goal)), goal] -= 1
-    p *= np.float32(rate / len(goal))
+    p *= each / p.sum(axis=1, keepdims=True)
+    p[np.arange(len(goal)), goal] -= each
     inner = (p @ w.out.T) * (1 - h * h)
     w.out -= h.T @ p
     w.out_bias -= p.sum(axis=0)
     w.bias -= inner.sum(axis=0)
+    seen, flat = [w.embed[around[:, k]] for k in range(len(PLACES))], w.embed.reshape(-1)
     for k in range(len(PLACES)):
-        seen = w.embed[around[:, k]]
-        np.subtract.at(w.embed, around[:, k], inner * w.place[k])
-        w.place[k] -= (inner * seen).sum(axis=0)
+        np.subtract.at(flat, (around[:, k, None] * WIDTH + _LANES).ravel(), (inner * w.place[k]).ravel())  # .at is fast on one axis
+        w.place[k] -= (inner * seen[k]).sum(axis=0)
 
 
 @dataclass
@@ -159,8 +160,13 @@ def token_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     return out
 
 
-def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.ndarray, rate: float) -> np.ndarray:
-    """The mean of the weights to which the tasks come, each weighed by its positions."""
+def targets(n: int, k: int, rounds: int) -> np.ndarray:
+    """The positions of a text of ``n`` tokens that round ``k`` trains; all rounds together take each once."""
+    return np.arange(k, n, rounds)
+
+
+def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.ndarray, rate: float, k: int, rounds: int) -> np.ndarray:
+    """The mean of the weights to which the tasks come in round ``k``, each weighed by its positions."""
     kind = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("positions", T.LongType()), T.StructField("weights", T.ArrayType(T.DoubleType()))])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,17 +176,17 @@ def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.nda
         for batch in batches:
             for t in byte_rows(batch.column(0)):
                 ids = tokens(t)
-                at = np.arange(len(ids) % STRIDE, len(ids), STRIDE) if len(ids) >= STRIDE else np.arange(len(ids))
+                at = targets(len(ids), k, rounds)
                 kept.append((surroundings(ids, at), classes.of[ids[at]]))
                 size += len(at)
                 if size >= BATCH:
-                    around, goal = (np.concatenate([k[i] for k in kept]) for i in (0, 1))
+                    around, goal = (np.concatenate([x[i] for x in kept]) for i in (0, 1))
                     for i in range(0, size - BATCH + 1, BATCH):
                         step(w, around[i:i + BATCH], goal[i:i + BATCH], rate)
                     done = size // BATCH * BATCH
                     kept, n, size = [(around[done:], goal[done:])], n + done, size - done
         if size:
-            step(w, *(np.concatenate([k[i] for k in kept]) for i in (0, 1)), rate)
+            step(w, *(np.concatenate([x[i] for x in kept]) for i in (0, 1)), rate)
             n += size
         if n:
             parts = [(w.flat() * n)[i:i + _CHUNK] for i in range(0, _LENGTH, _CHUNK)]
@@ -196,11 +202,11 @@ def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.nda
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = 2, rate: float = 1.0) -> tuple[Classes, np.ndarray]:
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 1.0) -> tuple[Classes, np.ndarray]:
     classes = Classes.by_frequency(token_counts(docs, text_col))
     flat = Weights.start(classes.mass).flat()
     for k in range(rounds):
-        flat = trained_round(docs, text_col, classes, flat, rate / (k + 1))
+        flat = trained_round(docs, text_col, classes, flat, rate / (k + 1), k, rounds)
     return classes, flat
 
 
@@ -220,8 +226,8 @@ def pseudo_likelihood(text: Column, model: tuple[Classes, np.ndarray]) -> Column
             for t in byte_rows(batch):
                 ids = tokens(t)
                 value = 0.0
-                for i in range(0, len(ids), 4096):
-                    at = np.arange(i, min(i + 4096, len(ids)))
+                for i in range(0, len(ids), SCORED):
+                    at = np.arange(i, min(i + SCORED, len(ids)))
                     value += float(log_probabilities(w, surroundings(ids, at), classes.of[ids[at]]).sum(dtype=np.float64)) + float(classes.share[ids[at]].sum())
                 n.append(len(ids))
                 total.append(value)

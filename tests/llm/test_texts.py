@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest_rows import hard_rows, table_of
 from millrace.llm.boosted_trees import boost, isotonic
-from millrace.llm.masked_likelihood import CLASSES, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, step, surroundings, train as train_lm
+from millrace.llm.masked_likelihood import CLASSES, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, step, surroundings, targets, train as train_lm
 from millrace.llm.quality_divergence import accepted, judge, op10_quality_divergence, repeated_words, text_stats
 from millrace.llm.sentencepiece_chunks import ChunkTable, decode, default_model, encode, op4_sentencepiece_chunks, processor, separable
 from millrace.llm.toxicity_trees import held_out, op6_toxicity_trees, toxicity, train
@@ -185,6 +185,21 @@ def test_gradient_of_the_window_network():
         assert abs((loss(Weights.of(bumped)) - before) / 1e-2 + moved[k] / rate) < 0.05 * abs(moved[k] / rate) + 1e-3
 
 
+def test_training_takes_every_position_once():
+    for n in (0, 1, 2, 7, 8, 65):
+        for rounds in (1, 2, 3):
+            assert sorted(np.concatenate([targets(n, k, rounds) for k in range(rounds)]).tolist()) == list(range(n))
+
+
+def test_training_learns_between_the_strides(spark):
+    random = np.random.default_rng(5)
+    pairs = lambda: " ".join(f"left{i} right{i}" for i in random.integers(0, 6, 3))
+    docs = table_of(spark, [(i, f"edge {pairs()} end") for i in range(3000)])  # eight words each, of which the first is the same
+    classes, flat = train_lm(docs)
+    mean = lambda weights: docs.select(pseudo_likelihood(F.col("text"), (classes, weights)).alias("s")).agg(F.avg("s.log_likelihood")).first()[0]
+    assert mean(flat) > mean(Weights.start(classes.mass).flat()) + 1
+
+
 def test_op7_scores(spark, folder, texts):
     got = op7_masked_likelihood(spark, folder).collect()
     assert len(got) == len(texts) and all(r.n_tokens == len(texts[r.doc_id].encode().split()) and r.log_likelihood <= 0 for r in got)
