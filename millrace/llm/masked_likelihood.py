@@ -1,19 +1,23 @@
 """Scores of documents by the masked pseudo-likelihood of a bidirectional window network.
 
-Words are hashed to ``TOKENS`` tokens, which are counted over the whole corpus.
-Tokens fall into ``CLASSES`` classes by frequency: the commonest have a class of
+Words are counted over the whole corpus in a table that grows with it.  The
+``HEAD`` commonest are tokens of their own; the others share ``TAIL`` tokens by
+hash, and each has the share of its token that the table gives it, joined by
+word; a word that the table lacks has the share of one mention.  Tokens fall into ``CLASSES`` classes by frequency: the commonest have a class of
 their own, the others share classes of about equal mass.  The network predicts
 the class of each token, left out, from the ``REACH`` tokens on both sides; the
-token's share of its class is its corpus frequency.  A document's score is the
+token's share of its class is its corpus frequency.  As surroundings the
+``OWN_INPUTS`` commonest words stand for themselves, the others for one of the
+rest of ``INPUTS`` by hash.  A document's score is the
 sum of the log-probabilities of its tokens.
 
 Training is numpy in the tasks: in each round every task runs gradient steps
 over its part of the corpus, starting from the same weights, and the weights are
 averaged over tasks by the number of positions, as sums that Spark combines.
 Every position of every document is trained once: round ``k`` of ``ROUNDS`` takes
-the positions that leave ``k``.  Weights and counts have fixed sizes, so the driver and the
-tasks hold the same few hundred kilobytes at any scale, while the numbers sent
-to be summed grow with the tasks, and so with the corpus.
+the positions that leave ``k``.  Weights, classes and the head have fixed sizes, so
+the driver and the tasks hold the same few megabytes at any scale; the word table
+stays in Spark.
 
 Scores depend on how the corpus was split, as gradient steps do, within a run
 all rows are scored by the same weights.
@@ -25,6 +29,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,9 +40,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import byte_rows, documents, raw
+from millrace.llm.common import byte_rows, documents, raw, staged
 
 TOKENS, INPUTS, CLASSES, OWN = 1 << 16, 1 << 12, 128, 64
+TAIL, OWN_INPUTS = 1 << 12, 3 << 10
+HEAD = TOKENS - TAIL
+LONGEST = 256  # bytes of a word of the head, which every task holds
+_COUNTED = 100_000  # distinct words after which a task gives its counts away
 WIDTH, REACH, ROUNDS, BATCH, SCORED = 16, 2, 2, 256, 1024
 PLACES = [k for k in range(-REACH, REACH + 1) if k]
 _SIZES = {"embed": (INPUTS + 1, WIDTH), "place": (len(PLACES), WIDTH), "bias": (WIDTH,), "out": (WIDTH, CLASSES), "out_bias": (CLASSES,)}
@@ -46,9 +55,17 @@ _CHUNK = 4096  # weights in one row when they are averaged
 _LANES = np.arange(WIDTH)
 
 
-def tokens(text: bytes) -> np.ndarray:
-    words = text.split()  # bytes: splits on 0x20 and 0x09-0x0D
-    return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) % np.uint64(TOKENS)).astype(np.int64)
+def tail_token(word: bytes) -> int:
+    return HEAD + xxhash.xxh3_64_intdigest(word) % TAIL
+
+
+def tokens(words: list[bytes], head: dict[bytes, int]) -> np.ndarray:
+    """The token of each word: its place in the head, or one of the tail by hash."""
+    get = head.get
+    ids = np.fromiter([get(w, -1) for w in words], np.int64, len(words))
+    for i in np.flatnonzero(ids < 0).tolist():
+        ids[i] = tail_token(words[i])
+    return ids
 
 
 @dataclass
@@ -84,7 +101,8 @@ class Weights:
 
 def surroundings(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The input tokens around each place; beyond the ends stands an empty one."""
-    padded = np.concatenate([np.full(REACH, INPUTS), ids % INPUTS, np.full(REACH, INPUTS)])
+    inputs = np.where(ids < OWN_INPUTS, ids, OWN_INPUTS + ids % (INPUTS - OWN_INPUTS))
+    padded = np.concatenate([np.full(REACH, INPUTS), inputs, np.full(REACH, INPUTS)])
     return np.stack([padded[at + REACH + k] for k in PLACES], axis=1)
 
 
@@ -122,6 +140,15 @@ def step(w: Weights, around: np.ndarray, goal: np.ndarray, rate: float) -> None:
         w.place[k] -= (inner * seen[k]).sum(axis=0)
 
 
+@dataclass
+class Words:
+    """The token of each word of the head, the log-share of one mention in each token of the tail, and the table (word, n) of all words."""
+
+    head: dict[bytes, int]
+    one: np.ndarray
+    table: DataFrame
+
+
 @dataclass
 class Classes:
     """The class of each token, and the log of its share of the class."""
@@ -129,6 +156,7 @@ class Classes:
     of: np.ndarray
     share: np.ndarray
     mass: np.ndarray
+    words: Words | None = None
 
     @classmethod
     def by_frequency(cls, counts: np.ndarray) -> Classes:
@@ -142,22 +170,45 @@ class Classes:
         return cls(of, np.log(counts / mass[of]), mass / mass.sum())
 
 
-def token_counts(docs: DataFrame, text_col: str) -> np.ndarray:
-    """Occurrences of each token in all documents: summed in the tasks, then by Spark."""
-    kind = T.StructType([T.StructField("token", T.IntegerType()), T.StructField("n", T.LongType())])
+def word_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """(word, token, n) of each distinct word of all documents; token is the one it has in the tail."""
+    kind = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("token", T.IntegerType()), T.StructField("n", T.LongType())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(TOKENS, np.int64)
+    def given(count: Counter) -> pa.RecordBatch:
+        words = list(count)
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([tail_token(w) for w in words], pa.int32()), pa.array(list(count.values()), pa.int64())], names=kind.names)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
         for batch in batches:
             for t in byte_rows(batch.column(0)):
-                np.add.at(total, tokens(t), 1)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(total[seen])], names=kind.names)
-
-    out = np.zeros(TOKENS)
-    got = docs.select(raw(F.col(text_col)).alias("bytes")).mapInArrow(count, kind).groupBy("token").agg(F.sum("n").alias("n")).toPandas()  # at most TOKENS rows
-    out[got["token"].to_numpy(np.int64)] = got["n"].to_numpy(float)
-    return out
+                count.update(t.split())  # bytes: splits on 0x20 and 0x09-0x0D
+                if len(count) > _COUNTED:
+                    yield given(count)
+                    count = Counter()
+        if count:
+            yield given(count)
+
+    each = docs.select(raw(F.col(text_col)).alias("bytes")).mapInArrow(counted, kind)
+    return staged(each.groupBy("word", "token").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(docs: DataFrame, text_col: str) -> Classes:
+    """The words of the corpus and the classes of their tokens; the driver gets the head and a row for each token of the tail."""
+    table = word_table(docs, text_col)
+    top = table.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(HEAD).select("word", "n").toPandas()
+    head = {bytes(w): i for i, w in enumerate(top["word"])}
+    counts = np.zeros(TOKENS)
+    counts[:len(top)] = top["n"].to_numpy(float)
+    sums = table.groupBy("token").agg(F.sum("n").alias("n"), F.count("*").alias("words")).toPandas()  # at most TAIL rows
+    size = np.zeros((TOKENS, 2))
+    size[sums["token"].to_numpy(np.int64)] = sums[["n", "words"]].to_numpy(float)
+    for w, n in zip(head, top["n"].tolist(), strict=True):
+        size[tail_token(w)] -= (n, 1)
+    counts[HEAD:] = size[HEAD:, 0]
+    classes = Classes.by_frequency(counts)
+    classes.words = Words(head, -np.log(size[HEAD:].sum(axis=1) + 1), table.select("word", "n"))  # each word counts once more, and so does one not seen
+    return classes
 
 
 def targets(n: int, k: int, rounds: int) -> np.ndarray:
@@ -169,15 +220,17 @@ def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.nda
     """The mean of the weights to which the tasks come in round ``k``, each weighed by its positions."""
     kind = T.StructType([T.StructField("chunk", T.IntegerType()), T.StructField("positions", T.LongType()), T.StructField("weights", T.ArrayType(T.DoubleType()))])
 
+    head, of = classes.words.head, classes.of
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, n = Weights.of(flat), 0
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
             for t in byte_rows(batch.column(0)):
-                ids = tokens(t)
+                ids = tokens(t.split(), head)
                 at = targets(len(ids), k, rounds)
-                kept.append((surroundings(ids, at), classes.of[ids[at]]))
+                kept.append((surroundings(ids, at), of[ids[at]]))
                 size += len(at)
                 if size >= BATCH:
                     around, goal = (np.concatenate([x[i] for x in kept]) for i in (0, 1))
@@ -203,40 +256,54 @@ def trained_round(docs: DataFrame, text_col: str, classes: Classes, flat: np.nda
 
 
 def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = 1.0) -> tuple[Classes, np.ndarray]:
-    classes = Classes.by_frequency(token_counts(docs, text_col))
+    classes = vocabulary(docs, text_col)
     flat = Weights.start(classes.mass).flat()
     for k in range(rounds):
         flat = trained_round(docs, text_col, classes, flat, rate / (k + 1), k, rounds)
     return classes, flat
 
 
-SCORE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType())])
+SCORE = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("log_likelihood", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType()))])
 
 
 def pseudo_likelihood(text: Column, model: tuple[Classes, np.ndarray]) -> Column:
-    """Number of tokens and their summed conditional log-probabilities."""
+    """Number of tokens, their summed conditional log-probabilities, and the words of the tail, which count here as mentioned never."""
     classes, flat = model
     flat = flat.astype(np.float32)
+    head, one, of, share = classes.words.head, classes.words.one, classes.of, classes.share
 
     @F.arrow_udf(SCORE)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = Weights.of(flat)
         for batch in batches:
-            n, total = [], []
+            n, total, rare = [], [], []
             for t in byte_rows(batch):
-                ids = tokens(t)
-                value = 0.0
+                words = t.split()
+                ids = tokens(words, head)
+                tail = np.flatnonzero(ids >= HEAD)
+                value = float(one[ids[tail] - HEAD].sum()) + float(share[ids].sum())
                 for i in range(0, len(ids), SCORED):
                     at = np.arange(i, min(i + SCORED, len(ids)))
-                    value += float(log_probabilities(w, surroundings(ids, at), classes.of[ids[at]]).sum(dtype=np.float64)) + float(classes.share[ids[at]].sum())
+                    value += float(log_probabilities(w, surroundings(ids, at), of[ids[at]]).sum(dtype=np.float64))
                 n.append(len(ids))
                 total.append(value)
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64())], SCORE.names)
+                rare.append([words[i] for i in tail.tolist()])
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(rare, pa.list_(pa.binary()))], SCORE.names)
 
     return score(raw(text))
 
 
+def scored(docs: DataFrame, model: tuple[Classes, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, log_likelihood) of each document; words of the tail are joined to the table by word."""
+    rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), pseudo_likelihood(F.col(text_col), model).alias("s"))
+                  .select("row", "doc_id", "s.*"), "scores")
+    seen = model[0].words.table.select("word", F.log(F.col("n") + 1).alias("more"))
+    more = rows.select("row", F.explode("rare").alias("word")).join(seen, "word").groupBy("row").agg(F.sum("more").alias("more"))
+    both = rows.drop("rare").join(more, "row", "left")
+    return both.select("doc_id", "n_tokens", (F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))).alias("log_likelihood"))
+
+
 def op7_masked_likelihood(spark, folder):
     docs = documents(spark, folder)
-    d = docs.select("doc_id", pseudo_likelihood(F.col("text"), train(docs)).alias("s")).select("doc_id", "s.*")
+    d = scored(docs, train(docs))
     return d.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

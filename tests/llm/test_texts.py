@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest_rows import hard_rows, table_of
 from millrace.llm.boosted_trees import boost, isotonic
-from millrace.llm.masked_likelihood import CLASSES, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, step, surroundings, targets, train as train_lm
+from millrace.llm.masked_likelihood import CLASSES, HEAD, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, scored, step, tail_token, surroundings, targets, train as train_lm
 from millrace.llm.quality_divergence import accepted, judge, op10_quality_divergence, repeated_words, text_stats
 from millrace.llm.sentencepiece_chunks import ChunkTable, decode, default_model, encode, op4_sentencepiece_chunks, processor, separable
 from millrace.llm.toxicity_trees import held_out, op6_toxicity_trees, toxicity, train
@@ -200,6 +200,18 @@ def test_training_learns_between_the_strides(spark):
     assert mean(flat) > mean(Weights.start(classes.mass).flat()) + 1
 
 
+def test_words_of_the_tail_score_by_their_own_counts(spark):
+    names = [f"w{i}" for i in range(HEAD)]
+    docs = [(i, " ".join(names[i:i + 2000] * 6)) for i in range(0, HEAD, 2000)]  # they fill the head
+    often = "rare"
+    seldom = next(w for w in (f"x{i}" for i in range(10**6)) if tail_token(w.encode()) == tail_token(b"rare"))
+    unseen = next(w for w in (f"y{i}" for i in range(10**6)) if tail_token(w.encode()) == tail_token(b"rare"))
+    model = train_lm(table_of(spark, docs + [(-1, " ".join([often] * 4 + [seldom]))]))
+    got = {r.doc_id: r.log_likelihood for r in scored(table_of(spark, [(1, often), (2, seldom), (3, unseen), (4, None)]), model).collect()}
+    assert abs(got[1] - got[3] - math.log(5)) < 1e-6 and abs(got[2] - got[3] - math.log(2)) < 1e-6 and got[4] == 0
+    assert model[0].words.table.count() == HEAD + 2
+
+
 def test_op7_scores(spark, folder, texts):
     got = op7_masked_likelihood(spark, folder).collect()
     assert len(got) == len(texts) and all(r.n_tokens == len(texts[r.doc_id].encode().split()) and r.log_likelihood <= 0 for r in got)
