@@ -1,7 +1,8 @@
 """Replaces personal data by keyed surrogates, in native functions only.
 
 One pattern finds e-mail and IP addresses, card and account numbers, phone and
-social-security numbers, and names behind a form of address.  Every distinct
+social-security numbers, and names behind a form of address; further capitalised
+mentions of such a name in the same document are found by a join.  Every distinct
 entity of the corpus gets one surrogate, so mentions of one person or number
 stay mentions of one (coreference), whatever the case or the separators:
 
@@ -33,6 +34,7 @@ from millrace.llm.secret_ownership import SPAN, match_spans
 # Forms of address that tell a gender.
 MALE = ("Mr", "Sir", "Lord", "Herr", "Herrn", "Monsieur", "Señor", "Don", "Г-н", "Господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Lady", "Madam", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Doña", "Г-жа", "Госпожа")
+NEUTRAL = ("Dr", "Prof", "Doctor", "Professor", "Доктор", "Профессор")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -41,9 +43,10 @@ ACCOUNT = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w+])\d(?:[ -]?\d){12,18}(?!\w)"
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)"
-NAME = rf"(?<!\w)(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"
+NAME = rf"(?<!\w)(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"
+MENTION = r"(?<![\p{L}\d_'-])\p{Lu}[\p{L}'-]*?\p{L}(?=(?:['’]s)?(?![\p{L}\d_'-]))"
 ENTITY = "|".join((EMAIL, IP, ACCOUNT, SOCIAL, CARD, PHONE, NAME))
-HINT = rf"@|\d\.\d|\d{{3}}|\+\d|\(\d|(?:{'|'.join(MALE + FEMALE)})\.? "
+HINT = rf"@|\d\.\d|\d{{3}}|\+\d|\(\d|(?:{'|'.join(MALE + FEMALE + NEUTRAL)})\.? "
 
 KINDS = ("email", "ip", "account", "social", "card", "phone", "given_f", "given_m", "surname")
 # Syllables of made-up names.
@@ -77,6 +80,15 @@ def entities(text: Column) -> Column:
     return F.flatten(F.transform(plain, parts))
 
 
+def mentions(rows: DataFrame, each: DataFrame, text: Column) -> DataFrame:
+    """Further mentions, like ``each``, of the names found in a row: capitalised words outside the spans found."""
+    names = each.where(F.col("kind").isin("given_f", "given_m", "surname")).groupBy("row", "norm").agg(F.max("kind").alias("kind"))  # a surname before a given name
+    named = rows.where(F.exists("found", lambda x: x["kind"].isin("given_f", "given_m", "surname")))
+    free = lambda x: ~F.exists("found", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
+    words = named.select("row", F.explode(F.filter(match_spans(text, MENTION, 0), free)).alias("e")).select("row", F.col("e.start").alias("start"), F.col("e.end").alias("end"), F.col("e.value").alias("value"))
+    return words.withColumn("norm", F.lower("value")).join(names, ["row", "norm"]).select("row", "start", "end", "kind", "value", "norm")
+
+
 def normal(kind: Column, value: Column) -> Column:
     """What all mentions of an entity have in common."""
     return F.when(kind.isin("card", "phone", "social"), F.regexp_replace(value, r"[^\d+]", "")).when(kind == "account", F.regexp_replace(value, " ", "")).otherwise(F.lower(value))
@@ -190,7 +202,8 @@ def replaced(docs: DataFrame, key: str = "surrogates", text_col: str = "text") -
     rows = staged(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
                               entities(F.coalesce(F.col(text_col), F.lit(""))).alias("found")), "entity-rows")
     each = rows.select("row", F.explode("found").alias("e")).select("row", "e.*").withColumn("norm", normal(F.col("kind"), F.col("value")))
-    new = each.join(assigned(each, key), ["kind", "norm"])
+    every = each.unionByName(mentions(rows, each, F.col(f"doc.`{text_col}`")))
+    new = every.join(assigned(each, key), ["kind", "norm"])
     span = F.struct("start", "end", "kind", fitted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new"))
     per = new.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     text = F.col(f"doc.`{text_col}`")

@@ -99,3 +99,13 @@ def test_op5_and_hard_rows(spark, folder, texts):
     assert out.columns == [*hard.columns, "replacements"]
     assert sorted(map(str, (r.text for r in out.collect()))) == sorted(str(t) for _, t in hard_rows())
     assert replaced(table_of(spark, [])).count() == 0
+
+
+def test_later_mentions_of_a_name_get_its_surrogate(spark):
+    from millrace.llm.surrogates import replaced
+
+    docs = table_of(spark, [(1, "Mr John Smith came. Smith said that John's dog and Smithson left."), (2, "Smith is here."), (3, "Dr Jane Miller met Miller.")])
+    got = {r.doc_id: r.text for r in replaced(docs).collect()}
+    words = got[1].split()
+    assert words[4] == words[2].rstrip(".") and words[7] == words[1] + "'s" and words[10] == "Smithson" and "Smith " not in got[1] and "John" not in got[1]
+    assert got[2] == "Smith is here." and "Miller" not in got[3] and "Jane" not in got[3]
