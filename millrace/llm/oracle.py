@@ -39,3 +39,49 @@ reach as (select x, y from links union select r.x, l.y from reach r join links l
 low as (select x, min(y) as y from reach group by x)
 select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(y, d.doc_id)) as component_id, d.doc_id = least(d.doc_id, coalesce(y, d.doc_id)) as kept
 from d left join n using (doc_id) left join low on x = d.doc_id"""
+
+
+def _rounds(dimensions: int = 64, scale: int = 256, k: int = 40, rounds: int = 5, seed: str = "2") -> str:
+    """Clustering as a chain of steps; entries are rows (id, place, value), and tables are kept as they are used twice."""
+    steps = [f"d as materialized (select row_number() over () as id, vec_id, list_transform(embedding, lambda c: floor({scale} * c::double)::bigint) as x from embeddings "
+             f"where embedding is not null and len(embedding) = {dimensions} and len(list_filter(embedding, lambda c: c is not null and isfinite(c))) = {dimensions})",
+             f"e as materialized (select id, unnest(x) as v, unnest(range({dimensions})) as p from d)",
+             f"f as (select x, row_number() over (order by sha256('{seed}:' || vec_id) nulls last, x) - 1 as c from d qualify c < {k})",
+             f"c0 as materialized (select c, unnest(x) as v, unnest(range({dimensions})) as p from f)"]
+    for r in range(rounds + 1):
+        steps.append(f"far{r} as (select e.id, c.c, sum((e.v - c.v) * (e.v - c.v))::bigint as distance from e join c{r} c using (p) group by all)")
+        steps.append(f"a{r} as materialized (select id, c, distance from far{r} qualify row_number() over (partition by id order by distance, c) = 1)")
+        if r < rounds:
+            steps.append(f"s{r} as (select a.c, e.p, sum(e.v)::bigint as s, count(*) as n from e join a{r} a using (id) group by all)")
+            steps.append(f"c{r + 1} as materialized (select c.c, c.p, case when n is null then c.v else (s - ((s % n) + n) % n) // n end as v from c{r} c left join s{r} using (c, p))")
+    steps.append(f"h as (select c, sha256(string_agg(v::varchar, ',' order by p)) as centroid_sha256 from c{rounds} group by c)")
+    return (f"with {', '.join(steps)} select vec_id, c::int as cluster, distance, (sum(distance) over (partition by c))::bigint as cluster_inertia, "
+            f"(sum(distance) over ())::bigint as inertia, centroid_sha256 from a{rounds} join h using (c) join d using (id)")
+
+
+SQL["op12_centroid_simplex"] = _rounds()
+
+
+def _licenses() -> str:
+    """The rules as a table of values, tried at every word and pair of words; a finding falls to a better one around it."""
+    from millrace.llm.license_rules import REACH
+    from millrace.llm.license_signatures import WEIGHTS, rules
+
+    quoted = lambda t: "'" + t.replace("'", "''") + "'"
+    values = ", ".join(f"({quoted(r.keyword)}, {quoted(f'^({r.pattern})(?: |$)')}, {quoted(r.label)}, {r.tier}, {k}, {WEIGHTS[r.tier]}::double)" for k, r in enumerate(rules()))
+    return rf"""
+with rules(keyword, pattern, label, tier, number, weight) as materialized (values {values}),
+d as materialized (select row_number() over () as id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+spots as (select id, w, unnest(range(len(w))) as i from d),
+keys as (select id, i, w, unnest(list_distinct([w[i + 1], array_to_string(w[i + 1:i + 2], ' ')])) as keyword from spots),
+tried as (select id, i, label, tier, number, weight, regexp_extract(array_to_string(w[i + 1:i + {REACH}], ' '), pattern, 1) as hit from keys join rules using (keyword)),
+found as materialized (select *, i + len(string_split(hit, ' ')) as e from tried where hit <> ''),
+kept as (select * from found b where tier = 0 or not exists (select 1 from found a where a.id = b.id and a.tier > 0 and a.i <= b.i and a.e >= b.e
+  and (a.tier < b.tier or (a.tier = b.tier and (a.i < b.i or (a.i = b.i and (a.e > b.e or (a.e = b.e and a.number < b.number)))))))),
+per as (select id, count(*) filter (tier = 0) as n_base, min(i) filter (tier = 0) as first_word, max(i) filter (tier = 0) as last_word,
+  string_agg(distinct label, ',' order by label) filter (tier = 0) as base_labels, string_agg(distinct label, ',' order by label) as labels, max(weight) as score, count(*) filter (tier > 0) as n_found from kept group by id)
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0) as score, coalesce(n_found, 0) as n_found
+from d left join per using (id)"""
+
+
+SQL["op13_license_rules"] = _licenses()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from millrace.llm.centroid_simplex import op12_centroid_simplex
+from millrace.llm.license_rules import op13_license_rules
 from millrace.llm.masked_likelihood import op7_masked_likelihood
 from millrace.llm.minhash_components import op8_minhash_components
 from millrace.llm.oracle import SQL  # noqa: F401
@@ -13,6 +15,8 @@ from millrace.llm.simhash_windows import op9_simhash_windows
 from millrace.llm.suffix_dedup import op2_suffix_dedup
 from millrace.llm.surrogates import op5_surrogates
 from millrace.llm.toxicity_trees import op6_toxicity_trees
+from millrace.llm.whitening_feast import op11_whitening_feast
 
 QUERIES = {f.__name__: f for f in (op1_secret_ownership, op2_suffix_dedup, op3_relative_lz, op4_sentencepiece_chunks, op5_surrogates,
-                                   op6_toxicity_trees, op7_masked_likelihood, op8_minhash_components, op9_simhash_windows, op10_quality_divergence)}
+                                   op6_toxicity_trees, op7_masked_likelihood, op8_minhash_components, op9_simhash_windows, op10_quality_divergence,
+                                   op11_whitening_feast, op12_centroid_simplex, op13_license_rules)}
