@@ -4,9 +4,9 @@ A few pivots span a simplex.  The distances of a vector to the pivots are taken
 once, and give its apex: its coordinates in the space of the simplex and its
 height above that space.  Of two vectors, the distance of the apexes is at most
 their true distance; with one of the apexes mirrored below the base it is at
-least that.  Both cost a few numbers instead of a whole vector, so a centroid
-whose lower bound exceeds the least upper bound is passed over, and only the
-others are compared, exactly, in whole numbers.  Ties go to the smaller number.
+least that.  Both cost a few numbers instead of a whole vector.  A centroid whose
+lower bound exceeds the least upper bound, or the distance to the one of the least lower bound, is passed
+over, and only the others are compared, exactly, in whole numbers.  Ties go to the smaller number.
 
 Vectors and apexes are written once.  Each round reads them, sums every cluster
 within its task and then over the tasks; the driver gets one sum per cluster and
@@ -83,19 +83,30 @@ def bounds(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return inside + (a[:, -1:] - b[:, -1]) ** 2, inside + (a[:, -1:] + b[:, -1]) ** 2
 
 
-def nearest(x: np.ndarray, apex: np.ndarray, centroids: np.ndarray, centroid_apex: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Nearest centroid and squared distance of each row, and how many distances were taken for them."""
-    low, high = bounds(apex, centroid_apex)
-    scale = (apex**2).sum(1) + (centroid_apex**2).sum(1).max()
-    row, number = np.nonzero(low <= (high.min(1) + MARGIN * (scale + 1))[:, None])
+def _squares(x: np.ndarray, centroids: np.ndarray, row: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Exact squared distances of some pairs."""
     far = np.empty(len(row), np.int64)
     for k in range(0, len(row), _PAIRS):
         d = x[row[k:k + _PAIRS]] - centroids[number[k:k + _PAIRS]]
         far[k:k + _PAIRS] = np.einsum("ij,ij->i", d, d)
-    first = np.searchsorted(row, np.arange(len(x)))
-    least = np.minimum.reduceat(far, first)
+    return far
+
+
+def nearest(x: np.ndarray, apex: np.ndarray, centroids: np.ndarray, centroid_apex: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Nearest centroid and squared distance of each row, and how many distances were taken for them.
+
+    The centroid of the least lower bound is compared first; its distance, or the least upper bound, is what others must reach.
+    """
+    low, high = bounds(apex, centroid_apex)
+    scale = (apex**2).sum(1) + (centroid_apex**2).sum(1).max()
+    each = np.arange(len(x))
+    first = low.argmin(1)
+    least = np.minimum(high.min(1), _squares(x, centroids, each, first))
+    row, number = np.nonzero(low <= (least + MARGIN * (scale + 1))[:, None])
+    far = _squares(x, centroids, row, number)
+    least = np.minimum.reduceat(far, np.searchsorted(row, each))
     best = np.flatnonzero(far == least[row])  # in order of row, then number
-    return number[best[np.searchsorted(row[best], np.arange(len(x)))]], least, len(row)
+    return number[best[np.searchsorted(row[best], each)]], least, len(row) + len(x)
 
 
 def _matrix(a: pa.Array, kind) -> np.ndarray:
