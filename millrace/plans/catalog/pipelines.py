@@ -181,33 +181,39 @@ def cdc_summary(s):
     return cd.position_summary(current, ["ticker", "position"])
 
 
-def _arrivals(s, name, parts=4):
+#: Files that a batch of the streaming queries takes; more than one, so the number of batches stays small for many files.
+MORE_FILES = 64
+
+
+def _arrivals(s, name, lots=2):
     """The change log as files that arrive out of commit order, for the streaming queries."""
     path = scratch(s.spark, name)
-    log = _order_changes(s).withColumn("arrival", F.pmod(F.xxhash64("key", "committed_at"), F.lit(parts)))
-    log.repartition(parts, "arrival").drop("arrival").write.parquet(path)
-    return path, log.drop("arrival").schema
+    log = _order_changes(s)
+    for lot in range(lots):
+        log.where(F.pmod(F.xxhash64("key", "committed_at"), F.lit(lots)) == lot).write.mode("append").parquet(path)
+    return path, log.schema
 
 
 @query
 def stream_current_state(s):
-    """The current state kept by a stream, file by file, including late changes."""
+    """The current state kept by a stream, file by file, including late changes, with a restart in between."""
     path, schema = _arrivals(s, "changes")
     root = scratch(s.spark, "state")
-    stream = cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=1)
-    cd.run_available(cd.stream_current_state(stream, root, f"{root}/checkpoint", "key", "committed_at", buckets=8))
-    state = cd.StateTable(s.spark, root, schema, "key", 8).read()
-    return _shown_state(state.where("action <> 'DELETE'"))
+    keep = lambda: cd.run_available(cd.stream_current_state(cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=MORE_FILES), f"{root}/rows", f"{root}/checkpoint", "key", "committed_at"))
+    keep()
+    late = s.spark.read.schema(schema).parquet(path).where("action = 'INSERT'").withColumn("committed_at", F.col("committed_at") - 10**12)
+    late.write.mode("append").parquet(path)  # older than all: without effect
+    keep()
+    return _shown_state(cd.kept_state(s.spark, f"{root}/rows", schema, "key").where("action <> 'DELETE'"))
 
 
 @query
 def stream_scd2(s):
-    """The type-2 history kept by a stream: touched keys are recomputed per batch."""
+    """The type-2 history kept by a stream that only appends."""
     path, schema = _arrivals(s, "changes")
     root = scratch(s.spark, "history")
-    stream = cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=1)
-    cd.run_available(cd.stream_scd2(stream, f"{root}/log", f"{root}/state", f"{root}/checkpoint", "key", "committed_at", "action", 24 * HOUR_MS, buckets=8))
-    return _shown_history(cd.StateTable(s.spark, f"{root}/state", cd.scd2_schema(schema, "committed_at"), "key", 8).read())
+    cd.run_available(cd.stream_scd2(cd.read_changes(s.spark, path, schema, maxFilesPerTrigger=MORE_FILES), f"{root}/log", f"{root}/checkpoint"))
+    return _shown_history(cd.kept_history(s.spark, f"{root}/log", schema, "key", "committed_at", "action", 24 * HOUR_MS))
 
 
 @query
@@ -261,32 +267,60 @@ def csv_round_trip_values(s):
     return files.read_csv(s.spark, path, df.schema, header=True, multi_line=True, null_tokens=("\\N",))
 
 
+_LOAD = "o_orderkey bigint, o_totalprice double, note string"
+
+
+def _written_orders(s, path, status, bad):
+    """Orders of a status as CSV: padded and missing numbers, quotes, commas and blanks in a text, and, if wanted, values and rows that do not load."""
+    key, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    wrong = (key % 10 == 3) & F.lit(bad)
+    rows = s.orders.where(f"o_orderstatus = '{status}'").select(
+        F.when(wrong, F.concat(F.lit("no "), text)).otherwise(F.concat(F.lit(" "), text, F.lit(" "))).alias("k"),
+        F.when(key % 4 == 0, F.when(key % 8 == 0, "NULL").otherwise("")).otherwise(F.col("o_totalprice").cast("string")).alias("p"),
+        F.concat(F.lit('a "q, '), F.col("o_orderstatus"), F.lit('" b ')).alias("note"))
+    files.unload_csv(rows, path, header=False, overwrite=False, compression="none")
+    if bad:
+        s.spark.range(1).select(F.lit("7,8").alias("value")).write.mode("append").text(path)
+
+
 @query
 def copy_into_once(s):
-    """Loading twice loads each file once; a new file loads alone."""
-    root = scratch(s.spark, "load")
-    schema = "o_orderkey bigint, o_orderstatus string"
+    """Loading again loads each file once, in three modes: padded numbers, quoted text and null tokens arrive whole, and rows that do not load as the mode says."""
     counts = []
-    for step in ("F", None, "O"):
-        if step:
-            s.orders.where(f"o_orderstatus = '{step}'").select("o_orderkey", "o_orderstatus").write.mode("append").csv(f"{root}/in")
-        cd.copy_into(s.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", schema)
-        counts.append(_frozen(s, f"{root}/out", f"{root}/count-{len(counts) + 1}", len(counts) + 1))
+    for mode in ("stop", "skip", "report"):
+        root = scratch(s.spark, "load")
+        for step, status in enumerate(("F", None, "O")):
+            if status:
+                _written_orders(s, f"{root}/in", status, mode != "stop")
+            cd.copy_into(s.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", _LOAD, on_error=mode, null_tokens=("NULL", ""))
+            rows = cd.loaded(s.spark, f"{root}/out")
+            counted = rows.groupBy("note").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.count("o_totalprice").alias("prices"))
+            if mode == "report":
+                bad = F.regexp_replace(F.regexp_replace("reason", "[0-9]+", "9"), "(?s)^not.*", "fields")
+                counted = counted.unionByName(cd.rejects(s.spark, f"{root}/out").groupBy(bad.alias("note")).agg(F.count("file").alias("n")), allowMissingColumns=True)
+            counts.append(files.save(counted.withColumns({"mode": F.lit(mode), "load": F.lit(step + 1)}), f"{root}/count-{step}"))
     return union_all(*counts)
 
 
-def _frozen(s, table, path, step):
-    return files.save(s.spark.read.parquet(table).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn("load", F.lit(step)), path)
+@query
+def ingest_pipe(s):
+    """A continuous load that stamps each row with its load time and reports the rows that do not load."""
+    root = scratch(s.spark, "pipe")
+    _written_orders(s, f"{root}/in", "P", True)
+    cd.run_available(cd.ingest_stream(s.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", _LOAD, lag=None, zone="Europe/Paris", null_tokens=("NULL", "")))
+    good = cd.loaded(s.spark, f"{root}/out").groupBy("note").agg(F.count("o_orderkey").alias("n"), F.count("o_totalprice").alias("prices"), F.count("insert_ts").alias("stamped"))
+    return good.unionByName(cd.rejects(s.spark, f"{root}/out").groupBy(F.lit("rejected").alias("note")).agg(F.count("reason").alias("n")), allowMissingColumns=True)
 
 
 @query
-def ingest_pipe(s):
-    """A continuous load that stamps each row with its load time."""
+def json_pipe(s):
+    """JSON lines loaded into one column; lines that are none are reported."""
     root = scratch(s.spark, "pipe")
-    s.nation.write.csv(f"{root}/in")
-    cd.run_available(cd.ingest_stream(s.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", "n_nationkey int, n_name string, n_regionkey int", lag=None, zone="Europe/Paris"))
-    out = s.spark.read.parquet(f"{root}/out")
-    return out.groupBy("n_regionkey").agg(F.count("n_name").alias("n"), F.count("insert_ts").alias("stamped"))
+    line = F.to_json(F.struct("o_orderkey", "o_orderpriority"))
+    s.orders.select(F.when(F.col("o_orderkey") % 7 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(f"{root}/in")
+    cd.copy_into(s.spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", "v variant", kind="json", on_error="report")
+    good = cd.loaded(s.spark, f"{root}/out").groupBy(js.json_get("v", "o_orderpriority", "string").alias("priority")).agg(F.count(F.lit(1)).alias("n"), F.sum(js.json_get("v", "o_orderkey", "bigint")).alias("keys"))
+    return good.unionByName(cd.rejects(s.spark, f"{root}/out").groupBy("reason").agg(F.count("row").alias("n")).withColumnRenamed("reason", "priority"), allowMissingColumns=True)
 
 
 @query

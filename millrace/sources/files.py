@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.semantics import lenient_cast
+from millrace.session import work_dir
 
 
 def blank_to_null(df: DataFrame, tokens=("",)) -> DataFrame:
@@ -15,6 +18,30 @@ def blank_to_null(df: DataFrame, tokens=("",)) -> DataFrame:
                        if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
+#: Columns that text-first reading adds: the whole record where its fields are not those of the schema, and its file.
+RECORD, FILE = "__record", "__file"
+
+
+def csv_text(reader, path, schema: T.StructType, header: bool = False, delimiter: str = ",", quote: str = '"', null_tokens=("", "\\N"),
+             pattern: str | None = None, trim: bool = False, multi_line: bool = False) -> DataFrame:
+    """The columns of a schema as text, null tokens as NULL, by ``spark.read`` or ``spark.readStream``.
+
+    ``__record`` holds a record that has too few or too many fields, else NULL; ``__file`` is the path of its file.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields] + [T.StructField(RECORD, T.StringType())])
+    df = _csv_options(reader, header, delimiter, quote, null_tokens, trim, multi_line).option("columnNameOfCorruptRecord", RECORD).schema(text).csv(path)
+    path_of = F.col("_metadata.file_path")
+    df = df.where(path_of.rlike(pattern)) if pattern else df
+    value = lambda n: F.when(F.col(f"`{n}`").isin(*null_tokens), None).otherwise(F.col(f"`{n}`")) if null_tokens else F.col(f"`{n}`")
+    return df.select(*[value(f.name).alias(f.name) for f in schema.fields], RECORD, path_of.alias(FILE))
+
+
+def _csv_options(reader, header, delimiter, quote, null_tokens, trim, multi_line):
+    return reader.option("header", header).option("sep", delimiter).option("quote", quote).option("escape", quote) \
+        .option("mode", "PERMISSIVE").option("nullValue", null_tokens[0] if null_tokens else "").option("emptyValue", "").option("multiLine", multi_line) \
+        .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
+
+
 def read_csv(spark: SparkSession, path, schema=None, header: bool = False, delimiter: str = ",", quote: str = '"',
              null_tokens=("", "\\N"), pattern: str | None = None, trim: bool = False, multi_line: bool = False, on_error: str = "null") -> DataFrame:
     """CSV files as text or as typed columns.
@@ -28,9 +55,7 @@ def read_csv(spark: SparkSession, path, schema=None, header: bool = False, delim
     recognised by suffix and invalid UTF-8 is replaced.  ``pattern`` is a regular
     expression on the path.
     """
-    reader = spark.read.option("header", header).option("sep", delimiter).option("quote", quote).option("escape", quote) \
-        .option("mode", "PERMISSIVE").option("nullValue", null_tokens[0] if null_tokens else "").option("emptyValue", "").option("multiLine", multi_line) \
-        .option("ignoreLeadingWhiteSpace", trim).option("ignoreTrailingWhiteSpace", trim)
+    reader = _csv_options(spark.read, header, delimiter, quote, null_tokens, trim, multi_line)
     if schema is not None:
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
@@ -153,14 +178,88 @@ def load_rows(df: DataFrame, schema: T.StructType | str, on_error: str = "stop")
     return typed(checked, schema)
 
 
-def _rows_in(df: DataFrame, bytes_per_file: int, rows_per_file: int) -> int:
-    """Rows of which a file holds fewer bytes than asked, from the longest row."""
-    if not bytes_per_file:
-        return rows_per_file
-    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]))) * 2 + 4 * len(df.columns)
-    longest = df.agg(F.max(row)).first()[0] or 1
-    fits = max(1, bytes_per_file // longest)
-    return min(fits, rows_per_file) if rows_per_file else fits
+def reject_reason(schema: T.StructType) -> Column:
+    """Why a text row of :func:`csv_text` can't be loaded as the schema says: its fields or the columns that do not parse; NULL if it can."""
+    wrong = []
+    for f in schema.fields:
+        kind = f.dataType.simpleString()
+        text = _trimmed(f.name, kind)
+        bad = F.expr(f"{text} is not null and ({lenient_cast(text, kind)}) is null")
+        wrong.append(F.when(bad, F.concat(F.lit(f"{f.name}: "), F.col(f"`{f.name}`"), F.lit(f" is no {kind}"))))
+    return F.when(F.col(RECORD).isNotNull(), F.lit("not the fields of the table")).otherwise(F.nullif(F.concat_ws("; ", *wrong), F.lit("")))
+
+
+def checked_rows(df: DataFrame, schema: T.StructType, on_error: str) -> DataFrame:
+    """Typed rows of :func:`csv_text` under one of the four rules for rows that do not load.
+
+    "null" puts NULL for a value that does not parse, "stop" fails, "skip" leaves
+    the row out.  "report" keeps it: ``rejected`` is 1 and ``reject`` holds the row as it stood, its file and the reason.
+    """
+    if on_error not in ("null", "stop", "skip", "report"):
+        raise ValueError(f"on_error is 'null', 'stop', 'skip' or 'report', not {on_error!r}")
+    if on_error == "null":
+        return typed(df, schema)
+    reason = reject_reason(schema)
+    row = F.coalesce(F.col(RECORD), F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])))
+    if on_error == "stop":
+        stop = F.raise_error(F.concat(F.lit("a row does not load, "), reason, F.lit(": "), row, F.lit(" in "), F.col(FILE))).cast("boolean")
+        return typed(df.where(F.when(reason.isNotNull(), stop).otherwise(True)), schema)
+    if on_error == "skip":
+        return typed(df.where(reason.isNull()), schema)
+    judged = df.withColumn("reject", F.when(reason.isNotNull(), F.struct(row.alias("row"), F.col(FILE).alias("file"), reason.alias("reason"))))
+    kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    good = [F.when(F.col("reject").isNull(), F.expr(lenient_cast(_trimmed(n, k), k))).alias(n) for n, k in kinds]
+    return judged.select(*good, "reject", F.col("reject").isNotNull().cast("int").alias("rejected"))
+
+
+def _csv_bytes(df: DataFrame, null_token: str) -> Column:
+    """Bytes of a row as quoted CSV, at most: a quote inside is written twice, and times are longer than their plain text."""
+    size = F.lit(1)
+    for f in df.schema.fields:
+        text = F.col(f"`{f.name}`").cast("string")
+        wide = 16 if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else 8 if isinstance(f.dataType, (T.FloatType, T.DoubleType, T.DecimalType)) else 0
+        size = size + F.coalesce(F.octet_length(text) + F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit(""))), F.lit(len(null_token.encode()))) + 3 + wide
+    return size.cast("bigint")
+
+
+def _json_bytes(df: DataFrame) -> Column:
+    return (F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + 1).cast("bigint")
+
+
+def size_classes(df: DataFrame, size: Column, bytes_per_file: int) -> list[tuple[int, int, int]]:
+    """(least, most, rows of a file) for rows by size; one aggregate, a row per power of two.
+
+    The first class reaches up to where files of equally many of its rows are still a
+    third full; rows beyond, few or far longer, go in classes of a factor of two.
+    """
+    power = F.ceil(F.log2(size)).cast("int")
+    found = df.select(size.alias("s"), power.alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum("s").alias("s")).orderBy("p").collect()
+    if not found:
+        return [(0, 1, 0)]
+    rows, held, usual = 0, 0, found[0]["p"]
+    for r in found:
+        rows, held = rows + r["n"], held + r["s"]
+        usual = r["p"] if 3 * held >= rows * 2 ** r["p"] else usual
+    out, least = [], 0
+    for p in (usual, *(r["p"] for r in found if r["p"] > usual)):
+        out.append((least, 2**p, max(1, bytes_per_file // 2**p)))
+        least = 2**p
+    return out
+
+
+def _unload(df: DataFrame, path: str, size: Column, overwrite: bool, rows_per_file: int, bytes_per_file: int, write) -> None:
+    """``write(writer)`` for all rows, or one size class after the other, so that no file exceeds its bytes unless one row does."""
+    mode = "overwrite" if overwrite else "append"
+    classes = size_classes(df, size, bytes_per_file) if bytes_per_file else [(0, None, rows_per_file)]
+    if len(classes) == 1:
+        rows = min(x for x in (classes[0][2], rows_per_file) if x) if classes[0][2] and rows_per_file else classes[0][2]
+        write(df.write.mode(mode).option("maxRecordsPerFile", rows))
+        return
+    cut = classes[0][1]
+    long = save(df.where(size > cut), f"{work_dir(df.sparkSession)}/long-rows-{uuid.uuid4().hex}")  # few rows: read again for each class
+    for k, (least, most, rows) in enumerate(classes):
+        part = df.where(size <= most) if k == 0 else long.where((size > least) & (size <= most))
+        write(part.write.mode(mode if k == 0 else "append").option("maxRecordsPerFile", min(rows, rows_per_file) if rows_per_file else rows))
 
 
 def unload_csv(df: DataFrame, path: str, header: bool = True, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip",
@@ -169,17 +268,18 @@ def unload_csv(df: DataFrame, path: str, header: bool = True, overwrite: bool =
 
     Text keeps its blanks, line breaks and emptiness; only NULL is written as
     ``null_token``.  ``rows_per_file`` and ``bytes_per_file`` (before compression)
-    bound one file.  Read back with ``multi_line=True, null_tokens=(null_token,)``.
+    bound one file; rows of very uneven length are written in classes of their size, each in files of
+    as many rows as fit.  Read back with ``multi_line=True, null_tokens=(null_token,)``.
     """
-    df.write.mode("overwrite" if overwrite else "append").option("header", header).option("quoteAll", True).option("escape", '"') \
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", null_token).option("emptyValue", "") \
-        .option("maxRecordsPerFile", _rows_in(df, bytes_per_file, rows_per_file)).option("compression", compression).csv(path)
+    head = sum(len(c.encode()) + 3 for c in df.columns) if header else 0
+    _unload(df, path, _csv_bytes(df, null_token), overwrite, rows_per_file, max(1, bytes_per_file - head) if bytes_per_file else 0, lambda w: w.option("header", header).option("quoteAll", True).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("nullValue", null_token).option("emptyValue", "")
+            .option("compression", compression).csv(path))
 
 
 def unload_json(df: DataFrame, path: str, overwrite: bool = True, rows_per_file: int = 0, compression: str = "gzip", bytes_per_file: int = 0) -> None:
     """Write one JSON document per row, without NULL fields; files are bounded as in :func:`unload_csv`."""
-    df.write.mode("overwrite" if overwrite else "append").option("maxRecordsPerFile", _rows_in(df, bytes_per_file, rows_per_file)) \
-        .option("compression", compression).json(path)
+    _unload(df, path, _json_bytes(df), overwrite, rows_per_file, bytes_per_file, lambda w: w.option("compression", compression).json(path))
 
 
 def empty_like(df: DataFrame) -> DataFrame:

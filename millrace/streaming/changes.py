@@ -6,15 +6,12 @@ they touch, so batch and stream agree on the same files.
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.semistructured import json_get
-from millrace.sources.files import newest_per_key
+from millrace.sources.files import checked_rows, csv_text, newest_per_key
 
 
 def change_columns(records: DataFrame, column: str = "record_content", fields: dict | None = None) -> DataFrame:
@@ -50,11 +47,11 @@ def only_source(changes: DataFrame, schema: str, table: str) -> DataFrame:
 def latest(changes: DataFrame, key: str, order: str) -> DataFrame:
     """The newest change of every key; changes that share the newest time are all kept.
 
-    A max per key combines map-side, and the join back uses (key, time), so a key
-    with very many changes is spread by its times instead of filling one window.
+    Changes of one key and time meet first, so a key with very many is spread by
+    its times; then each task keeps its newest per key before it passes them on.
     """
-    newest = changes.groupBy(F.col(key).alias("__k")).agg(F.max(order).alias("__o"))
-    return changes.join(newest, (F.col(key) == F.col("__k")) & (F.col(order) == F.col("__o"))).drop("__k", "__o")
+    same = changes.groupBy(F.col(key).alias("__k"), F.col(order).alias("__o")).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in changes.columns])).alias("__rows"))
+    return same.groupBy("__k").agg(F.max_by("__rows", "__o").alias("__rows")).select(F.inline("__rows"))
 
 
 def current_state(changes: DataFrame, key: str, order: str, action: str = "action", deleted: str = "DELETE") -> DataFrame:
@@ -66,34 +63,29 @@ def scd2_history(changes: DataFrame, key: str, order: str, tie: str, width: int)
     """Adds ``version``, ``is_latest``, ``valid_from`` and ``valid_to`` to every change.
 
     Version counts the changes up to this one, with equal times sharing a version;
-    ``valid_to`` is the time of the following change.  Both are computed inside
-    (key, time bucket of ``width``) and carried over the buckets of the key, so
-    only one small row per bucket meets in the window of a key and a key that owns
-    a third of all changes is still split.  ``tie`` orders changes of equal time.
+    ``valid_to`` is the time of the following change.  The changes of a key in a
+    time bucket of ``width`` come together, sorted by time and ``tie``, which is the only time that rows move: one small row per
+    bucket meets in the window of a key, and what it finds goes back to the bucket.  So a key
+    that owns a third of all changes is split by time; ``width`` is to be such that a key's bucket fits in memory.
     """
     cols = changes.columns
-    b = changes.withColumn("__b", F.floor(F.col(order) / width))
-    inside = Window.partitionBy(key, "__b").orderBy(order, tie)
-    b = b.withColumn("__upto", F.count(F.lit(1)).over(Window.partitionBy(key, "__b").orderBy(order).rangeBetween(Window.unboundedPreceding, 0))) \
-        .withColumn("__next", F.lead(order).over(inside))
-    summary = b.groupBy(F.col(key).alias("__k"), F.col("__b").alias("__sb")).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"), F.min_by("__upto", order).alias("__ties"))
-    line = Window.partitionBy("__k").orderBy("__sb")
-    whole = Window.partitionBy("__k")
-    summary = summary.select("__k", "__sb", (F.sum("__n").over(line) - F.col("__n")).alias("__before"), F.sum("__n").over(whole).alias("__total"),
-                             F.lead("__first").over(line).alias("__following"),
+    near = changes.withColumns({"__k": F.col(key), "__o": F.col(order), "__b": F.floor(F.col(order) / width)}).repartition("__k", "__b")
+    same = near.groupBy("__k", "__b", "__o").agg(F.sort_array(F.collect_list(F.struct(F.col(tie).alias("t"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row")))).alias("same"))
+    # of each change: its time, how many of its time are there, itself included, from it on, and of all
+    members = F.transform("same", lambda x, i: F.struct(F.col("__o").alias("o"), (F.size("same") - i).alias("left"), F.size("same").alias("n"), x["row"].alias("row")))
+    bucket = same.groupBy("__k", "__b").agg(F.sort_array(F.collect_list(F.struct(F.col("__o").alias("o"), members.alias("m")))).alias("m"))
+    bucket = bucket.select("__k", "__b", F.flatten(F.transform("m", lambda x: x["m"])).alias("__rows"))
+    first = F.element_at("__rows", 1)
+    summary = bucket.select(F.col("__k").alias("__sk"), F.col("__b").alias("__sb"), F.size("__rows").alias("__n"), first["o"].alias("__first"), first["n"].alias("__ties"))
+    line, whole = Window.partitionBy("__sk").orderBy("__sb"), Window.partitionBy("__sk")
+    summary = summary.select("__sk", "__sb", (F.sum("__n").over(line) - F.col("__n")).alias("__before"), F.sum("__n").over(whole).alias("__total"), F.lead("__first").over(line).alias("__following"),
                              F.first("__ties").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("__first_ties"))
-    out = b.join(summary, (F.col(key) == F.col("__k")) & (F.col("__b") == F.col("__sb")))
-    upto = F.col("__before") + F.col("__upto")
-    return out.select(*cols, (upto == F.col("__total")).alias("is_latest"), (upto - F.col("__first_ties") + 1).alias("version"),
-                      F.col(order).alias("valid_from"), F.coalesce("__next", "__following").alias("valid_to"))
-
-
-def scd2_schema(changes: T.StructType, order: str) -> T.StructType:
-    """Schema of ``scd2_history`` for a change schema."""
-    when = changes[order].dataType
-    return T.StructType(changes.fields + [T.StructField("is_latest", T.BooleanType()), T.StructField("version", T.LongType()),
-                                          T.StructField("valid_from", when), T.StructField("valid_to", when)])
+    out = bucket.join(summary, F.col("__k").eqNullSafe(F.col("__sk")) & F.col("__b").eqNullSafe(F.col("__sb")))
+    out = out.select("__before", "__total", "__following", "__first_ties", F.transform("__rows", lambda x, i: F.struct(
+        x["row"].alias("row"), x["o"].alias("o"), (x["left"] + i).alias("upto"), F.get("__rows", i + 1)["o"].alias("next"))).alias("__rows"))
+    out = out.select("__before", "__total", "__following", "__first_ties", F.inline("__rows")).withColumn("upto", F.col("__before") + F.col("upto"))
+    return out.select("row.*", (F.col("upto") == F.col("__total")).alias("is_latest"), (F.col("upto") - F.col("__first_ties") + 1).alias("version"),
+                      F.col("o").alias("valid_from"), F.coalesce("next", "__following").alias("valid_to"))
 
 
 def position_summary(current: DataFrame, keys, price: str = "price", quantity: str = "quantity") -> DataFrame:
@@ -159,9 +151,10 @@ def trigger(lag: str | None) -> dict:
     return {"processingTime": lag} if lag else {"availableNow": True}
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, lag: str | None = None):
+def append_stream(df: DataFrame, path: str, checkpoint: str, lag: str | None = None, partition: str | None = None):
     """Append a stream to a Parquet folder, each input file once."""
-    return df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger(lag)).start()
+    writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(**trigger(lag))
+    return (writer.partitionBy(partition) if partition else writer).start()
 
 
 def run_available(query) -> None:
@@ -169,111 +162,127 @@ def run_available(query) -> None:
     query.awaitTermination()
 
 
-def copy_into(spark: SparkSession, source: str, target: str, checkpoint: str, schema, kind: str = "csv", transform=None, **options) -> None:
-    """Load every file of a folder once; calling again loads only new files."""
-    df = read_changes(spark, source, schema, kind, **options)
-    run_available(append_stream(transform(df) if transform else df, target, checkpoint))
-
+def arriving_rows(spark: SparkSession, source: str, schema, kind: str = "csv", on_error: str = "stop", **options) -> DataFrame:
+    """The rows of files that arrive in a folder, read text first by the rules of ``read_csv``.
 
-def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str, schema, kind: str = "csv", lag: str | None = "1 minute", zone: str = "UTC", **options):
-    """Continuous load with an added load time in a zone."""
-    df = read_changes(spark, source, schema, kind, **options)
+    ``options`` are those of :func:`millrace.sources.files.csv_text`.  JSON lines
+    become one semi-structured column, named by the schema's only field; a line that is no JSON is a row that
+    does not load.  Any other format is typed in itself and read as it is.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if kind == "csv":
+        reader = spark.readStream
+        for k, v in ANY_AGE.items():
+            reader = reader.option(k, v)
+        return checked_rows(csv_text(reader, source, schema, **options), schema, on_error)
+    if kind == "json":
+        name = schema.fields[0].name
+        lines = read_changes(spark, source, "value string", "text", **options).select("value", F.col("_metadata.file_path").alias("file"))
+        value, bad = F.try_parse_json("value"), F.col("value").isNotNull() & F.try_parse_json("value").isNull()
+        if on_error == "stop":
+            return lines.select(F.parse_json("value").alias(name))
+        if on_error in ("skip", "null"):
+            return (lines.where(~bad) if on_error == "skip" else lines).select(value.alias(name))
+        reject = F.when(bad, F.struct(F.col("value").alias("row"), "file", F.lit("no JSON").alias("reason")))
+        return lines.select(value.alias(name), reject.alias("reject"), bad.cast("int").alias("rejected"))
+    return read_changes(spark, source, schema, kind, **options)
+
+
+def _reporting(kind: str, on_error: str) -> str | None:
+    """The column that parts loaded rows from others in the target, if they are reported."""
+    return "rejected" if on_error == "report" and kind in ("csv", "json") else None
+
+
+def loaded(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that a load has put into its target."""
+    df = spark.read.parquet(target)
+    return df.where("rejected = 0").drop("rejected", "reject") if "rejected" in df.columns else df
+
+
+def rejects(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that a reporting load could not put into its target: ``row`` as it stood, ``file`` and ``reason``."""
+    return spark.read.parquet(target).where("rejected = 1").select("reject.*")
+
+
+def copy_into(spark: SparkSession, source: str, target: str, checkpoint: str, schema, kind: str = "csv", transform=None, on_error: str = "stop", **options) -> None:
+    """Load every file of a folder once; calling again loads only new files.
+
+    A row that does not load fails its batch, which a later call takes up again
+    ("stop"), is left out ("skip"), loses its bad values ("null"), or goes with
+    its file and the reason into the same commit as the others ("report"; see :func:`loaded` and :func:`rejects`).
+    """
+    df = arriving_rows(spark, source, schema, kind, on_error, **options)
+    part = _reporting(kind, on_error)
+    if transform and part:
+        good = transform(df.where("rejected = 0").drop("reject", "rejected"))
+        df = good.withColumn("rejected", F.lit(0)).unionByName(df.where("rejected = 1").select("reject", "rejected"), allowMissingColumns=True)
+    elif transform:
+        df = transform(df)
+    run_available(append_stream(df, target, checkpoint, partition=part))
+
+
+def ingest_stream(spark: SparkSession, source: str, target: str, checkpoint: str, schema, kind: str = "csv", lag: str | None = "1 minute", zone: str = "UTC",
+                  on_error: str = "report", **options):
+    """Continuous load with an added load time in a zone; rows that do not load are reported unless told otherwise."""
+    df = arriving_rows(spark, source, schema, kind, on_error, **options)
     stamped = df.withColumn("insert_ts", F.convert_timezone(F.lit(spark.conf.get("spark.sql.session.timeZone")), F.lit(zone), F.current_timestamp().cast("timestamp_ntz")))
-    return append_stream(stamped, target, checkpoint, lag)
+    return append_stream(stamped, target, checkpoint, lag, _reporting(kind, on_error))
 
 
-class StateTable:
-    """A keyed table kept in hash buckets of its key; a refresh rewrites only the buckets it touches.
+# ---- state kept by streams ---------------------------------------------------
+
+#: State of any size on the executors' disks, saved to the checkpoint by changes.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    A marker names, per bucket, the folder of its newest complete rows and the batch
-    that made the marker: a batch retried after a failure is not applied twice,
-    readers never see a half-written folder, and untouched buckets stay in place.
-    The marker holds one entry per bucket, whatever the size of the table.
-    """
 
-    def __init__(self, spark: SparkSession, root: str, schema, key: str, buckets: int = 64):
-        self.spark, self.root, self.schema, self.key, self.buckets = spark, root, schema, key, buckets
-
-    def _marker(self):
-        try:
-            marks = self.spark.read.schema("batch long, folders map<string, string>").json(f"{self.root}/marker")
-            rows = marks.orderBy(F.col("batch").desc()).limit(1).collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None  # no refresh yet
-        return (rows[0]["batch"], dict(rows[0]["folders"])) if rows else None
-
-    def bucket(self):
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def touched(self, df: DataFrame) -> list[int]:
-        """Buckets that hold keys of ``df``: at most ``buckets`` numbers."""
-        return sorted(r[0] for r in df.select(self.bucket().alias("b")).distinct().collect())
-
-    def read(self, only=None) -> DataFrame:
-        """The table, or the rows of some buckets."""
-        mark = self._marker()
-        folders = [] if mark is None else sorted(f for b, f in mark[1].items() if only is None or int(b) in set(only))
-        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
-
-    def applied(self, batch: int) -> bool:
-        mark = self._marker()
-        return mark is not None and mark[0] >= batch
-
-    def replace(self, df: DataFrame, batch: int, touched) -> None:
-        """Put ``df`` in place of the touched buckets; it must hold all their rows."""
-        folder = f"{self.root}/rows-{batch}-{uuid.uuid4().hex}"
-        df.withColumn("__bucket", self.bucket()).repartition(F.col("__bucket")).write.partitionBy("__bucket").parquet(folder)
-        mark = self._marker()
-        folders = {} if mark is None else mark[1]
-        filled = self.touched(self.spark.read.schema(self.schema).parquet(folder)) if touched else []
-        for b in touched:
-            folders.pop(str(b), None)
-        folders |= {str(b): f"{folder}/__bucket={b}" for b in filled}
-        row = self.spark.createDataFrame([(batch, folders)], "batch long, folders map<string, string>")
-        row.coalesce(1).write.mode("append").json(f"{self.root}/marker")
-
-
-def stream_current_state(changes: DataFrame, root: str, checkpoint: str, key: str, order: str, buckets: int = 64, lag: str | None = None):
-    """Keep the newest change per key up to date from a change stream.
-
-    State holds deletions too, so a late change older than a deletion stays
-    without effect.  ``StateTable(spark, root, schema, key, buckets).read()`` is the state.
+def _started(writer, spark: SparkSession):
+    """Start a query whose state is in the disk-backed store; the session's own setting stays."""
+    name, value = STATE_STORE
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
+
+
+def stream_current_state(changes: DataFrame, path: str, checkpoint: str, key: str, order: str, tie=(), lag: str | None = None):
+    """Keep the newest change per key from a change stream, in Spark's state store.
+
+    The state of a key is its newest change, deletions too, so a late change older
+    than a deletion is without effect.  A batch appends the states it changed, in a folder of its own number that
+    a retry writes over; :func:`kept_state` reads the newest of each key.  Of changes of one time
+    the greatest by the columns ``tie`` stays.
     """
-    table = StateTable(changes.sparkSession, root, changes.schema, key, buckets)
+    rank = F.struct(*[F.col(c) for c in (order, *tie)])
+    newest = changes.groupBy(F.col(key).alias("__k")).agg(F.max_by(F.struct(*changes.columns), rank).alias("row"))
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.select("row.*").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        if table.applied(batch_id):
-            return
-        touched = table.touched(batch)
-        # newest per key inside the batch first (partial aggregation), then against the state
-        merged = table.read(touched).unionByName(latest(batch, key, order))
-        table.replace(latest(merged, key, order), batch_id, touched)
+    return _started(newest.writeStream.outputMode("update").foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**trigger(lag)), changes.sparkSession)
 
-    return changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger(lag)).start()
 
+def kept_state(spark: SparkSession, path: str, schema: T.StructType, key: str) -> DataFrame:
+    """The newest state of every key out of what :func:`stream_current_state` has appended, deletions included; combined before it moves."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    return rows.groupBy(F.col(key).alias("__k")).agg(F.max_by(F.struct(*schema.names), "batch").alias("row")).select("row.*")
 
-def stream_scd2(changes: DataFrame, log_path: str, root: str, checkpoint: str, key: str, order: str, tie: str, width: int, buckets: int = 64, lag: str | None = None):
-    """Keep the type-2 history: all versions in the touched buckets are recomputed.
 
-    The change log is kept in the same hash buckets, one folder per batch (written
-    over if a batch is retried), so a refresh reads only the log of its buckets.
+def stream_scd2(changes: DataFrame, path: str, checkpoint: str, lag: str | None = None):
+    """Keep a type-2 history: every version is written once, as it comes.
+
+    What follows from other versions (``valid_to``, the number, which is newest)
+    isn't stored but resolved by :func:`kept_history`, so a late change alters nothing that is written and a
+    batch costs what it holds.
     """
-    spark = changes.sparkSession
-    columns = changes.schema
-    table = StateTable(spark, root, scd2_schema(columns, order), key, buckets)
-    log_schema = T.StructType(columns.fields + [T.StructField("__bucket", T.IntegerType())])
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        if table.applied(batch_id):
-            return
-        batch.withColumn("__bucket", table.bucket()).write.mode("overwrite").partitionBy("__bucket").parquet(f"{log_path}/batch={batch_id}")
-        touched = table.touched(batch)
-        log = spark.read.schema(log_schema).parquet(log_path).where(F.col("__bucket").isin(touched)).drop("__bucket", "batch")
-        table.replace(scd2_history(log, key, order, tie, width), batch_id, touched)
-
-    return changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(**trigger(lag)).start()
+    return append_stream(changes, path, checkpoint, lag)
+
+
+def kept_history(spark: SparkSession, path: str, schema: T.StructType, key: str, order: str, tie: str, width: int, only: str | None = None) -> DataFrame:
+    """The history out of what :func:`stream_scd2` has appended; ``only`` is a condition on the key, which reaches the files."""
+    log = spark.read.schema(schema).parquet(path)
+    return scd2_history(log.where(only) if only else log, key, order, tie, width)
 
 
 # ---- the two-stage weather pipeline -----------------------------------------

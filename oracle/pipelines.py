@@ -45,8 +45,18 @@ SQL["incremental_two_stage"] = """select 'N' || user_id % 25 as country, event_t
 SQL["csv_round_trip_counts"] = "select 'source' as location, count(*) as n_rows from customer union all select 'loaded', count(*) from customer"
 SQL["json_round_trip_counts"] = "select 'source' as location, count(*) as n_rows from orders union all select 'loaded', count(*) from orders"
 SQL["csv_round_trip_values"] = """select s_suppkey, case s_suppkey % 4 when 0 then 'say "' || s_name || '",' || chr(10) || 'twice' when 1 then '  ' || s_name || ' ' || chr(9) when 2 then '' end as note, s_acctbal from supplier"""
-SQL["copy_into_once"] = """select o_orderstatus, count(*) as n, load from orders, (select unnest([1, 2, 3])::bigint as load) where o_orderstatus = 'F' or (o_orderstatus = 'O' and load = 3) group by all"""
-SQL["ingest_pipe"] = "select n_regionkey::bigint as n_regionkey, count(*) as n, count(*) as stamped from nation group by all"
+_NOTE = """'a "q, ' || o_orderstatus || '" b '"""
+SQL["copy_into_once"] = f"""with o as (select *, {_NOTE} as note, o_orderkey % 10 = 3 as bad from orders where o_orderstatus in ('F', 'O')),
+  steps as (select unnest([1, 2, 3])::bigint as load), modes as (select unnest(['stop', 'skip', 'report']) as mode),
+  seen as (from o, steps, modes where o_orderstatus = 'F' or load = 3)
+  select mode, load, note, count(*) as n, sum(o_orderkey)::bigint as keys, count(*) filter (o_orderkey % 4 <> 0) as prices from seen where mode = 'stop' or not bad group by all
+  union all select mode, load, 'o_orderkey: no 9 is no bigint', count(*), null, null from seen where mode = 'report' and bad group by all
+  union all select 'report', load, 'fields', if(load = 3, 2, 1), null, null from steps"""
+SQL["ingest_pipe"] = f"""with o as (select *, o_orderkey % 10 = 3 as bad from orders where o_orderstatus = 'P')
+  select {_NOTE} as note, count(*) as n, count(*) filter (o_orderkey % 4 <> 0) as prices, count(*) as stamped from o where not bad group by all
+  union all select 'rejected', count(*) filter (bad) + 1, null, null from o"""
+SQL["json_pipe"] = """select o_orderpriority as priority, count(*) as n, sum(o_orderkey)::bigint as keys from orders where o_orderkey % 7 <> 0 group by all
+  union all select 'no JSON', count(*), null from orders where o_orderkey % 7 = 0 having count(*) > 0"""
 _col = lambda i, n, t, d, c="count(*)": f"select {i}::bigint as position, '{n}' as name, {c} as n_values, '{t}' as type, '{d}' as declared from lineitem"
 SQL["infer_csv_schema"] = " union all ".join([_col(1, "l_orderkey", "bigint", "number(38,0)"), _col(2, "l_linenumber", "bigint", "number(38,0)"), _col(3, "l_extendedprice", "double", "double"),
                                               _col(4, "l_returnflag", "string", "string"), _col(5, "l_shipdate", "date", "date"), _col(6, "nothing", "string", "string", "count(*) filter (l_linenumber > 99)")])

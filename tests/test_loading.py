@@ -85,10 +85,62 @@ def test_new_source_files_change_the_mark(spark, tmp_path):
     assert files.state_of(spark, path) != first
 
 
-def test_unreadable_marker_is_an_error(spark, tmp_path):
-    table = cd.StateTable(spark, str(tmp_path / "s"), "k int, v int", "k", 2)
-    assert table.read().count() == 0
-    (tmp_path / "s" / "marker").mkdir(parents=True)
-    (tmp_path / "s" / "marker" / "x.json.gz").write_bytes(b"not gzip")
-    with pytest.raises(Exception):
-        table.read().count()
+def test_uneven_rows_fill_files(spark, tmp_path):
+    """One row of 400 KB among 2,000 short ones: files near the bound, none over it, no row lost."""
+    wide = F.when(F.col("id") == 700, F.repeat(F.lit('y"'), 200_000)).when(F.col("id") % 500 == 0, F.repeat(F.lit("z"), 9_000)).otherwise(F.repeat(F.lit("x"), 50))
+    df = spark.range(2000).select(F.col("id"), wide.alias("t")).coalesce(1)
+    for unload in (files.unload_csv, files.unload_json):
+        path = str(tmp_path / unload.__name__)
+        unload(df, path, compression="none", bytes_per_file=1_000_000)
+        sizes = [f.stat().st_size for f in os.scandir(path) if f.name.startswith("part-")]
+        assert 2 <= len(sizes) <= 6 and max(sizes) <= 1_000_000
+        unload(df, path, compression="none", bytes_per_file=30_000)
+        sizes = sorted(f.stat().st_size for f in os.scandir(path) if f.name.startswith("part-"))
+        assert sizes[-2] <= 30_000 < sizes[-1] and len(sizes) < 25
+        back = files.read_csv(spark, path, df.schema, header=True) if unload is files.unload_csv else spark.read.schema(df.schema).json(path)
+        assert back.agg(F.sum("id"), F.sum(F.length("t"))).first() == df.agg(F.sum("id"), F.sum(F.length("t"))).first()
+    empty = str(tmp_path / "empty")
+    files.unload_csv(df.limit(0), empty, bytes_per_file=100)
+    assert files.read_csv(spark, empty, df.schema, header=True).count() == 0
+
+
+SCHEMA = "n int, x double, t string"
+LINES = ['1, 2.5 ,"a ""q"" b"', " 2 ,NULL,plain", "bad,1,t", "4,\\N,", "5,x,t", "6,7", "7,8,t,more", ',,"  "']
+
+
+def load(spark, tmp_path, mode):
+    (tmp_path / "in").mkdir(exist_ok=True)
+    (tmp_path / "in" / "a.csv").write_text("\n".join(LINES) + "\n")
+    cd.copy_into(spark, str(tmp_path / "in"), str(tmp_path / mode), str(tmp_path / f"c-{mode}"), SCHEMA, on_error=mode, null_tokens=("\\N", "NULL", ""))
+    return sorted(map(tuple, cd.loaded(spark, str(tmp_path / mode)).collect()), key=str)
+
+
+GOOD = [(1, 2.5, 'a "q" b'), (2, None, "plain"), (4, None, None), (None, None, "  ")]
+
+
+def test_stream_load_leaves_out_or_reports_rows(spark, tmp_path):
+    assert load(spark, tmp_path, "skip") == sorted(GOOD, key=str)
+    assert load(spark, tmp_path, "report") == sorted(GOOD, key=str)
+    bad = cd.rejects(spark, str(tmp_path / "report")).collect()
+    assert {(r.row, r.reason) for r in bad} == {('{"n":"bad","x":"1","t":"t"}', "n: bad is no int"), ('{"n":"5","x":"x","t":"t"}', "x: x is no double"), ("6,7", "not the fields of the table"), ("7,8,t,more", "not the fields of the table")}
+    assert all(r.file.endswith("in/a.csv") for r in bad)
+    (tmp_path / "in" / "b.csv").write_text("9,9,late\nno,0,0\n")
+    cd.copy_into(spark, str(tmp_path / "in"), str(tmp_path / "report"), str(tmp_path / "c-report"), SCHEMA, on_error="report", null_tokens=("\\N", "NULL", ""))
+    assert cd.loaded(spark, str(tmp_path / "report")).count() == 5 and cd.rejects(spark, str(tmp_path / "report")).count() == 5
+    assert (None, 1.0, "t") in load(spark, tmp_path, "null")
+
+
+def test_stream_load_stops_and_goes_on_when_mended(spark, tmp_path):
+    with pytest.raises(Exception, match="does not load"):
+        load(spark, tmp_path, "stop")
+    (tmp_path / "in" / "a.csv").write_text("1,2,t\n")
+    assert not (tmp_path / "stop" / "_spark_metadata" / "0").exists()
+    cd.copy_into(spark, str(tmp_path / "in"), str(tmp_path / "stop"), str(tmp_path / "c-again"), SCHEMA)
+    assert [tuple(r) for r in cd.loaded(spark, str(tmp_path / "stop")).collect()] == [(1, 2.0, "t")]
+
+
+def test_reporting_load_with_a_transformation(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1,2,t\nx,2,t\n")
+    cd.copy_into(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"), SCHEMA, transform=lambda d: d.select((F.col("n") + 1).alias("m")), on_error="report")
+    assert [tuple(r) for r in cd.loaded(spark, str(tmp_path / "out")).collect()] == [(2,)] and cd.rejects(spark, str(tmp_path / "out")).count() == 1

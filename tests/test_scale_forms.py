@@ -104,20 +104,44 @@ def test_change_tables_after_apply(spark):
     assert sorted(map(tuple, h.collect()), key=str) == [(1, "2001", "t0", "t1"), (1, "2024", "t1", None), (2, "2002", "t0", None)]
 
 
-def test_a_refresh_rewrites_touched_buckets_once(spark, tmp_path):
-    schema = spark.createDataFrame([], "k int, v int").schema
-    t = cd.StateTable(spark, str(tmp_path), schema, "k", 4)
-    assert t.read().count() == 0
-    first = spark.createDataFrame([(k, 0) for k in range(20)], schema)
-    t.replace(first, 0, t.touched(first))
-    assert t.applied(0) and not t.applied(1)
-    change = spark.createDataFrame([(3, 9)], schema)
-    touched = t.touched(change)
-    before = t._marker()[1]
-    t.replace(t.read(touched).where("k <> 3").unionByName(change), 1, touched)
-    after = t._marker()[1]
-    assert [b for b in before if before[b] != after[b]] == [str(touched[0])]
-    assert {(r.k, r.v) for r in t.read().collect()} == {(k, 9 if k == 3 else 0) for k in range(20)}
+def test_state_streams_append_what_a_batch_holds(spark, tmp_path):
+    """Late changes, a restart and a retried number; a small batch writes little, whatever was there before."""
+    schema = "k int, t bigint, action string, v string"
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = cd.read_changes(spark, str(tmp_path / "in"), schema)
+        cd.run_available(cd.stream_current_state(stream, str(tmp_path / "state"), str(tmp_path / "c1"), "k", "t", ["v"]))
+        cd.run_available(cd.stream_scd2(stream, str(tmp_path / "log"), str(tmp_path / "c2")))
+    size = lambda folder: sum(f.stat().st_size for f in (tmp_path / folder).rglob("*.parquet"))
+    arrive([(k, t, "UPDATE", f"{k}-{t}-" + "x" * 40) for k in range(400) for t in range(10, 15)])
+    whole = {f: size(f) for f in ("state", "log")}
+    more = [(3, 20, "DELETE", "gone"), (3, 12, "UPDATE", "late"), (5, 14, "UPDATE", "zz"), (7, 1, "INSERT", "first"), (999, 5, "INSERT", "new")]
+    arrive(more)
+    assert all(size(f) - whole[f] < whole[f] / 4 + 8000 for f in whole)
+    state = {r.k: r.v for r in cd.kept_state(spark, str(tmp_path / "state"), spark.createDataFrame([], schema).schema, "k").collect()}
+    assert len(state) == 401 and (state[3], state[5], state[999]) == ("gone", "zz", "new") and state[7].startswith("7-14")
+    log = spark.read.schema(schema).parquet(str(tmp_path / "in"))
+    got = cd.kept_history(spark, str(tmp_path / "log"), log.schema, "k", "t", "v", 4)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, cd.scd2_history(log, "k", "t", "v", 1000).collect()), key=str)
+    of_3 = cd.kept_history(spark, str(tmp_path / "log"), log.schema, "k", "t", "v", 4, only="k = 3")
+    assert sorted((r.version, r.valid_to or 99) for r in of_3.collect()) == [(1, 11), (2, 12), (4, 12), (4, 13), (5, 14), (6, 20), (7, 99)]
+    assert "EqualTo(k,3)" in plan(of_3)
+    assert not (tmp_path / "state" / "marker").exists()
+
+
+def as_run(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_changes_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    spark.range(3000).select((F.col("id") % 50).alias("k"), F.col("id").alias("t"), F.lit("UPDATE").alias("action"), F.col("id").cast("string").alias("v")).write.parquet(path)
+    log = spark.read.parquet(path)
+    for df in (cd.scd2_history(log, "k", "t", "v", 500), cd.latest(log, "k", "t"), cd.current_state(log, "k", "t")):
+        text = as_run(df)
+        assert text.count("FileScan parquet") == 1, text
 
 
 def test_ends_of_partition_equal_whole_frame(spark, skewed):
