@@ -12,10 +12,12 @@ from millrace.operators import layout as pd_
 from millrace.operators import quality as dq
 from millrace.operators import relational as r
 from millrace.operators import semistructured as js
+from millrace.operators import summaries as sm
 from millrace.operators.relational import star_join, top_n, union_all
 from millrace.plans.catalog.common import Source, plain, scratch
 from millrace.sources import files
 from millrace.streaming import changes as cd
+from millrace.streaming import snapshots as sn
 
 QUERIES = {}
 
@@ -405,6 +407,41 @@ def delete_update(s):
     return df.groupBy("seg").agg(F.count(F.lit(1)).alias("n"), F.sum(m.money("c_acctbal")).alias("balance"))
 
 
+@query
+def snapshot_feed(s):
+    """What a merge, a deletion and an update did to a table, as a feed that a reader takes up once and that leads from the old version to the new one."""
+    root = scratch(s.spark, "versions")
+    old = s.orders.where("o_orderkey % 10 <> 3").select("o_orderkey", "o_orderstatus", m.money("o_totalprice").alias("price"))
+    sn.write_version(old, f"{root}/table", 0)
+    feeds = []
+    take = lambda: sn.consume(s.spark, f"{root}/table", f"{root}/offset", ["o_orderkey"], lambda feed, version: feeds.append(files.save(feed, f"{root}/feed-{version}")))
+    take()
+    new = files.merge_rows(old, s.orders.where("o_orderkey % 20 >= 13").select("o_orderkey", F.lit("M").alias("o_orderstatus"), m.money("o_totalprice").alias("price")), ["o_orderkey"])
+    sn.write_version(new, f"{root}/table", 1)
+    new = files.update_where(files.delete_where(new, "o_orderkey % 7 = 0"), "o_orderkey % 11 = 0", {"price": "price + 1"})
+    sn.write_version(new, f"{root}/table", 2)
+    take(), take()
+    feed, = feeds
+    again, now = (df.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("price").alias("price"), F.lit(kind).alias("action")) for df, kind in (
+        (sn.replayed(old, feed), "replayed"), (sn.read_version(s.spark, f"{root}/table", 2), "read")))
+    moves = feed.groupBy("action", "is_update").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("price").alias("price"))
+    return moves.unionByName(again, allowMissingColumns=True).unionByName(now, allowMissingColumns=True)
+
+
+@query
+def summary_maintained(s):
+    """A summary kept from lots of new and of deleted orders, with the newest orders put on top when it is read."""
+    path = scratch(s.spark, "summary")
+    orders = s.orders.select("o_custkey", "o_orderkey", "o_orderstatus", m.money("o_totalprice").alias("price"), F.to_date("o_orderdate").alias("day"))
+    what = sm.Measures(("o_custkey",), sums=("price",), lows=("day", "price"), highs=("price",), distinct=("o_orderstatus", "day"))
+    sm.fold(orders.where("o_orderkey % 5 < 3"), what, path, 0)
+    sm.fold(orders.where("o_orderkey % 5 = 3"), what, path, 1)
+    base = orders.where("o_orderkey % 5 <= 3")
+    gone = "price > 200000 or o_custkey % 9 = 0"
+    sm.fold(base.where(gone).withColumn("action", F.lit("DELETE")), what, path, 2, base.where(f"not ({gone})"))
+    return sm.current(s.spark, what, path, orders.where("o_orderkey % 5 = 4"))
+
+
 @query
 def ctas_append(s):
     """Empty copy by schema, then append twice."""

@@ -71,6 +71,15 @@ SQL["json_variant_scan"] = "select c_mktsegment as segment, count(*) as n, sum(c
 SQL["merge_upsert"] = """select o_orderstatus, count(*) as n, sum(t)::double as total from (select o_orderkey, if(o_orderstatus = 'P', 'M', o_orderstatus) as o_orderstatus, if(o_orderstatus = 'P', 0, o_totalprice)::decimal(12,2) as t
   from orders where o_orderkey % 10 <> 3 or o_orderstatus = 'P') group by all"""
 SQL["delete_update"] = """select case when c_acctbal < 0 then 'DEBT' when c_mktsegment <> 'BUILDING' then c_mktsegment end as seg, count(*) as n, sum(c_acctbal::decimal(12,2))::double as balance from customer where c_mktsegment <> 'MACHINERY' group by all"""
+SQL["snapshot_feed"] = """with old as (select o_orderkey, o_orderstatus, o_totalprice::decimal(12,2) as price from orders where o_orderkey % 10 <> 3),
+  merged as (select o_orderkey, if(o_orderkey % 20 >= 13, 'M', o_orderstatus) as o_orderstatus, o_totalprice::decimal(12,2) as price from orders where o_orderkey % 10 <> 3 or o_orderkey % 20 >= 13),
+  new as (select o_orderkey, o_orderstatus, price + if(o_orderkey % 11 = 0, 1, 0) as price from merged where o_orderkey % 7 <> 0),
+  gone as (from old except from new), come as (from new except from old),
+  moves as (select 'DELETE' as action, o_orderkey in (select o_orderkey from come) as is_update, * from gone union all select 'INSERT', o_orderkey in (select o_orderkey from gone), * from come)
+  select action, is_update, count(*) as n, sum(o_orderkey)::bigint as keys, sum(price)::double as price from moves group by all
+  union all select kind, null, count(*), sum(o_orderkey)::bigint, sum(price)::double from new, (select unnest(['replayed', 'read']) as kind) group by all"""
+SQL["summary_maintained"] = """select o_custkey, count(*) as n_rows, sum(o_totalprice::decimal(12,2))::double as sum_price, min(o_orderdate::date)::varchar as min_day, min(o_totalprice::decimal(12,2))::double as min_price, max(o_totalprice::decimal(12,2))::double as max_price,
+  count(distinct o_orderstatus) as n_distinct_o_orderstatus, count(distinct o_orderdate::date) as n_distinct_day from orders where o_orderkey % 5 = 4 or (o_totalprice <= 200000 and o_custkey % 9 <> 0) group by all"""
 SQL["ctas_append"] = "select n_regionkey::bigint as n_regionkey, count(*) * if(n_regionkey = 1, 2, 1) as n from nation group by n_regionkey"
 
 SQL["unique_violations"] = "select l_orderkey, l_linenumber::bigint as l_linenumber, count(*) as n_rows from lineitem group by all having count(*) > 1"
