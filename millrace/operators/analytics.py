@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.ordered import running_total
 from millrace.operators.relational import interval_join, ratio_to_report
 
 
@@ -74,37 +75,77 @@ def daily_totals(df: DataFrame, ts: str, value: str, series: str | None = None)
     return df.groupBy(*keys).agg(F.sum(F.col(value).cast("decimal(18,4)")).cast("double").alias("y"))
 
 
-def fit_daily(daily: DataFrame) -> DataFrame:
-    """One model row per series and weekday: trend line, weekday offset and residual spread.
+def _weekdays(daily: DataFrame, y, *more) -> DataFrame:
+    """Moments of the series' days by weekday, from one aggregate that combines before it moves."""
+    x = F.datediff("day", F.lit("1970-01-01")).cast("double")
+    moments = {"n": F.regr_count(y, x), "mean_x": F.regr_avgx(y, x), "mean_y": F.regr_avgy(y, x), "sxx": F.regr_sxx(y, x), "sxy": F.regr_sxy(y, x), "syy": F.regr_syy(y, x)}
+    return daily.groupBy("series", F.dayofweek("day").alias("dow")).agg(*[m.alias(n) for n, m in moments.items()], *more)
+
+
+def _solved(weekdays: DataFrame, *kept) -> DataFrame:
+    """The normal equations of a trend and an offset per weekday: their solution needs only the moments within the weekdays.
 
-    The trend is a regression on the day number, the offset the mean residual of
-    the weekday, all from aggregates, so any number of series fits in one job.
+    Seven rows of a series give one: the common slope, the spread of the residuals and the means of each weekday.
     """
-    d = daily.withColumn("x", F.datediff("day", F.lit("1970-01-01")).cast("double")).withColumn("dow", F.dayofweek("day"))
-    trend = d.groupBy(F.col("series").alias("s1")).agg(F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"))
-    resid = d.join(trend, F.col("series") == F.col("s1")).withColumn("r", F.col("y") - (F.col("slope") * F.col("x") + F.col("intercept")))
-    weekday = resid.groupBy(F.col("series").alias("s2"), F.col("dow").alias("d2")).agg(F.avg("r").alias("offset"))
-    left = resid.join(weekday, (F.col("series") == F.col("s2")) & (F.col("dow") == F.col("d2")))
-    spread = left.groupBy(F.col("series").alias("s3")).agg(F.stddev_samp(F.col("r") - F.col("offset")).alias("sigma"))
-    return weekday.join(trend, F.col("s2") == F.col("s1")).join(spread, F.col("s2") == F.col("s3")) \
-        .select(F.col("s2").alias("model_series"), F.col("d2").alias("model_dow"), "slope", "intercept", "offset", "sigma")
+    weekday = F.when(F.col("n") > 0, F.struct("dow", "n", "mean_x", "mean_y"))
+    sums = weekdays.groupBy(F.col("series").alias("model_series")).agg(
+        F.sum("n").alias("days"), F.count_if(F.col("n") > 0).alias("k"), F.sum("sxx").alias("sxx"), F.sum("sxy").alias("sxy"), F.sum("syy").alias("syy"),
+        F.sum(F.col("n") * F.col("mean_x")).alias("sum_x"), F.sum(F.col("n") * F.col("mean_y")).alias("sum_y"), F.collect_list(weekday).alias("weekdays"), *kept)
+    slope = F.coalesce(F.try_divide(F.col("sxy"), F.col("sxx")), F.lit(0.0))
+    free = F.col("days") - F.col("k") - 1
+    rest = F.greatest(F.col("syy") - slope * F.col("sxy"), F.lit(0.0))
+    return sums.where("days > 0").select("model_series", "days", "sxx", slope.alias("slope"), F.sqrt(F.when(free > 0, rest / free)).alias("sigma"), (F.col("sum_x") / F.col("days")).alias("mean_x"),
+                                         (F.col("sum_y") / F.col("days")).alias("mean_y"), "weekdays", *[F.col(c) for c in sums.columns[8:] if c != "weekdays"])
+
+
+def fit_daily(daily: DataFrame) -> DataFrame:
+    """One model row per series: the least-squares fit of a trend and an offset for each weekday, in one pass over the days."""
+    return _solved(_weekdays(daily, F.col("y")))
+
+
+def _judged(days: DataFrame, z: float) -> DataFrame:
+    """Forecast, bounds and flag of days that stand beside their model."""
+    x = F.datediff("day", F.lit("1970-01-01")).cast("double")
+    seen = F.get(F.filter("weekdays", lambda w: w["dow"] == F.dayofweek("day")), F.lit(0))
+    days = days.withColumns({"__w": seen, "__x": x})
+    away = F.col("__x") - F.coalesce("__w.mean_x", "mean_x")
+    forecast = F.coalesce("__w.mean_y", "mean_y") + F.col("slope") * away
+    wide = F.lit(z) * F.col("sigma") * F.sqrt(1 + 1 / F.coalesce("__w.n", "days") + F.coalesce(F.try_divide(away * away, F.col("sxx")), F.lit(0.0)))
+    days = days.select("series", F.col("day").alias("ts"), "y", forecast.alias("forecast"), (forecast - wide).alias("lower_bound"), (forecast + wide).alias("upper_bound"))
+    return days.withColumn("is_anomaly", (F.col("y") < F.col("lower_bound")) | (F.col("y") > F.col("upper_bound")))
 
 
 def detect(model: DataFrame, daily: DataFrame, z: float = 2.5758) -> DataFrame:
-    """Forecast, bounds and flag for new days; a weekday the model has not seen keeps the trend."""
-    d = daily.withColumn("x", F.datediff("day", F.lit("1970-01-01")).cast("double")).withColumn("dow", F.dayofweek("day"))
-    per_series = model.select("model_series", "slope", "intercept", "sigma").distinct()
-    offsets = model.select(F.col("model_series").alias("o_series"), F.col("model_dow").alias("o_dow"), "offset")
-    j = d.join(per_series, F.col("series") == F.col("model_series")).join(offsets, (F.col("series") == F.col("o_series")) & (F.col("dow") == F.col("o_dow")), "left")
-    forecast = F.col("slope") * F.col("x") + F.col("intercept") + F.coalesce("offset", F.lit(0.0))
-    out = j.select("series", F.col("day").alias("ts"), "y", forecast.alias("forecast"), "sigma")
-    low, high = F.col("forecast") - z * F.col("sigma"), F.col("forecast") + z * F.col("sigma")
-    return out.select("series", "ts", "y", "forecast", low.alias("lower_bound"), high.alias("upper_bound"), ((F.col("y") < low) | (F.col("y") > high)).alias("is_anomaly"))
+    """Forecast, bounds and flag for new days.
+
+    Bounds are those of a prediction: they widen with the distance from the days
+    the model knows.  A weekday it has not seen takes the means of all days.
+    """
+    return _judged(daily.join(model, F.col("series") == F.col("model_series")), z)
+
+
+def anomalies(daily: DataFrame, until: str, z: float = 2.5758) -> DataFrame:
+    """Fit on the days up to ``until`` and judge those after it, from one pass over the days.
+
+    The days to judge travel along with the moments of their weekday, so the input
+    is neither read nor aggregated twice; a series has as many as the calendar.
+    """
+    known = F.col("day") <= F.lit(until).cast("date")
+    later = F.collect_list(F.when(~known, F.struct("day", "y"))).alias("later")
+    model = _solved(_weekdays(daily, F.when(known, F.col("y")), later), F.flatten(F.collect_list("later")).alias("later"))
+    return _judged(model.withColumnRenamed("model_series", "series").select("*", F.inline("later")), z)
 
 
 def alert(anomalies: DataFrame, since: str) -> DataFrame:
     """One row: is there an anomaly after ``since``."""
-    return anomalies.agg(F.coalesce(F.bool_or(F.col("is_anomaly") & (F.col("ts") > F.lit(since).cast("date"))), F.lit(False)).alias("fire"))
+    return alerts(anomalies, [since]).select("fire")
+
+
+def alerts(anomalies: DataFrame, since) -> DataFrame:
+    """A row for each date of ``since``: is there an anomaly after it.  The anomalies are gone through once."""
+    last = anomalies.agg(F.max(F.when(F.col("is_anomaly"), F.col("ts"))).alias("__last"))
+    dates = F.explode(F.array(*[F.lit(d).cast("date") for d in since]))
+    return last.select("__last", dates.alias("since")).select("since", F.coalesce(F.col("__last") > F.col("since"), F.lit(False)).alias("fire"))
 
 
 # ---- classification -------------------------------------------------------------------
@@ -119,17 +160,19 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     return ratio_to_report(counts, "cnt", name="percent", scale=100.0)
 
 
-def train_classifier(df: DataFrame, target: str, categorical=(), numeric=(), trees: bool = False):
-    """A fitted pipeline; rows with missing or unknown input are skipped."""
+def train_classifier(df: DataFrame, target: str, categorical=(), numeric=(), trees: bool = False, hashed: int = 1 << 12):
+    """A fitted pipeline; rows with a missing number or target are skipped.
+
+    Each categorical column is hashed into ``hashed`` inputs of its own, so a column
+    of any number of values needs no list of them, and a value first met when predicting is no
+    error.  Values that meet in an input share its weight.  Only the classes of the target are listed.
+    """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorAssembler
     stages = [StringIndexer(inputCol=target, outputCol="__label", handleInvalid="skip", stringOrderType="alphabetAsc")]
-    inputs = list(numeric)
-    for c in categorical:
-        stages += [StringIndexer(inputCol=c, outputCol=f"__{c}_i", handleInvalid="skip"), OneHotEncoder(inputCol=f"__{c}_i", outputCol=f"__{c}_v")]
-        inputs.append(f"__{c}_v")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="skip"))
+    stages += [FeatureHasher(inputCols=[c], outputCol=f"__{c}_v", categoricalCols=[c], numFeatures=hashed) for c in categorical]
+    stages.append(VectorAssembler(inputCols=[*numeric, *[f"__{c}_v" for c in categorical]], outputCol="__features", handleInvalid="skip"))
     kind = GBTClassifier if trees else LogisticRegression
     stages.append(kind(featuresCol="__features", labelCol="__label"))
     return Pipeline(stages=stages).fit(df.where(F.col(target).isNotNull()))
@@ -148,7 +191,7 @@ def predict(model, df: DataFrame) -> DataFrame:
 
 
 def importance(model, df: DataFrame) -> DataFrame:
-    """Weight of each input, largest first.
+    """Weight of each input, largest first; that of a hashed column is the sum of its hashed inputs.
 
     Trees bring their own importances; a linear model's coefficients are scaled by
     the spread of their inputs in ``df``, so that inputs of different units compare.
@@ -166,7 +209,7 @@ def importance(model, df: DataFrame) -> DataFrame:
     for c in model.stages[-2].getInputCols():
         width = 1
         if c.endswith("_v"):
-            width = next(s for s in model.stages if getattr(s, "getOutputCols", None) and s.isSet("outputCol") and s.getOutputCol() == c).categorySizes[0] - 1
+            width = next(s for s in model.stages if s.hasParam("numFeatures") and s.getOutputCol() == c).getNumFeatures()
         names.append((c.removeprefix("__").removesuffix("_v"), at, at + width))
         at += width
     rows = [(n, float(sum(weights[a:b]))) for n, a, b in names]
@@ -202,20 +245,13 @@ def threshold_curve(df: DataFrame, label: str, score: str, decimals: int = 2) ->
                       F.try_divide(fp, F.sum("n").over(whole)).alias("false_positive_rate"))
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = 1000) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact area under the ROC curve by rank sums, ties counting half.
 
-    Distinct scores are counted first.  Positives above a score are found inside
-    buckets of the score range and carried over the buckets, so no window holds
-    more than the distinct scores of one bucket or one row per bucket.
+    Distinct scores are counted first; the negatives below each come from a running
+    total over all scores, dealt by range, so scores of any distribution are spread evenly.
     """
     per = df.groupBy(F.col(score).cast("double").alias("s")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).where("p + n > 0")
-    span = per.agg(F.min("s").alias("lo"), F.max("s").alias("hi"))
-    b = per.crossJoin(span).withColumn("b", F.when(F.col("hi") > F.col("lo"), F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0))
-    inside = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    # negatives below a score: inside its bucket, plus those of the buckets before
-    ranked = b.withColumn("below", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    per_bucket = ranked.groupBy("b").agg(F.sum("n").alias("n"), F.sum("p").alias("p"), F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)).alias("w"))
-    earlier = F.coalesce(F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = per_bucket.withColumn("earlier", earlier).agg(F.sum(F.col("w") + F.col("p") * F.col("earlier")).alias("w"), F.sum("p").alias("p"), F.sum("n").alias("n"))
+    upto = running_total(per, "n", "s", name="upto")
+    total = upto.agg(F.sum(F.col("p") * (F.col("upto") - F.col("n") / 2)).alias("w"), F.sum("p").alias("p"), F.sum("n").alias("n"))
     return total.select(F.try_divide(F.col("w").cast("double"), (F.col("p") * F.col("n")).cast("double")).alias("auc"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.session import work_dir
+from millrace.sources.files import save
 
 ADMIN = "RL_PRIVACY_ADMIN"
 
@@ -81,27 +82,27 @@ def reports_below(df: DataFrame, user: str, employee: str = "employee_id", manag
 def reports_closure(df: DataFrame, employee: str = "employee_id", manager: str = "reports_to") -> DataFrame:
     """Every (employee, manager) pair, direct and indirect.
 
-    One join per level of the hierarchy: each level is written to the shared work
-    folder, so lineage stays short, and pairs seen before are dropped, so loops
-    (an employee who reports to themselves) end and no depth has to be assumed.
+    Steps double: what is known of paths shorter than a length is joined with the
+    pairs exactly that far apart, and those with themselves, so a hierarchy of depth d takes about
+    log2(d) rounds.  Each round writes the pairs it adds, once, to the shared work folder.  Pairs known before are dropped,
+    so loops (an employee who reports to themselves) end: a round that adds nothing is the last.
     """
     spark = df.sparkSession
     root = f"{work_dir(spark)}/closure-{uuid.uuid4().hex}"
     edges = df.select(F.col(employee).alias("employee"), F.col(manager).alias("manager")).where("employee is not null and manager is not null").distinct()
-    edges.write.parquet(f"{root}/level=0")
-    schema = edges.schema
-    first = spark.read.schema(schema).parquet(f"{root}/level=0")
-    up = first.select(F.col("employee").alias("via"), F.col("manager").alias("above"))
-    level = 0
+    known, hop, number = [], save(edges, f"{root}/hop-0"), 0  # pairs 2**number apart
     while True:
-        seen = spark.read.schema(schema).parquet(*[f"{root}/level={i}" for i in range(level + 1)])
-        newest = spark.read.schema(schema).parquet(f"{root}/level={level}")
-        found = newest.join(up, F.col("manager") == F.col("via")).select("employee", F.col("above").alias("manager")).distinct() \
-            .join(seen, ["employee", "manager"], "left_anti")
-        level += 1
-        found.write.parquet(f"{root}/level={level}")
-        if spark.read.schema(schema).parquet(f"{root}/level={level}").isEmpty():
-            return seen
+        far = hop.select(F.col("employee").alias("via"), F.col("manager").alias("above"))
+        added = hop
+        if known:
+            seen = spark.read.schema(edges.schema).parquet(*known)
+            longer = seen.join(far, F.col("manager") == F.col("via")).select("employee", F.col("above").alias("manager"))
+            added = hop.unionByName(longer).distinct().join(seen, ["employee", "manager"], "left_anti")
+        if save(added, f"{root}/added-{number}").isEmpty():
+            return spark.read.schema(edges.schema).parquet(*known) if known else hop
+        known.append(f"{root}/added-{number}")
+        number += 1
+        hop = save(hop.join(far, F.col("manager") == F.col("via")).select("employee", F.col("above").alias("manager")).distinct(), f"{root}/hop-{number}")
 
 
 def department_rollup(df: DataFrame, role: str, allowed=("RL_FINANCE", ADMIN)) -> DataFrame:

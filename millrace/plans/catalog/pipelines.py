@@ -595,9 +595,7 @@ def privacy_erasure(s):
 
 
 def _anomalies(s):
-    daily = an.daily_totals(s.events, "ts", "value", "event_type")
-    model = an.fit_daily(daily.where("day <= date'2024-01-21'"))
-    return an.detect(model, daily.where("day > date'2024-01-21'"), z=1.5)
+    return an.anomalies(an.daily_totals(s.events, "ts", "value", "event_type"), "2024-01-21", z=1.5)
 
 
 @query
@@ -608,8 +606,8 @@ def anomaly_daily(s):
 
 @query
 def alert_exists(s):
-    a = _anomalies(s)
-    return an.alert(a, "2024-01-21").withColumn("since", F.lit("start")).unionByName(an.alert(a, "2024-12-31").withColumn("since", F.lit("end")))
+    fired = an.alerts(_anomalies(s), ["2024-01-21", "2024-12-31"])
+    return fired.select("fire", F.when(F.month("since") == 1, "start").otherwise("end").alias("since"))
 
 
 @query
@@ -651,6 +649,13 @@ def auc(s):
     return an.auc(_scored(s), "quality", "score")
 
 
+@query
+def auc_skewed(s):
+    """Scores that nearly all lie in one hundred-thousandth of their range."""
+    skewed = _scored(s).withColumn("score", F.when(F.col("doc_id") % 50 == 0, 1.0).otherwise(F.round(F.col("score"), 3) / 100000))
+    return an.auc(skewed, "quality", "score")
+
+
 def _training(s):
     """Order lines with a target that the discount and the kind of part explain in part."""
     df = star_join(s.lineitem, (s.part.select("p_partkey", "p_type"), "l_partkey", "p_partkey"))

@@ -367,6 +367,32 @@ def last_over_partition(s):
     return out.where("event_type = 'purchase'").drop("ts")
 
 
+@query
+def row_number_global(s):
+    """Every line item numbered by its price over the whole table."""
+    from millrace.operators.ordered import numbered
+    lines = s.lineitem.select("l_orderkey", "l_linenumber", _money("l_extendedprice").alias("price"))
+    return numbered(lines, F.col("price").desc(), "l_orderkey", "l_linenumber", name="n")
+
+
+@query
+def running_total_global(s):
+    """Turnover up to each order, over the whole table."""
+    from millrace.operators.ordered import running_total
+    orders = s.orders.select("o_orderkey", _money("o_totalprice").alias("price"), "o_orderdate")
+    return running_total(orders, "price", "o_orderdate", "o_orderkey", name="turnover").drop("o_orderdate")
+
+
+@query
+def interval_join_years(s):
+    """Orders within spans of very different lengths, from minutes to years, of their customer."""
+    k = F.col("c_custkey")
+    start = F.expr("timestamp'1995-01-01' + make_interval(0, 0, 0, cast(c_custkey % 1500 as int))")
+    spans = s.customer.select("c_custkey", start.alias("a"), (start + F.expr("make_interval(0, 0, 0, 0, 0, cast(pow(12, c_custkey % 6 + 1) as int))")).alias("b"), (k % 6).alias("kind"))
+    orders = s.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("at"))
+    return r.interval_join(orders, spans, ("o_custkey", "c_custkey"), "at", "a", "b").groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("orders"))
+
+
 @query
 def row_number_orders(s):
     return s.orders.select("o_custkey", "o_orderkey", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).alias("n")).where("n <= 2")

@@ -100,6 +100,10 @@ SQL["prev_next_period"] = """select o_orderpriority, yr, mo, t::double as total,
 SQL["qualify_latest"] = "select user_id, event_id, event_type from events qualify rank() over (partition by user_id order by ts desc) = 1"
 SQL["last_over_partition"] = """select event_id, user_id, event_type, last_value(event_type) over w as last_type, first_value(event_type) over w as first_type from events
   window w as (partition by user_id order by ts, event_id rows between unbounded preceding and unbounded following) qualify event_type = 'purchase'"""
+SQL["row_number_global"] = "select l_orderkey, l_linenumber::bigint as l_linenumber, l_extendedprice::decimal(12,2)::double as price, row_number() over (order by l_extendedprice::decimal(12,2) desc, l_orderkey, l_linenumber) as n from lineitem"
+SQL["running_total_global"] = "select o_orderkey, o_totalprice::decimal(12,2)::double as price, (sum(o_totalprice::decimal(12,2)) over (order by o_orderdate, o_orderkey))::double as turnover from orders"
+SQL["interval_join_years"] = """with c as (select c_custkey, timestamp '1995-01-01' + to_days((c_custkey % 1500)::int) as a, c_custkey % 6 as kind from customer)
+  select kind, count(*) as n, sum(o_orderkey)::bigint as orders from orders join c on o_custkey = c_custkey and o_orderdate between a and a + to_minutes(pow(12, kind + 1)::bigint) group by all"""
 SQL["row_number_orders"] = "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as n from orders qualify n <= 2"
 SQL["cost_share"] = """select l_linenumber::bigint as l_linenumber, round(sum(cost::decimal(20,6)), 2)::double as cost, count(*) as n from (
   select l_linenumber, q::double / sum(q) over (partition by l_orderkey)::double * o_totalprice as cost from (select l_orderkey, l_linenumber, l_quantity::bigint as q, o_totalprice from lineitem join orders on o_orderkey = l_orderkey)) group by all"""

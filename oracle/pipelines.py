@@ -117,11 +117,12 @@ SQL["privacy_erasure"] = """with p as (select o_custkey as c, o_totalprice::deci
   gone as (select c from p where c % 5 < 2 group by all having sum(price) = sum(paid) and max(d) <= date '2000-06-15')
   select 'reviews' as kind, count(*) as n, sum(o_custkey)::bigint as ids from orders where o_orderstatus = 'F' and o_custkey % 5 >= 2
   union all select 'purchases', count(*), sum(c)::bigint from p where c not in (from gone)"""
-_FIT = """d as (select event_type as series, ts::date as day, sum(value::decimal(18,4))::double as y from events group by all), x as (select *, (day - date '1970-01-01')::double as x, dayofweek(day) as dow from d),
-  tr as (from x where day <= date '2024-01-21'), l as (select series, regr_slope(y, x) as a, regr_intercept(y, x) as b from tr group by all), rs as (select tr.*, y - (a * x + b) as r from tr join l using (series)),
-  o as (select series, dow, avg(r) as off from rs group by all), g as (select series, stddev_samp(r - off) as s from rs join o using (series, dow) group by all),
-  f as (select series, day, y, a * x + b + coalesce(off, 0) as fc, s from x join l using (series) join g using (series) left join o using (series, dow) where day > date '2024-01-21'),
-  an as (select *, fc - 1.5 * s as lo, fc + 1.5 * s as hi, y < fc - 1.5 * s or y > fc + 1.5 * s as bad from f)"""
+_FIT = """d as (select event_type as series, ts::date as day, sum(value::decimal(18,4))::double as y, (ts::date - date '1970-01-01')::double as x, dayofweek(ts::date) as dow from events group by all),
+  w as (select series, dow, count(*) as n, avg(x) as wx, avg(y) as wy, regr_sxx(y, x) as sxx, regr_sxy(y, x) as sxy, regr_syy(y, x) as syy from d where day <= date '2024-01-21' group by all),
+  s as (select series, sum(n) as days, count(*) as k, sum(sxx) as sxx, sum(sxy) / sum(sxx) as b, sum(syy) - sum(sxy) * sum(sxy) / sum(sxx) as rest, sum(n * wx) / sum(n) as mx, sum(n * wy) / sum(n) as my from w group by all),
+  f as (select d.series, day, y, coalesce(wy, my) + b * (x - coalesce(wx, mx)) as fc, 1.5 * sqrt(rest / (days - k - 1)) * sqrt(1 + 1 / coalesce(n, days) + (x - coalesce(wx, mx)) ** 2 / s.sxx) as half
+    from d join s using (series) left join w on w.series = d.series and w.dow = d.dow where day > date '2024-01-21'),
+  an as (select *, fc - half as lo, fc + half as hi, y < fc - half or y > fc + half as bad from f)"""
 SQL["anomaly_daily"] = f"with {_FIT} select series, day::varchar as ts, round(y, 4) as y, round(fc, 4) as forecast, round(lo, 4) as lower_bound, round(hi, 4) as upper_bound, bad as is_anomaly from an"
 SQL["alert_exists"] = f"with {_FIT} select bool_or(bad) as fire, 'start' as since from an union all select false, 'end'"
 SQL["hash_split"] = "select count(*) as n, count(*) as stable, true as near_95 from orders"
@@ -135,6 +136,8 @@ SQL["evaluation_metrics"] = f"""with {_SC}, c as (select unnest([0, 1])::bigint
 SQL["threshold_curve"] = f"""with {_SC}, t as (select round(s, 2) as threshold, count(*) filter (q = 1) as a, count(*) filter (q = 0) as b from sc group by all), u as (select threshold, sum(a) over w::bigint as tp, sum(b) over w::bigint as fp, sum(a) over ()::double as pa, sum(b) over ()::double as pb from t window w as (order by threshold desc))
   select threshold, tp, fp, tp::double / (tp + fp) as precision, tp::double / pa as recall, fp::double / pb as false_positive_rate from u"""
 SQL["auc"] = f"with {_SC} select sum(if(a.s > b.s, 1, if(a.s = b.s, 0.5, 0)))::double / count(*)::double as auc from sc a, sc b where a.q = 1 and b.q = 0"
+SQL["auc_skewed"] = """with sc as (select quality as q, if(doc_id % 50 = 0, 1, round(n_chars / (n_chars + 1000), 3) / 100000) as s from labels join documents using (doc_id))
+  select sum(if(a.s > b.s, 1, if(a.s = b.s, 0.5, 0)))::double / count(*)::double as auc from sc a, sc b where a.q = 1 and b.q = 0"""
 SQL["text_blob_rows"] = "select c_nationkey::bigint as c_nationkey, c_custkey as id, ' ' || c_name as name from customer"
 SQL["row_count"] = "select count(*) as n_rows from orders"
 SQL["summary_answer"] = "select o_custkey, sum(o_totalprice::decimal(12,2))::double as sum_total_price, count(*) as num_orders from orders where o_custkey between 55 and 60 group by all"
