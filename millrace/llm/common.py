@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from millrace.session import work_dir
 
 
-#: Texts that a Python worker gets at a time; Spark's default of 10,000 holds several copies of some 30 MB.
-BATCH_ROWS = 2_000
+#: Texts that a Python worker gets at a time, in rows and in bytes; Spark's default of 10,000 rows holds several copies of some 30 MB.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -71,3 +72,47 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish = f"_{wish}"
     return wish
+
+
+def once(value: Column, body) -> Column:
+    """``body(value)``, for which the value is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Lengths of the two levels of sums and of pieces of a text: what grows with the square of a number does so within them.
+_LEVEL, _PIECE = 256, 4096
+
+
+def sums_before(lengths: Column) -> Column:
+    """For each number of an array<bigint> the sum of those before it, by blocks, so in time about in proportion."""
+    def running(block: Column) -> Column:
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(block, start, lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    def joined(all_: Column) -> Column:
+        firsts = F.when(F.size(all_) > 0, F.sequence(F.lit(1), F.size(all_), F.lit(_LEVEL))).otherwise(F.array().cast("array<int>"))
+        blocks = F.transform(firsts, lambda k: running(F.slice(all_, k, _LEVEL)))
+        return once(blocks, lambda b: once(running(F.transform(b, lambda x: x["at"]))["out"], lambda before: F.flatten(F.transform(b, lambda x, i: F.transform(x["out"], lambda v: v + F.get(before, i))))))
+
+    return once(lengths, joined)
+
+
+def rewritten(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``row`` and ``text`` of ``rows`` with each span replaced: ``spans`` has row, start, end (code points, end exclusive) and new.
+
+    Spans of a row don't overlap.  Texts are cut into pieces and put together again,
+    so a long text with very many spans is spread over tasks and costs what it is long.
+    """
+    pieces = rows.select("row", F.posexplode(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))).alias("c", "piece"))
+    first, last = F.floor(F.col("start") / _PIECE).cast("int"), F.floor((F.col("end") - 1) / _PIECE).cast("int")
+    cuts = spans.select("row", "start", "end", "new", F.explode(F.sequence(first, last)).alias("c"))
+    cut = F.struct(F.greatest(F.col("start") - F.col("c") * _PIECE, F.lit(0)).cast("int").alias("a"), F.least(F.col("end") - F.col("c") * _PIECE, F.lit(_PIECE)).cast("int").alias("b"),
+                   F.when(F.col("c") == first, F.col("new")).otherwise("").alias("new"))
+    per = cuts.groupBy("row", "c").agg(F.array_sort(F.collect_list(cut)).alias("cuts"))
+
+    def step(acc, x):
+        return F.struct(x["b"].alias("at"), F.concat(acc["out"], F.substr(F.col("piece"), acc["at"] + 1, x["a"] - acc["at"]), x["new"]).alias("out"))
+
+    spliced = F.aggregate("cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substr(F.col("piece"), acc["at"] + 1)))
+    out = pieces.join(per, ["row", "c"], "left").select("row", F.struct("c", F.when(F.col("cuts").isNull(), F.col("piece")).otherwise(spliced).alias("piece")).alias("p"))
+    return out.groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["piece"]), "").alias("text"))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import documents, staged
+from millrace.llm.common import documents, once, staged
 from millrace.llm.license_signatures import WEIGHTS, Rule, rules
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -39,11 +39,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN, -1), "")
 
 
-def once(value: Column, body) -> Column:
-    """``body(value)``, for which the value is computed once however often the body names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def places(words: Column, keywords: list[str]) -> Column:
     """Position, keyword and the words from there on, wherever a rule starts."""
     alone, pairs = [k for k in keywords if " " not in k], [k for k in keywords if " " in k]

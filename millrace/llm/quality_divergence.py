@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import byte_rows, documents, free_name, lists, raw, staged
+from millrace.llm.common import byte_rows, documents, lists, raw, staged
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = (
@@ -170,16 +170,14 @@ def accepted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", mi
              max_words: float = 0.18, word_noise: float = 1.0) -> DataFrame:
     """The documents that :func:`judge` keeps, with all their columns.
 
-    Texts never move: the references (a row per language) are joined to the
-    documents, and each row is judged where it was read.
+    The counts are taken once and written beside the rows; the references (a row per
+    language) are joined to that table, so no text moves and none is counted again.
     """
-    s, ref_lang = free_name(docs, "quality_stats"), free_name(docs, "quality_lang")
-    stat = docs.select(F.col(lang_col).cast("string").alias("lang"), stats(raw(F.col(text_col))).alias("s")).select("lang", "s.*")
-    ref = staged(references(stat, min_words), "quality-references")
-    ref = ref.select(F.col("lang").alias(ref_lang), F.struct("ref_chars", "ref_words").alias(f"{ref_lang}_sums"))
     names = docs.columns
-    d = docs.join(ref, F.col(lang_col).cast("string").eqNullSafe(F.col(ref_lang))).withColumn(s, stats(raw(F.col(text_col))))
-    d = d.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), f"{s}.*", f"{ref_lang}_sums.*")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(lang_col).cast("string").alias("lang"), stats(raw(F.col(text_col))).alias("s"))
+    d = staged(d.select("row", "lang", "s.*"), "quality-rows")
+    ref = references(d, min_words).withColumnRenamed("lang", "ref_lang")
+    d = d.join(ref, F.col("lang").eqNullSafe(F.col("ref_lang")))
     d = d.withColumn("char_distance", js_distance("chars", "ref_chars")).withColumn("word_distance", js_distance("words", "ref_words"))
     return _verdict(d, min_words, max_chars, max_words, word_noise).where("kept").select("row.*")
 

@@ -18,10 +18,10 @@ NULL identifier stays NULL; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import documents, staged
+from millrace.llm.common import documents, once, rewritten, staged, sums_before
 
 # The base patterns.  Hex and access runs are maximal, so their least length can stand in the pattern.
 ASSIGN = r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -46,16 +46,14 @@ def match_spans(text: Column, pattern: str, kind: int, group: int = 0) -> Column
     p = F.lit(pattern)
     hits = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, p, F.lit(0)).alias("hit"),
                         F.regexp_extract_all(text, p, F.lit(group)).alias("value"))
+    matched = F.filter(hits, lambda x: x["hit"].isNotNull())  # the gap after the last match has none
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.array(F.struct(start.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
+    def spans(found: Column) -> Column:
+        before = sums_before(F.transform(found, lambda x: (F.length(x["gap"]) + F.length(x["hit"])).cast("bigint")))
+        return once(before, lambda b: F.transform(found, lambda x, i: F.struct(
+            (F.get(b, i) + F.length(x["gap"])).alias("start"), (F.get(b, i) + F.length(x["gap"]) + F.length(x["hit"])).alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), _none().alias("out"))
-    matched = F.filter(hits, lambda x: x["hit"].isNotNull())  # the gap after the last match has none
-    return F.aggregate(matched, start, step, lambda acc: acc["out"])
+    return once(matched, spans).cast(SPAN)
 
 
 def _mixed(value: Column) -> Column:
@@ -119,13 +117,15 @@ def judged(rows: DataFrame, most_owners: int = 2) -> DataFrame:
     found = rows.select("row", "owner", "repository", F.explode("candidates").alias("c")).select("row", "owner", "repository", "c.*")
     counts = ownership(found)
     each = found.join(counts, "value_hash").withColumn("shared", F.col("n_owners") > most_owners)
+    # a token is free if no span before it reaches into it and none starts within it
+    line, back = Window.partitionBy("row").orderBy("start"), Window.partitionBy("row").orderBy(F.col("start").desc())
+    other = F.col("kind") < BASE + 1
+    into = F.max(F.when(other, F.col("end"))).over(line.rangeBetween(Window.unboundedPreceding, 0))
+    within = F.min(F.when(other, F.col("start"))).over(back.rangeBetween(Window.unboundedPreceding, 0))
+    free = F.coalesce(into <= F.col("start"), F.lit(True)) & F.coalesce(within >= F.col("end"), F.lit(True))
+    kept = each.withColumn("free", free).where(other | (F.col("live") & ~F.col("shared") & F.col("free")))
     span = F.struct("start", "end", "kind", "shared", F.col("live").alias("live"), "n_owners")
-    per = each.groupBy("row").agg(F.collect_list(span).alias("all"))
-    base = F.filter("all", lambda x: x["kind"] < BASE + 1)
-    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    per = per.withColumn("base", base)
-    added = F.filter("all", lambda t: (t["kind"] == BASE + 1) & t["live"] & ~t["shared"] & free(t))
-    return per.select("row", F.concat("base", added).alias("spans"))
+    return kept.groupBy("row").agg(F.collect_list(span).alias("spans"))
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", most_owners: int = 2) -> DataFrame:
@@ -142,16 +142,13 @@ def report(docs: DataFrame, id_col: str = "doc_id", most_owners: int = 2) -> Dat
                     many(lambda x: x["shared"]).alias("n_copied"), many(lambda x: ~x["shared"] & x["live"]).alias("n_live"))
 
 
-def _masked(text: Column, spans: Column, mask: str) -> Column:
-    """The text with each run of touching spans replaced; spans are in order."""
-    def step(acc, x):
-        gap = F.substr(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        fresh = F.struct(x["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mask)).alias("out"))
-        within = F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when(x["start"] >= acc["at"], fresh).otherwise(within)
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
+def _runs(spans: DataFrame, mask: str) -> DataFrame:
+    """Spans that overlap made one, with the mask as what replaces them."""
+    line = Window.partitionBy("row").orderBy("start", F.col("end").desc())
+    reach = F.max("end").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")
+    runs = spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(line))
+    return runs.groupBy("row", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).withColumn("new", F.lit(mask))
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", most_owners: int = 2) -> DataFrame:
@@ -162,11 +159,12 @@ def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[secret]", mo
     rows = staged(scanned(docs, text_col), "secret-rows")
     clean = rows.where(F.size("candidates") == 0).select("doc.*")
     dirty = rows.where(F.size("candidates") > 0)
-    text = F.coalesce(F.col(f"doc.{text_col}"), F.lit(""))
-    hidden = dirty.select("row", "doc").join(judged(rows, most_owners), "row", "left")
-    order = _in_order(F.coalesce("spans", F.array().cast(JUDGED)))
-    kept = [F.when(F.size("spans") > 0, _masked(text, order, mask)).otherwise(F.col(f"doc.{text_col}")).alias(c) if c == text_col else F.col(f"doc.`{c}`") for c in docs.columns]
-    return clean.unionByName(hidden.select(*kept))
+    spans = judged(rows, most_owners).select("row", F.explode("spans").alias("s")).select("row", "s.start", "s.end")
+    texts = dirty.select("row", F.col(f"doc.`{text_col}`").alias("text"))
+    new = rewritten(texts, _runs(spans, mask)).withColumnRenamed("text", "new_text")
+    others = F.struct(*[F.col(f"doc.`{c}`").alias(c) for c in docs.columns if c != text_col], F.lit(0).alias("__"))
+    hidden = dirty.select("row", others.alias("doc")).join(new, "row")
+    return clean.unionByName(hidden.select(*[F.col("new_text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns]))
 
 
 def op1_secret_ownership(spark, folder):

@@ -6,7 +6,7 @@ joins what stands on both sides of such a place, so a text is cut there and each
 chunk (blanks, then the characters up to the next blank) is segmented by itself.
 Every worker keeps a table of the distinct chunks it met with their ids: a chunk
 goes through the library once, and the ids of a text are gathered from the table
-by position.  The table is emptied at ``table_rows`` chunks, which bounds memory
+by position.  The table is emptied at ``table_rows`` chunks or ``TABLE_BYTES``, which bounds memory
 and changes no result.  It lives in the tasks, as a join of every word position
 with one table for the whole corpus would move more bytes than the texts have.
 
@@ -21,6 +21,7 @@ themselves, whole.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,6 +37,8 @@ from millrace.llm.common import documents, lists
 MARK = "▁"
 _CHUNK = re.compile(" +[^ ]*")
 SLICE_CHARS, SLICE_IDS = 1 << 19, 1 << 17
+#: About what a table may hold before it is emptied, whatever the length of its chunks.
+TABLE_BYTES = 64 << 20
 
 
 def default_model() -> str:
@@ -88,7 +91,7 @@ class ChunkTable:
     def clear(self) -> None:
         self.row: dict[str, int] = {}
         self.first, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.int32), 0
+        self.ids, self.used, self.held = np.zeros(4096, np.int32), 0, 0
 
     @staticmethod
     def _room(a: np.ndarray, n: int) -> np.ndarray:
@@ -107,12 +110,13 @@ class ChunkTable:
         self.ids[self.used:self.used + total] = np.fromiter((i for ids in coded for i in ids), np.int32, total)
         self.used += total
         self.row.update(zip(keys, range(at, n), strict=True))
+        self.held += 4 * sum(map(len, keys)) + 4 * total + 150 * len(keys)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many each text has."""
         parts = [chunks(t) for t in texts]
         keys = [k for p in parts for k in p]
-        if len(self.row) > self.limit:
+        if len(self.row) > self.limit or self.held > TABLE_BYTES:
             self.clear()
         new = [k for k in set(keys) if k not in self.row]
         if new:
@@ -137,6 +141,16 @@ def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def _sliced(known: ChunkTable, texts: list[str], by_chunk: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and their numbers, a slice of texts at a time."""
+    for a, b in slices([len(t) for t in texts], SLICE_CHARS):
+        if by_chunk:
+            yield known.encode(texts[a:b])
+        else:
+            coded = known.lib.encode(texts[a:b], num_threads=1)
+            yield np.array([i for x in coded for i in x], np.int32), np.array([len(x) for x in coded], np.int64)
+
+
 def encode(text: Column, model: str | None = None, table_rows: int = 300_000) -> Column:
     """The ids of a text as the library gives them, without begin or end ids."""
     path = model or default_model()
@@ -146,14 +160,8 @@ def encode(text: Column, model: str | None = None, table_rows: int = 300_000) ->
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = ChunkTable(path, table_rows)
         for batch in batches:
-            texts = [t or "" for t in batch.to_pylist()]
             flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
-                if by_chunk:
-                    got, n = known.encode(texts[a:b])
-                else:
-                    coded = known.lib.encode(texts[a:b], num_threads=1)
-                    got, n = np.array([i for x in coded for i in x], np.int32), np.array([len(x) for x in coded], np.int64)
+            for got, n in _sliced(known, [t or "" for t in batch.to_pylist()], by_chunk):
                 flat.append(got)
                 sizes.append(n)
             yield lists(np.concatenate(flat), np.concatenate(sizes), pa.int32())
@@ -161,6 +169,40 @@ def encode(text: Column, model: str | None = None, table_rows: int = 300_000) ->
     return ids(F.coalesce(text, F.lit("")))
 
 
+def coded(text: Column, model: str | None = None, table_rows: int = 300_000, with_ids: bool = True) -> Column:
+    """struct<n_tokens, ids_sha256, decoded_sha256> of a text, and its ``ids`` if wanted.
+
+    Encoding, decoding and the digests are one function, so a task has one worker
+    with one model, and neither ids that nobody wants nor decoded texts leave it.
+    """
+    path = model or default_model()
+    by_chunk = separable(path)
+    kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+                        + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids)
+
+    @F.arrow_udf(kind)
+    def pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = ChunkTable(path, table_rows)
+        spelled = [str(i) for i in range(known.lib.get_piece_size())]
+        for batch in batches:
+            sizes, digest, back, flat = [np.zeros(0, np.int64)], [], [], [np.zeros(0, np.int32)]
+            for got, n in _sliced(known, [t or "" for t in batch.to_pylist()], by_chunk):
+                sizes.append(n)
+                if with_ids:
+                    flat.append(got)
+                ends, each = np.cumsum(n).tolist(), got.tolist()
+                texts = [each[e - k:e] for e, k in zip(ends, n.tolist(), strict=True)]
+                digest += [hashlib.sha256(",".join([spelled[i] for i in ids]).encode()).hexdigest() for ids in texts]
+                for a, b in slices(n.tolist(), SLICE_IDS):
+                    back += [hashlib.sha256(t.encode()).hexdigest() for t in known.lib.decode(texts[a:b], num_threads=1)]
+            n = np.concatenate(sizes)
+            columns = [pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(back, pa.string())]
+            columns += [lists(np.concatenate(flat), n, pa.int32())] if with_ids else []
+            yield pa.StructArray.from_arrays(columns, [f.name for f in kind.fields])
+
+    return pieces(F.coalesce(text, F.lit("")))
+
+
 def decode(ids: Column, model: str | None = None) -> Column:
     """The text of a list of ids as the library's decode gives it."""
     path = model or default_model()
@@ -178,12 +220,5 @@ def decode(ids: Column, model: str | None = None) -> Column:
     return text(ids)
 
 
-def digests(ids: Column, decoded: Column) -> list[Column]:
-    return [F.size(ids).cast("bigint").alias("n_tokens"), F.sha2(F.concat_ws(",", ids.cast("array<string>")), 256).alias("ids_sha256"),
-            F.sha2(decoded, 256).alias("decoded_sha256")]
-
-
 def op4_sentencepiece_chunks(spark, folder):
-    coded = documents(spark, folder).select("doc_id", encode(F.col("text")).alias("ids"))
-    both = coded.withColumn("decoded", decode(F.col("ids")))
-    return both.select("doc_id", *digests(F.col("ids"), F.col("decoded")))
+    return documents(spark, folder).select("doc_id", coded(F.col("text"), with_ids=False).alias("c")).select("doc_id", "c.*")

@@ -18,17 +18,19 @@ entities of a kind share, or that is an entity of the corpus, is drawn again for
 all but one of them, round by round until none is left.  From the sixth round on
 a surrogate also grows, as a format may hold too few values.
 
-Nulls and edges: a NULL text stays NULL; an empty text is empty; repeated rows are
+Nulls and edges: a NULL text stays NULL; an empty text is empty; texts of any length
+are treated whole, in about their length in time; equal values are one entity wherever they stand; repeated rows are
 treated each; entities that a third of the table shares are counted by combining
 and joined by a join that Spark can split; an empty table gives an empty result.
+Columns of any name pass as they are, but for one named ``replacements``, which the result adds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import documents, staged
+from millrace.llm.common import documents, rewritten, staged
 from millrace.llm.secret_ownership import SPAN, match_spans
 
 # Forms of address that tell a gender.
@@ -37,7 +39,8 @@ FEMALE = ("Mrs", "Ms", "Miss", "Lady", "Madam", "Frau", "Madame", "Mademoiselle"
 NEUTRAL = ("Dr", "Prof", "Doctor", "Professor", "Доктор", "Профессор")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# The name of a machine has 127 labels at most; with a bound the engine's recursion has one.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,126}\.[A-Za-z]{2,}"
 IP = rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)"
 ACCOUNT = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"
 SOCIAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
@@ -82,11 +85,18 @@ def entities(text: Column) -> Column:
 
 def mentions(rows: DataFrame, each: DataFrame, text: Column) -> DataFrame:
     """Further mentions, like ``each``, of the names found in a row: capitalised words outside the spans found."""
-    names = each.where(F.col("kind").isin("given_f", "given_m", "surname")).groupBy("row", "norm").agg(F.max("kind").alias("kind"))  # a surname before a given name
-    named = rows.where(F.exists("found", lambda x: x["kind"].isin("given_f", "given_m", "surname")))
-    free = lambda x: ~F.exists("found", lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"]))
-    words = named.select("row", F.explode(F.filter(match_spans(text, MENTION, 0), free)).alias("e")).select("row", F.col("e.start").alias("start"), F.col("e.end").alias("end"), F.col("e.value").alias("value"))
-    return words.withColumn("norm", F.lower("value")).join(names, ["row", "norm"]).select("row", "start", "end", "kind", "value", "norm")
+    named = F.col("kind").isin("given_f", "given_m", "surname")
+    names = each.where(named).groupBy("row", "norm").agg(F.max("kind").alias("kind"))  # a surname before a given name
+    with_names = rows.where(F.exists("found", lambda x: x["kind"].isin("given_f", "given_m", "surname")))
+    words = with_names.select("row", F.explode(match_spans(text, MENTION, 0)).alias("e")).select("row", F.col("e.start").alias("start"), F.col("e.end").alias("end"), F.col("e.value").alias("value"))
+    words = words.withColumn("norm", F.lower("value")).join(names, ["row", "norm"]).select("row", "start", "end", "kind", "value", "norm")
+    # a word is free if no span found before it reaches into it and none starts within it
+    all_ = words.withColumn("word", F.lit(True)).unionByName(each.select("row", "start", "end", "kind", "value", "norm", F.lit(False).alias("word")))
+    line, back = Window.partitionBy("row").orderBy("start"), Window.partitionBy("row").orderBy(F.col("start").desc())
+    into = F.max(F.when(~F.col("word"), F.col("end"))).over(line.rangeBetween(Window.unboundedPreceding, 0))
+    within = F.min(F.when(~F.col("word"), F.col("start"))).over(back.rangeBetween(Window.unboundedPreceding, 0))
+    free = F.coalesce(into <= F.col("start"), F.lit(True)) & F.coalesce(within >= F.col("end"), F.lit(True))
+    return all_.withColumn("free", free).where("word and free").drop("word", "free")
 
 
 def normal(kind: Column, value: Column) -> Column:
@@ -184,15 +194,6 @@ def fitted(kind: Column, value: Column, new: Column) -> Column:
     return F.when(kind.isin("card", "phone", "social", "account"), laid).otherwise(cased)
 
 
-def _replaced(text: Column, spans: Column) -> Column:
-    def step(acc, x):
-        gap = F.substr(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        return F.struct(x["end"].alias("at"), F.concat(acc["out"], gap, x["new"]).alias("out"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, (acc["at"] + 1).cast("int"))))
-
-
 def replaced(docs: DataFrame, key: str = "surrogates", text_col: str = "text") -> DataFrame:
     """The documents with surrogates in their text, and ``replacements``: array<struct<start, end, kind, new>>.
 
@@ -204,12 +205,15 @@ def replaced(docs: DataFrame, key: str = "surrogates", text_col: str = "text") -
     each = rows.select("row", F.explode("found").alias("e")).select("row", "e.*").withColumn("norm", normal(F.col("kind"), F.col("value")))
     every = each.unionByName(mentions(rows, each, F.col(f"doc.`{text_col}`")))
     new = every.join(assigned(each, key), ["kind", "norm"])
-    span = F.struct("start", "end", "kind", fitted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new"))
-    per = new.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("spans"))
+    new = new.select("row", "start", "end", "kind", fitted(F.col("kind"), F.col("value"), F.col("surrogate")).alias("new"))
+    per = new.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "new"))).alias("spans"))
     text = F.col(f"doc.`{text_col}`")
     none = F.array().cast("array<struct<start:bigint,end:bigint,kind:string,new:string>>")
-    clean = rows.where(F.size("found") == 0).select(text.alias("new_text"), "doc", none.alias("spans"))
-    dirty = rows.where(F.size("found") > 0).select("row", "doc").join(per, "row").select(_replaced(text, F.col("spans")).alias("new_text"), "doc", "spans")
+    others = F.struct(*[F.col(f"doc.`{c}`").alias(c) for c in names if c != text_col], F.lit(0).alias("__"))
+    clean = rows.where(F.size("found") == 0).select(text.alias("new_text"), others.alias("doc"), none.alias("spans"))
+    dirty = rows.where(F.size("found") > 0)
+    texts = rewritten(dirty.select("row", text.alias("text")), new.select("row", "start", "end", "new")).withColumnRenamed("text", "new_text")
+    dirty = dirty.select("row", others.alias("doc")).join(per, "row").join(texts, "row").select("new_text", "doc", "spans")
     both = clean.unionByName(dirty)
     return both.select(*[F.col("new_text").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in names], F.col("spans").alias("replacements"))
 

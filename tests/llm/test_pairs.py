@@ -2,8 +2,11 @@
 
 from collections import Counter, defaultdict
 
+import uuid
+
 import corpus_pipeline
 from conftest_rows import hard_rows, table_of
+from millrace.session import work_dir
 from millrace.llm.components import components
 from millrace.llm.minhash_components import bands_for, far_bits, near_components, op8_minhash_components, representatives
 from millrace.llm.simhash_windows import decontaminated, matches, op9_simhash_windows
@@ -179,3 +182,16 @@ def test_pipeline_stages(spark, folder, texts):
     last = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id: r.ids for r in last} == {r.doc_id: lib.encode(r.text) for r in docs.collect()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == {r.doc_id for r in last}
+
+
+def test_pipeline_on_hard_rows_and_on_none(spark, folder):
+    """Every stage on nulls, empty and long texts, repeated rows and further columns, and on an empty table."""
+    for rows in (hard_rows(), []):
+        docs = table_of(spark, rows)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, folder)
+            path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+        got = docs.collect()
+        assert bool(got) == bool(rows) and len({r.doc_id for r in got}) == len(got) and all(r.n_tokens == len(r.ids) > 0 for r in got)

@@ -109,3 +109,32 @@ def test_later_mentions_of_a_name_get_its_surrogate(spark):
     words = got[1].split()
     assert words[4] == words[2].rstrip(".") and words[7] == words[1] + "'s" and words[10] == "Smithson" and "Smith " not in got[1] and "John" not in got[1]
     assert got[2] == "Smith is here." and "Miller" not in got[3] and "Jane" not in got[3]
+
+
+def test_one_text_with_very_many_labels_matches_and_spans(spark):
+    """Long texts that used to recurse or to copy what was found for each match."""
+    import time
+
+    rows = [(1, "x@" + "a." * 100_000), (2, "a." * 100_000 + "@b.com"), (3, " ".join(f"password=Abcdefg{i:06d}" for i in range(30_000))), (4, " ".join(f"user{i}@mail{i}.example.com" for i in range(20_000)))]
+    docs = table_of(spark, rows)
+    start = time.time()
+    got = {r.doc_id: r for r in report(docs.where("doc_id = 3")).collect()}
+    assert got[3].n_assign == 30_000 and got[3].spans.split(",")[-1] == "assign:689977:689999"
+    hidden = redacted(docs.where("doc_id = 3")).first().text
+    assert hidden == " ".join(["[secret]"] * 30_000)
+    out = {r.doc_id: r for r in replaced(docs.where("doc_id <> 3")).collect()}
+    assert out[1].text == rows[0][1] and len(out[4].replacements) == 20_000 and not re.search(r"\buser\d+@mail\d+\.example", out[4].text) and len(set(out[4].text.split())) == 20_000
+    assert time.time() - start < 150
+
+
+def test_sums_and_pieces(spark):
+    from millrace.llm.common import rewritten, sums_before
+
+    for n in (0, 1, 255, 256, 257, 1000):
+        row = spark.createDataFrame([([i % 7 for i in range(n)],)], "x array<bigint>").select(sums_before(F.col("x")).alias("s")).first()
+        assert row.s == [sum(i % 7 for i in range(k)) for k in range(n)]
+    text = "é😀x" * 3000
+    spans = [(1, 0, 2, "A"), (1, 4090, 4100, "B"), (1, 4100, 4101, ""), (1, 4200, 8400, "C"), (1, 8999, 9000, "D"), (2, 0, 9000, "E")]
+    want = {1: "A" + text[2:4090] + "B" + text[4101:4200] + "C" + text[8400:8999] + "D", 2: "E", 3: text}
+    got = rewritten(spark.createDataFrame([(i, text) for i in (1, 2, 3)], "row long, text string"), spark.createDataFrame(spans, "row long, start long, end long, new string"))
+    assert {r.row: r.text for r in got.collect()} == want

@@ -13,7 +13,7 @@ from conftest_rows import hard_rows, table_of
 from millrace.llm.boosted_trees import boost, isotonic
 from millrace.llm.masked_likelihood import CLASSES, HEAD, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, scored, step, tail_token, surroundings, targets, train as train_lm
 from millrace.llm.quality_divergence import accepted, judge, op10_quality_divergence, repeated_words, text_stats
-from millrace.llm.sentencepiece_chunks import ChunkTable, decode, default_model, encode, op4_sentencepiece_chunks, processor, separable
+from millrace.llm.sentencepiece_chunks import ChunkTable, coded, decode, default_model, encode, op4_sentencepiece_chunks, processor, separable
 from millrace.llm.toxicity_trees import held_out, op6_toxicity_trees, toxicity, train
 
 
@@ -47,6 +47,8 @@ def test_pieces_of_hard_rows(spark):
     assert len(got) == len(hard_rows())
     assert all(r.ids == lib.encode(r.text or "") and r.back == lib.decode(r.ids) for r in got)
     assert spark.range(1).select(decode(F.lit(None).cast("array<int>")).alias("d")).first().d == ""
+    fused = table_of(spark, hard_rows()).select("text", coded(F.col("text")).alias("c")).collect()
+    assert all(r.c.ids == lib.encode(r.text or "") and r.c.n_tokens == len(r.c.ids) and r.c.ids_sha256 == sha(",".join(map(str, r.c.ids))) and r.c.decoded_sha256 == sha(lib.decode(r.c.ids)) for r in fused)
 
 
 def counts(text):
