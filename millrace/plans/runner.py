@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,22 @@ from millrace.operators.relational import run_summary
 from millrace.plans.tpcds import QUERIES
 
 
-def run_pack(spark: SparkSession, tables, names=None, parameters: dict | None = None) -> DataFrame:
-    """Execute queries of the pack without keeping their rows; ``parameters`` maps a name to keyword arguments.
+def read_parameters(spark: SparkSession, path: str) -> dict[str, dict]:
+    """The parameters of one run of the pack from a JSON file: ``{query: {parameter: value}}``; it is as small as the pack."""
+    text = spark.read.text(path, wholetext=True).first()[0]
+    unknown = (found := json.loads(text)).keys() - QUERIES.keys()
+    if unknown:
+        raise ValueError(f"no such queries: {sorted(unknown)}")
+    return found
 
-    Only the timings, one row per query, are gathered here.
+
+def run_pack(spark: SparkSession, tables, names=None, parameters: dict | str | None = None) -> DataFrame:
+    """Execute queries of the pack without keeping their rows.
+
+    ``parameters`` maps a name to keyword arguments, or is the path of a JSON file
+    that does, one file for each published run.  Only the timings, one row per query, are gathered here.
     """
+    parameters = read_parameters(spark, parameters) if isinstance(parameters, str) else parameters
     rows = []
     for name in names or QUERIES:
         spark.catalog.clearCache()

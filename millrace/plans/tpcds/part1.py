@@ -107,14 +107,18 @@ def q07(t, gender="M", marital="M", education="4 yr Degree", year=2001, limit=10
     return c.demographic_averages(t, "ss", "ss_cdemo_sk", gender, marital, education, year, limit)
 
 
-def q08(t, zips, quarter=1, year=2002, least=10, limit=100):
+def q08(t, zips=None, quarter=1, year=2002, least=10, limit=100):
     """Store profit where the store's zip area holds a listed zip with many preferred customers.
 
-    ``zips`` is a one-column table of five-digit zips (the published run lists about 400).
+    ``zips`` is a list of five-digit zips or a table with one column of them (the
+    published run lists about 400); without one every zip counts as listed.
     """
-    wanted = zips.select(F.substring(zips.columns[0], 1, 5).alias("zip")).distinct()
     addresses = t.customer_address.select("ca_address_sk", F.substring("ca_zip", 1, 5).alias("zip"))
-    listed = addresses.select("zip").intersect(wanted)
+    listed = addresses.select("zip").distinct()
+    if isinstance(zips, list | tuple):
+        listed = listed.where(F.col("zip").isin([z[:5] for z in zips]))
+    elif zips is not None:
+        listed = listed.intersect(zips.select(F.substring(zips.columns[0], 1, 5)))
     preferred = star_join(t.customer.where("c_preferred_cust_flag = 'Y'"), (addresses, "c_current_addr_sk", "ca_address_sk")) \
         .groupBy("zip").count().where(f"count > {least}").select("zip")
     areas = listed.intersect(preferred).select(F.substring("zip", 1, 2).alias("area"))

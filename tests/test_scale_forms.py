@@ -1,5 +1,6 @@
 """Forms chosen for large or skewed data, against brute force on small fixtures, and plan checks."""
 
+import json
 import random
 
 import pytest
@@ -216,6 +217,21 @@ def test_run_times_are_summarised(spark):
     assert row.geomean_seconds == pytest.approx((each[0] * each[1]) ** 0.5)
 
 
+def test_a_run_takes_its_parameters_from_a_file(spark, tmp_path):
+    from millrace.plans.runner import read_parameters, run_pack
+
+    t = derived_tables(spark, FOLDER)
+    zips = [r.ca_zip[:5] for r in t.customer_address.where("ca_zip is not null").limit(300).collect()]
+    (tmp_path / "run.json").write_text(json.dumps({"q08": {"zips": zips, "least": 0}, "q03": {"limit": 5}}))
+    assert run_pack(spark, t, ["q08", "q03"], str(tmp_path / "run.json")).count() == 2
+    table = spark.createDataFrame([(z,) for z in zips], "z string")
+    found = read_parameters(spark, str(tmp_path / "run.json"))
+    assert QUERIES["q08"](t, **found["q08"]).collect() == QUERIES["q08"](t, zips=table, least=0).collect() and QUERIES["q08"](t).columns == ["s_store_name", "net_profit"]
+    (tmp_path / "bad.json").write_text('{"q999": {}}')
+    with pytest.raises(ValueError):
+        read_parameters(spark, str(tmp_path / "bad.json"))
+
+
 def test_facts_are_pruned_by_the_periods_of_a_calendar(spark):
     from millrace.plans.tables import derived_tables
     from millrace.plans.tpcds import common as c
