@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from conftest_rows import hard_rows, table_of
 from millrace.llm.boosted_trees import boost, isotonic
-from millrace.llm.masked_likelihood import CLASSES, HEAD, TOKENS, Classes, Weights, log_probabilities, op7_masked_likelihood, pseudo_likelihood, scored, step, tail_token, surroundings, targets, train as train_lm
+from millrace.llm.masked_likelihood import CLASSES, GROUPS, HEAD, INPUTS, OWN_INPUTS, PER, TOKENS, Classes, Weights, coded as lm_coded, laid_out, log_probabilities, op7_masked_likelihood, parts_for, pseudo_likelihood, scored, step, tail_token, surroundings, train as train_lm
 from millrace.llm.quality_divergence import accepted, judge, op10_quality_divergence, repeated_words, text_stats
 from millrace.llm.sentencepiece_chunks import ChunkTable, coded, decode, default_model, encode, op4_sentencepiece_chunks, processor, separable
 from millrace.llm.toxicity_trees import held_out, op6_toxicity_trees, toxicity, train
@@ -173,7 +173,8 @@ def test_gradient_of_the_window_network():
     assert abs(classes.mass.sum() - 1) < 1e-9 and classes.of.max() == CLASSES - 1
     assert all(abs(np.exp(classes.share[classes.of == c]).sum() - 1) < 1e-6 for c in (0, 70, CLASSES - 1))
     ids = random.integers(0, TOKENS, 40)
-    around, goal = surroundings(ids, np.arange(40)), classes.of[ids]
+    row, where, _ = laid_out(ids, np.array([25, 0, 15]))
+    around, goal = surroundings(row, where), classes.of[ids]
     w = Weights.start(classes.mass)
     loss = lambda v: -log_probabilities(v, around, goal).mean()
     rate, stepped = 1e-3, Weights.of(w.flat())
@@ -187,10 +188,52 @@ def test_gradient_of_the_window_network():
         assert abs((loss(Weights.of(bumped)) - before) / 1e-2 + moved[k] / rate) < 0.05 * abs(moved[k] / rate) + 1e-3
 
 
-def test_training_takes_every_position_once():
-    for n in (0, 1, 2, 7, 8, 65):
-        for rounds in (1, 2, 3):
-            assert sorted(np.concatenate([targets(n, k, rounds) for k in range(rounds)]).tolist()) == list(range(n))
+def around_by_hand(ids, i):
+    """The inputs two places to both sides of place ``i`` of one text."""
+    inputs = [t if t < OWN_INPUTS else OWN_INPUTS + t % (INPUTS - OWN_INPUTS) for t in ids]
+    return [inputs[k] if 0 <= k < len(ids) else INPUTS for k in (i - 2, i - 1, i + 1, i + 2)]
+
+
+def test_every_position_is_laid_out_once_among_its_own_text():
+    random = np.random.default_rng(3)
+    texts = [random.integers(0, TOKENS, n).tolist() for n in (0, 1, 2, 7, 0, 65, 3)]
+    row, where, inside = laid_out(np.array(sum(texts, []), np.int32), np.array([len(t) for t in texts]))
+    assert surroundings(row, where).tolist() == [around_by_hand(t, i) for t in texts for i in range(len(t))]
+    assert inside.tolist() == [i for t in texts for i in range(len(t))]
+    assert [parts_for(n) for n in (0, 1, 1 << 21, (1 << 21) + 1, 1 << 60)] == [1, 1, 1, 2, 1 << 16]
+
+
+def test_scores_equal_those_by_hand(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60").select("doc_id", "text").union(table_of(spark, hard_rows()).select("doc_id", "text"))
+    model = train_lm(docs)
+    classes, w = model[0], Weights.of(model[1])
+    n = {bytes(r.word): r.n for r in classes.words.table.collect()}
+    together = Counter()
+    for word in n:
+        if word not in classes.words.head:
+            together[tail_token(word)] += n[word] + 1
+
+    def by_hand(text):
+        words, value = (text or "").encode().split(), 0.0
+        ids = [classes.words.head[x] for x in words]
+        for i, (word, token) in enumerate(zip(words, ids, strict=True)):
+            h = np.tanh(w.bias + sum(w.embed[a] * w.place[k] for k, a in enumerate(around_by_hand(ids, i))))
+            group, c = divmod(int(classes.of[token]), PER)
+            for score, at in ((h @ w.group + w.group_bias, group), (h @ w.out[group] + w.out_bias[group], c)):
+                value += float(score[at] - np.log(np.exp(score.astype(float)).sum()))
+            value += classes.share[token] + (math.log((n[word] + 1) / (together[token] + 1)) if token >= HEAD else 0)
+        return len(words), value
+
+    got = sorted((r.n_tokens, r.log_likelihood) for r in scored(docs, model).collect())
+    want = sorted(by_hand(r.text) for r in docs.collect())
+    assert GROUPS * PER == CLASSES and [a[0] for a in got] == [b[0] for b in want]
+    assert all(abs(a[1] - b[1]) < 1e-3 + 1e-5 * abs(b[1]) for a, b in zip(got, want, strict=True))
+
+
+def test_scores_do_not_depend_on_the_split(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one, other = train_lm(docs.coalesce(1))[1], train_lm(docs.repartition(7))[1]
+    assert np.allclose(one, other, rtol=1e-4, atol=1e-6)
 
 
 def test_training_learns_between_the_strides(spark):
@@ -198,7 +241,8 @@ def test_training_learns_between_the_strides(spark):
     pairs = lambda: " ".join(f"left{i} right{i}" for i in random.integers(0, 6, 3))
     docs = table_of(spark, [(i, f"edge {pairs()} end") for i in range(3000)])  # eight words each, of which the first is the same
     classes, flat = train_lm(docs)
-    mean = lambda weights: docs.select(pseudo_likelihood(F.col("text"), (classes, weights)).alias("s")).agg(F.avg("s.log_likelihood")).first()[0]
+    rows = lm_coded(docs, classes.words)
+    mean = lambda weights: rows.select(pseudo_likelihood(F.col("ids"), (classes, weights)).alias("s")).agg(F.avg("s")).first()[0]
     assert mean(flat) > mean(Weights.start(classes.mass).flat()) + 1
 
 
@@ -219,7 +263,7 @@ def test_op7_scores(spark, folder, texts):
     assert len(got) == len(texts) and all(r.n_tokens == len(texts[r.doc_id].encode().split()) and r.log_likelihood <= 0 for r in got)
     docs = table_of(spark, hard_rows())
     model = train_lm(docs)
-    rows = docs.select("text", pseudo_likelihood(F.col("text"), model).alias("s")).select("text", "s.*").collect()
-    assert len(rows) == len(hard_rows()) and all(r.log_likelihood == 0 for r in rows if not (r.text or "").split())
+    rows = scored(docs, model).collect()
+    assert len(rows) == len(hard_rows()) and all((r.log_likelihood == 0) == (r.n_tokens == 0) for r in rows)
     none = table_of(spark, [])
-    assert none.select(pseudo_likelihood(F.col("text"), train_lm(none))).count() == 0
+    assert scored(none, train_lm(none)).count() == 0
