@@ -14,7 +14,7 @@ rest of ``INPUTS`` by hash.  A document's score is the
 sum of the log-probabilities of its tokens.
 
 Texts are cut and looked up once; training and scoring read the tokens, written
-as whole numbers.  Training is numpy in the tasks: in each round every task runs gradient steps
+in two bytes each.  Training is numpy in the tasks: in each round every task runs gradient steps
 over its part of the corpus, starting from the same weights, and the weights are
 averaged over tasks by the number of positions, as sums that Spark combines.
 Every position of every document is trained once: round ``k`` of ``ROUNDS`` takes
@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import byte_rows, documents, lists, raw, staged
+from millrace.llm.common import byte_rows, documents, raw, staged
 
 GROUPS, PER = 8, 16
 TOKENS, INPUTS, CLASSES, OWN = 1 << 16, 1 << 12, GROUPS * PER, 64
@@ -288,11 +288,11 @@ def vocabulary(docs: DataFrame, text_col: str) -> Classes:
     return classes
 
 
-CODES = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("text_hash", T.LongType())])
+CODES = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("rare", T.ArrayType(T.BinaryType())), T.StructField("text_hash", T.LongType())])
 
 
 def codes(text: Column, words: Words) -> Column:
-    """The tokens of a text, its words of the tail, and a hash of the text."""
+    """The tokens of a text, two bytes each, its words of the tail, and a hash of the text."""
     head = words.head
 
     @F.arrow_udf(CODES)
@@ -302,11 +302,10 @@ def codes(text: Column, words: Words) -> Column:
             for t in byte_rows(batch):
                 found = t.split()  # bytes: splits on 0x20 and 0x09-0x0D
                 each = tokens(found, head)
-                ids.append(each)
+                ids.append(each.astype("<u2").tobytes())
                 rare.append([found[i] for i in np.flatnonzero(each >= HEAD).tolist()])
                 hashes.append(xxhash.xxh3_64_intdigest(t))
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            yield pa.StructArray.from_arrays([lists(flat, [len(x) for x in ids], pa.int32()), pa.array(rare, pa.list_(pa.binary())),
+            yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary())),
                                               pa.array(np.array(hashes, np.uint64).view(np.int64))], CODES.names)
 
     return code(raw(text))
@@ -315,12 +314,13 @@ def codes(text: Column, words: Words) -> Column:
 def coded(docs: DataFrame, words: Words, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(row, doc_id, ids, rare, n_tokens, place), written once; ``place`` orders documents for training."""
     each = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), codes(F.col(text_col), words).alias("c")).select("row", "doc_id", "c.*")
-    return staged(each.select("row", "doc_id", "ids", "rare", F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("doc_id", "text_hash").alias("place")), "codes")
+    return staged(each.select("row", "doc_id", "ids", "rare", F.floor(F.octet_length("ids") / 2).alias("n_tokens"), F.xxhash64("doc_id", "text_hash").alias("place")), "codes")
 
 
-def of_lists(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The values of an Arrow list column without nulls, one behind the other, and the length of each row's list."""
-    return a.flatten().to_numpy(zero_copy_only=False), np.diff(a.offsets.to_numpy())
+def token_rows(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of a batch of texts, one behind the other, and the number of tokens of each."""
+    each = byte_rows(a)
+    return np.frombuffer(b"".join(each), "<u2").astype(np.int32), np.array([len(x) // 2 for x in each], np.int64)
 
 
 def parts_for(n_tokens: int) -> int:
@@ -337,7 +337,7 @@ def trained_round(rows: DataFrame, parts: int, classes: Classes, flat: np.ndarra
         w, n = Weights.of(flat), 0
         around, goal = np.empty((0, len(PLACES)), np.int64), np.empty(0, np.int64)
         for batch in batches:
-            ids, lengths = of_lists(batch.column(0))
+            ids, lengths = token_rows(batch.column(0))
             row, where, inside = laid_out(ids, lengths)
             mine = np.flatnonzero(inside % rounds == k)
             for i in range(0, len(mine), 16 * BATCH):
@@ -391,7 +391,7 @@ def pseudo_likelihood(ids: Column, model: tuple[Classes, np.ndarray]) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         w = Weights.of(flat)
         for batch in batches:
-            ids, lengths = of_lists(batch)
+            ids, lengths = token_rows(batch)
             row, where, _ = laid_out(ids, lengths)
             value = np.empty(len(ids))
             for i in range(0, len(ids), SCORED):
