@@ -46,6 +46,10 @@ FIRST_NAMES = ["Ann", "Ben", "Cleo", "Dan", "Eve", "Finn", "Gail", "Hugo", "Iris
 LAST_NAMES = ["Abbot", "Baker", "Cole", "Dorn", "Ellis", "Frost", "Grant", "Hayes", "Irwin", "Jones", "Kane", "Lowe", "Moss"]
 DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
+# Date key of a sale from the day of its order; sales are partitioned by periods of it, which a fact shows in a column of this suffix.
+SOLD = "{} + 540 + 2440588"
+PERIOD_DAYS, PERIOD_SUFFIX = 91, "_period"
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -90,19 +94,31 @@ def star_sql(dialect_name: str) -> dict[str, str]:
     d = Dialect(dialect_name)
     t: dict[str, str] = {}
 
+    def period(name, alias=None):
+        """One more column, the period of the sale: only Spark's tables have it."""
+        return f", {name} as {alias or name}" if d.name == "spark" else ""
+
+    # The one join under all facts; Spark writes it once, as it came, and the facts are views of it.
+    lines = "lineitem join orders on l_orderkey = o_orderkey"
+    if d.name == "spark":
+        t["order_line"] = f"""
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, l_extendedprice, l_discount, l_tax, o_custkey, o_orderdate,
+       cast({d.div(SOLD.format(d.days('o_orderdate')), PERIOD_DAYS)} as int) as sold_period
+from {lines}"""
+        lines = "order_line"
     # One row per order line; everything the facts need, in cents.
     t["sale_line"] = f"""
 select l_orderkey + 1 as ord, l_linenumber as ln, l_partkey + 1 as item_sk, l_suppkey as supp,
        o_custkey as cust, l_orderkey % 10 as m, l_returnflag as flag,
-       {d.days('o_orderdate')} + 540 + 2440588 as sold_sk,
+       {SOLD.format(d.days('o_orderdate'))} as sold_sk,
        l_orderkey * 31 + l_partkey * 17 + l_linenumber * 7 as h,
        (l_orderkey * 7919 + 13) % 86400 as time_sk,
        2 * cast(l_quantity as bigint) as qty,
        cast(floor(l_extendedprice / l_quantity * 10) as bigint) as list_c,
        {d.div("cast(floor(l_extendedprice / l_quantity * 10) as bigint) * (100 - cast(round(l_discount * 100) as bigint))", 100)} as price_c,
        {d.div("cast(floor(l_extendedprice / l_quantity * 10) as bigint) * (40 + (l_orderkey + l_partkey) % 50)", 100)} as cost_c,
-       cast(round(l_tax * 100) as bigint) as tax_pct
-from lineitem join orders on l_orderkey = o_orderkey"""
+       cast(round(l_tax * 100) as bigint) as tax_pct{period('sold_period')}
+from {lines}"""
     t["sale_amounts"] = f"""
 select *, qty * price_c as ext_c, qty * list_c as extl_c, qty * cost_c as extw_c,
        case when h % 5 = 0 then {d.div('qty * price_c', 10)} else 0 end as coupon_c,
@@ -139,7 +155,7 @@ select sold_sk as ss_sold_date_sk, time_sk as ss_sold_time_sk, item_sk as ss_ite
        {demo} as ss_cdemo_sk, case when h % 50 = 0 then null else {home_demo} end as ss_hdemo_sk,
        {address} as ss_addr_sk, {store} as ss_store_sk,
        case when h % 30 = 0 then null else supp + 1 end as ss_promo_sk, ord as ss_ticket_number, qty as ss_quantity,
-       {amounts('ss', False)}
+       {amounts('ss', False)}{period('sold_period', 'ss_sold_date_sk' + PERIOD_SUFFIX)}
 from sale_amounts where m <= 4"""
     t["store_returns"] = f"""
 select sold_sk + 1 + h % 130 as sr_returned_date_sk, item_sk as sr_item_sk, {customer} as sr_customer_sk,
@@ -179,11 +195,19 @@ select {web_date} + 1 + h % 130 as wr_returned_date_sk, item_sk as wr_item_sk, {
        rqty as wr_return_quantity, {returns('wr', 'return_amt')}
 from sale_amounts where m >= 4 and flag = 'R'"""
     # Eight weekly stock counts after every order line.
+    stock = "case when (item_sk + n) % 3 = 0 then (item_sk * 13 + n * 17) % 900 + 50 else (item_sk + n * n) % 9 end"
     t["inventory"] = f"""
 select distinct {d.div('sold_sk', 7)} * 7 + 7 * n as inv_date_sk, item_sk as inv_item_sk, {depot} as inv_warehouse_sk,
-       case when (item_sk + n) % 3 = 0 then (item_sk * 13 + n * 17) % 900 + 50 else (item_sk + n * n) % 9 end
+       {stock}
            as inv_quantity_on_hand
 from sale_line cross join {d.ints(0, 7)} weeks"""
+    if d.name == "spark":
+        # The same rows: the weeks of an item and warehouse meet, and the eightfold of them is made and told apart where they are.
+        # A count is below 1000, so it and its date fit one number.
+        t["inventory"] = f"""
+select {d.div('dated', 1000)} as inv_date_sk, item_sk as inv_item_sk, inv_warehouse_sk, dated % 1000 as inv_quantity_on_hand
+from (select item_sk, inv_warehouse_sk, explode(array_distinct(flatten(transform(weeks, w -> transform(sequence(0L, 7L), n -> (w + n) * 7000 + {stock}))))) as dated
+      from (select item_sk, {depot} as inv_warehouse_sk, collect_set({d.div('sold_sk', 7)}) as weeks from sale_line group by 1, 2))"""
 
     k = "c_custkey"
     place = [_pick([p[i] for p in PLACES], d.div(k, 3)) for i in range(4)]

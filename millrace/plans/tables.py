@@ -8,17 +8,14 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.plans.star import RENAMED_SOURCES, star_sql
+from millrace.plans.star import PERIOD_DAYS, PERIOD_SUFFIX, RENAMED_SOURCES, needed_tables, star_sql  # noqa: F401
 from millrace.session import work_dir
 from millrace.sources.files import state_of
 
-_SHARED = ("sale_line", "sale_amounts")
-
-# Facts are partitioned by the period of their date key, in a column of this suffix.
-PERIOD_DAYS, PERIOD_SUFFIX = 91, "_period"
+# What facts are views of; only the first is written.
+LINES, _SHARED = "order_line", ("sale_line", "sale_amounts")
 
 
 class ParquetTables:
@@ -46,13 +43,13 @@ class CatalogTables:
 
 
 class DerivedTables:
-    """The star of ``millrace.plans.star``, written as Parquet on first use of a table.
+    """The star of ``millrace.plans.star``: dimensions and order lines written as Parquet on first use, facts as views of the lines.
 
-    Written tables give the queries what a loaded warehouse has: statistics,
-    column pruning and filters in the scan.  Facts are partitioned by the period
-    of their date key, so a join with a filtered calendar prunes partitions at run
-    time, and sorted by it within their files.  A period of any size is spread
-    over files of a fair size.
+    A query that uses several facts, or one of them often, moves each order line
+    once and reads the columns that it needs; the eightfold of the lines that is
+    the stock is never moved.  The lines are partitioned by the period of their
+    sale, which store sales show, so a join with a filtered calendar prunes
+    partitions there.  A period of any size is spread over files of a fair size.
     """
 
     def __init__(self, spark: SparkSession, source_dir: str):
@@ -60,52 +57,46 @@ class DerivedTables:
         tag = hashlib.sha1(f"{self._source} {source_state(spark, self._source)}".encode()).hexdigest()[:10]
         self._root = f"{work_dir(spark)}/star-{tag}"
         self._texts = star_sql("spark")
-        self._done: set[str] = set()
+        self._views = {n for n, text in self._texts.items() if set(_SHARED) & set(needed_tables(self._texts, text))} | set(_SHARED)
         self._locks: dict[str, threading.Lock] = {}
-        self._schemas: dict[str, StructType] = {}  # a known schema saves a footer job per use
+        self._schemas: dict[str, StructType] = {}  # of written tables; a known schema saves a footer job per use
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        path = f"{self._root}/{name}"
-        self._ensure(name)
-        if name not in self._schemas:
-            self._schemas[name] = self._spark.read.parquet(path).schema
-        return self._spark.read.schema(self._schemas[name]).parquet(path)
+        if name not in self._views:
+            return self._written(name)
+        ctes = [f"{n} as ({self._texts[n]})" for n in needed_tables(self._texts, self._texts[name]) if n in _SHARED]
+        # the lines are a CTE, not a view of the session: several stars may be in use
+        return self._sql([f"{LINES} as (select * from {{lines}})", *ctes], self._texts[name], lines=self._written(LINES))
 
     def stage(self, workers: int = 4) -> None:
         """Write every table now, several at a time."""
-        names = [n for n in self._texts if n not in _SHARED]
+        names = [n for n in self._texts if n not in self._views]
         with ThreadPoolExecutor(workers) as pool:
-            list(pool.map(lambda n: getattr(self, n), names))
+            list(pool.map(self._written, names))
 
-    def _ensure(self, name: str) -> None:
+    def _sql(self, ctes: list[str], text: str, **frames: DataFrame) -> DataFrame:
+        return self._spark.sql((f"with {', '.join(ctes)} " if ctes else "") + text, **frames)
+
+    def _written(self, name: str) -> DataFrame:
+        path = f"{self._root}/{name}"
         with self._locks.setdefault(name, threading.Lock()):
-            if name in self._done:
-                return
-            text = self._texts[name]
-            # facts are cut from one written table of priced order lines
-            for shared in _SHARED:
-                if shared != name and re.search(rf"\b{shared}\b", text):
-                    self._ensure(shared)
-            self._write(name, f"{self._root}/{name}")
-            self._done.add(name)
+            if name not in self._schemas:
+                self._write(name, path)
+                self._schemas[name] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(self._schemas[name]).parquet(path)
 
     def _write(self, name: str, path: str) -> None:
         text = self._texts[name]
         words = set(re.findall(r"\w+", text))
         sources = {src: f"{self._source}/{src}.parquet" for src in ("lineitem", "orders")}
         sources |= {alias: f"{self._source}/{src}.parquet" for alias, src in RENAMED_SOURCES.items()}
-        sources |= {n: f"{self._root}/{n}" for n in _SHARED if n in self._done}
-        ctes = [f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words]
-        df = self._spark.sql((f"with {', '.join(ctes)} " if ctes else "") + text)
-        dates = [c for c in df.columns if c.endswith(("_sold_date_sk", "_returned_date_sk", "inv_date_sk"))]
-        if not dates:
+        df = self._sql([f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words], text)
+        if name == LINES:
+            df.hint("rebalance", "sold_period").write.mode("overwrite").partitionBy("sold_period").parquet(path)
+        else:
             df.write.mode("overwrite").parquet(path)
-            return
-        part = dates[0] + PERIOD_SUFFIX
-        df = df.withColumn(part, F.expr(f"cast({dates[0]} div {PERIOD_DAYS} as int)"))
-        df.hint("rebalance", part).sortWithinPartitions(part, dates[0]).write.mode("overwrite").partitionBy(part).parquet(path)
 
 
 _derived: dict[tuple[str, str, str], DerivedTables] = {}
