@@ -287,18 +287,19 @@ def q71(t, manager=1, month=11, year=2001, meals=("breakfast", "dinner")):
 def q72(t, buy_potential=">10000", year=2002, marital="M", limit=100):
     """Catalog orders that exceeded the stock of their week, with and without promotion.
 
-    Stock is brought to (item, week) before the join, so both sides meet on two keys.
+    Stock is brought to (item, week) before the join, so both sides meet on two keys; only weeks
+    in which the year has a day can meet an order, and names are looked up behind the join.
     """
-    weeks = t.date_dim.select("d_date_sk", "d_week_seq")
-    stock = star_join(t.inventory, (weeks.withColumnRenamed("d_week_seq", "inv_week"), "inv_date_sk", "d_date_sk"),
-                      (t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), "inv_warehouse_sk", "w_warehouse_sk")).drop("d_date_sk")
+    weeks = semi_join(t.date_dim.select("d_date_sk", F.col("d_week_seq").alias("inv_week")), t.date_dim.where(f"d_year = {year}").select("d_week_seq"), ("inv_week", "d_week_seq"))
+    stock = star_join(t.inventory, (weeks, "inv_date_sk", "d_date_sk")).drop("d_date_sk")
     orders = star_join(c.sold(t, "cs", f"d_year = {year}", "d_week_seq", "d_date"),
                        (t.customer_demographics.where(f"cd_marital_status = '{marital}'").select("cd_demo_sk"), "cs_bill_cdemo_sk", "cd_demo_sk"),
                        (t.household_demographics.where(f"hd_buy_potential = '{buy_potential}'").select("hd_demo_sk"), "cs_bill_hdemo_sk", "hd_demo_sk"),
                        (t.date_dim.select(F.col("d_date_sk").alias("ship_sk"), F.col("d_date").alias("ship_date")), "cs_ship_date_sk", "ship_sk")) \
         .where("ship_date > date_add(d_date, 5)")
     short = orders.join(stock, F.expr("cs_item_sk = inv_item_sk and d_week_seq = inv_week and inv_quantity_on_hand < cs_quantity"))
-    df = star_join(short, (t.item.select("i_item_sk", "i_item_desc"), "cs_item_sk", "i_item_sk"), (t.promotion.select("p_promo_sk"), "cs_promo_sk", "p_promo_sk", "left"))
+    df = star_join(short, (t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), "inv_warehouse_sk", "w_warehouse_sk"),
+                   (t.item.select("i_item_sk", "i_item_desc"), "cs_item_sk", "i_item_sk"), (t.promotion.select("p_promo_sk"), "cs_promo_sk", "p_promo_sk", "left"))
     df = df.join(t.catalog_returns.select("cr_item_sk", "cr_order_number"), on(("cs_item_sk", "cr_item_sk"), ("cs_order_number", "cr_order_number")), "left")
     out = df.groupBy("i_item_desc", "w_warehouse_name", "d_week_seq").agg(F.sum(F.when(F.col("p_promo_sk").isNull(), 1).otherwise(0)).alias("no_promo"),
                                                                          F.sum(F.when(F.col("p_promo_sk").isNotNull(), 1).otherwise(0)).alias("promo"), F.count(F.lit(1)).alias("total_cnt"))

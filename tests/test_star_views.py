@@ -46,3 +46,9 @@ def test_views_hold_the_rows_of_their_text(spark, name):
     columns = [c[0] for c in want.description]
     rows = sorted(map(repr, want.fetchall()))
     assert sorted(repr(tuple(r)) for r in getattr(derived_tables(spark, FOLDER), name).select(*columns).collect()) == rows and rows
+
+
+def test_orders_meet_the_stock_of_weeks_of_their_year(spark):
+    from millrace.plans.tpcds import QUERIES
+    plan = QUERIES["q72"](derived_tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (d_week_seq" in plan
