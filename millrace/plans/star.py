@@ -99,10 +99,11 @@ def star_sql(dialect_name: str) -> dict[str, str]:
         return f", {name} as {alias or name}" if d.name == "spark" else ""
 
     # The one join under all facts; Spark writes it once, as it came, and the facts are views of it.
+    # Orders grow like their lines, so they meet by a shuffle at any size: what is moved stays in proportion to the input.
     lines = "lineitem join orders on l_orderkey = o_orderkey"
     if d.name == "spark":
         t["order_line"] = f"""
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, l_extendedprice, l_discount, l_tax, o_custkey, o_orderdate,
+select /*+ merge(orders) */ l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_quantity, l_extendedprice, l_discount, l_tax, o_custkey, o_orderdate,
        cast({d.div(SOLD.format(d.days('o_orderdate')), PERIOD_DAYS)} as int) as sold_period
 from {lines}"""
         lines = "order_line"

@@ -49,7 +49,8 @@ class DerivedTables:
     once and reads the columns that it needs; the eightfold of the lines that is
     the stock is never moved.  The lines are partitioned by the period of their
     sale, which store sales show, so a join with a filtered calendar prunes
-    partitions there.  A period of any size is spread over files of a fair size.
+    partitions there.  The tasks of their join write them without a second move,
+    each a file per period.
     """
 
     def __init__(self, spark: SparkSession, source_dir: str):
@@ -87,16 +88,16 @@ class DerivedTables:
                 self._schemas[name] = self._spark.read.parquet(path).schema
         return self._spark.read.schema(self._schemas[name]).parquet(path)
 
-    def _write(self, name: str, path: str) -> None:
+    def _query(self, name: str) -> DataFrame:
         text = self._texts[name]
         words = set(re.findall(r"\w+", text))
         sources = {src: f"{self._source}/{src}.parquet" for src in ("lineitem", "orders")}
         sources |= {alias: f"{self._source}/{src}.parquet" for alias, src in RENAMED_SOURCES.items()}
-        df = self._sql([f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words], text)
-        if name == LINES:
-            df.hint("rebalance", "sold_period").write.mode("overwrite").partitionBy("sold_period").parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+        return self._sql([f"{n} as (select * from parquet.`{where}`)" for n, where in sources.items() if n in words], text)
+
+    def _write(self, name: str, path: str) -> None:
+        out = self._query(name).write.mode("overwrite")
+        (out.partitionBy("sold_period") if name == LINES else out).parquet(path)
 
 
 _derived: dict[tuple[str, str, str], DerivedTables] = {}

@@ -52,3 +52,9 @@ def test_orders_meet_the_stock_of_weeks_of_their_year(spark):
     from millrace.plans.tpcds import QUERIES
     plan = QUERIES["q72"](derived_tables(spark, FOLDER))._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi, (d_week_seq" in plan
+
+
+def test_a_line_is_moved_once_at_any_size(spark):
+    text = plan(derived_tables(spark, FOLDER)._query("order_line"))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1 and text.count("Exchange hashpartitioning(o_orderkey") == 1 and text.count("Exchange") == 2
