@@ -205,10 +205,17 @@ from sale_line cross join {d.ints(0, 7)} weeks"""
     if d.name == "spark":
         # The same rows: the weeks of an item and warehouse meet, and the eightfold of them is made and told apart where they are.
         # A count is below 1000, so it and its date fit one number.
-        t["inventory"] = f"""
+        stock_of = lambda lines: f"""
 select {d.div('dated', 1000)} as inv_date_sk, item_sk as inv_item_sk, inv_warehouse_sk, dated % 1000 as inv_quantity_on_hand
 from (select item_sk, inv_warehouse_sk, explode(array_distinct(flatten(transform(weeks, w -> transform(sequence(0L, 7L), n -> (w + n) * 7000 + {stock}))))) as dated
-      from (select item_sk, {depot} as inv_warehouse_sk, collect_set({d.div('sold_sk', 7)}) as weeks from sale_line group by 1, 2))"""
+      from (select item_sk, {depot} as inv_warehouse_sk, collect_set({d.div('sold_sk', 7)}) as weeks from {lines} group by 1, 2))"""
+        t["inventory"] = stock_of("sale_line")
+        # Stock of some days comes from the lines of the same week and the seven before; no week lies in two periods.
+        t["stock_line"] = f"""
+select * from sale_line left semi join (
+    select explode(sequence({d.div('d_date_sk', 7)} - 7, {d.div('d_date_sk', 7)})) as week from calendar where d_date_sk % 7 = 0)
+on {d.div('sold_sk', 7)} = week and sold_period = {d.div('week * 7', PERIOD_DAYS)}"""
+        t["inventory_near"] = stock_of("stock_line")
 
     k = "c_custkey"
     place = [_pick([p[i] for p in PLACES], d.div(k, 3)) for i in range(4)]

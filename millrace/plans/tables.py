@@ -15,10 +15,18 @@ from millrace.session import work_dir
 from millrace.sources.files import state_of
 
 # What facts are views of; only the first is written.
-LINES, _SHARED = "order_line", ("sale_line", "sale_amounts")
+LINES, _SHARED = "order_line", ("sale_line", "sale_amounts", "stock_line")
 
 
-class ParquetTables:
+class Tables:
+    """What all catalogues have in common."""
+
+    def stock_near(self, calendar: DataFrame) -> DataFrame:
+        """``inventory`` with all its rows on the days (``d_date_sk``) of ``calendar``; others may be left out."""
+        return self.inventory
+
+
+class ParquetTables(Tables):
     """Tables as ``<root>/<name>`` Parquet folders, e.g. a generated TPC-DS data set."""
 
     def __init__(self, spark: SparkSession, root: str, suffix: str = ""):
@@ -30,7 +38,7 @@ class ParquetTables:
         return self._spark.read.parquet(f"{self._root}/{name}{self._suffix}")
 
 
-class CatalogTables:
+class CatalogTables(Tables):
     """Tables of a metastore database."""
 
     def __init__(self, spark: SparkSession, database: str):
@@ -42,7 +50,7 @@ class CatalogTables:
         return self._spark.table(f"{self._database}.{name}")
 
 
-class DerivedTables:
+class DerivedTables(Tables):
     """The star of ``millrace.plans.star``: dimensions and order lines written as Parquet on first use, facts as views of the lines.
 
     A query that uses several facts, or one of them often, moves each order line
@@ -65,11 +73,17 @@ class DerivedTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name not in self._views:
-            return self._written(name)
+        return self._view(name) if name in self._views else self._written(name)
+
+    def stock_near(self, calendar: DataFrame) -> DataFrame:
+        """Only lines that have stock on the days of ``calendar`` are read and moved."""
+        return self._view("inventory_near", calendar=calendar.select("d_date_sk"))
+
+    def _view(self, name: str, **frames: DataFrame) -> DataFrame:
+        # lines and frames are CTEs, not views of the session: several stars may be in use
+        frames[LINES] = self._written(LINES)
         ctes = [f"{n} as ({self._texts[n]})" for n in needed_tables(self._texts, self._texts[name]) if n in _SHARED]
-        # the lines are a CTE, not a view of the session: several stars may be in use
-        return self._sql([f"{LINES} as (select * from {{lines}})", *ctes], self._texts[name], lines=self._written(LINES))
+        return self._sql([*[f"{n} as (select * from {{{n}}})" for n in frames], *ctes], self._texts[name], **frames)
 
     def stage(self, workers: int = 4) -> None:
         """Write every table now, several at a time."""

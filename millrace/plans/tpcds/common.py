@@ -52,6 +52,11 @@ def dated(fact: DataFrame, date_column: str, calendar: DataFrame) -> DataFrame:
     return fact.join(days_of, (F.col(date_column) == F.col("d_date_sk")) & (F.col(part) == F.col("d_period"))).drop(part, "d_period")
 
 
+def stocked(t, calendar: DataFrame) -> DataFrame:
+    """Stock joined with calendar rows."""
+    return dated(t.stock_near(calendar), "inv_date_sk", calendar)
+
+
 def sold(t, prefix: str, predicate: str, *columns) -> DataFrame:
     """Sales of one channel restricted to calendar rows; ``columns`` come from the calendar."""
     table = {p: n for n, p in CHANNELS.values()}[prefix]

@@ -322,7 +322,7 @@ def q20(t, categories=("Men", "Electronics", "Music"), start="2001-03-09", limit
 
 def q21(t, day="2000-05-19", lo=0.99, hi=1.49, limit=100):
     """Stock of cheap items before and after a day where the ratio stays within 2/3 and 3/2."""
-    df = star_join(c.dated(t.inventory, "inv_date_sk", c.days(t, c.between_days(day, 30, 30), "d_date")),
+    df = star_join(c.stocked(t, c.days(t, c.between_days(day, 30, 30), "d_date")),
                    (t.item.where(f"i_current_price between {lo} and {hi}").select("i_item_sk", "i_item_id"), "inv_item_sk", "i_item_sk"),
                    (t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), "inv_warehouse_sk", "w_warehouse_sk"))
     early = F.col("d_date") < F.lit(day).cast("date")

@@ -173,7 +173,7 @@ def q38(t, first_month=1176):
 
 def q39(t, year=2001, month=1, least=None):
     """Items whose stock varies strongly in two consecutive months of a warehouse."""
-    df = star_join(c.dated(t.inventory, "inv_date_sk", c.days(t, f"d_year = {year} and d_moy in ({month}, {month + 1})", "d_moy")),
+    df = star_join(c.stocked(t, c.days(t, f"d_year = {year} and d_moy in ({month}, {month + 1})", "d_moy")),
                    (t.item.select("i_item_sk"), "inv_item_sk", "i_item_sk"), (t.warehouse.select("w_warehouse_sk", "w_warehouse_name"), "inv_warehouse_sk", "w_warehouse_sk"))
     stats = df.groupBy("w_warehouse_name", "w_warehouse_sk", "i_item_sk", "d_moy").agg(
         mean("inv_quantity_on_hand").alias("mean"), coefficient_of_variation("inv_quantity_on_hand").alias("cov")) \

@@ -291,7 +291,7 @@ def q72(t, buy_potential=">10000", year=2002, marital="M", limit=100):
     in which the year has a day can meet an order, and names are looked up behind the join.
     """
     weeks = semi_join(t.date_dim.select("d_date_sk", F.col("d_week_seq").alias("inv_week")), t.date_dim.where(f"d_year = {year}").select("d_week_seq"), ("inv_week", "d_week_seq"))
-    stock = star_join(t.inventory, (weeks, "inv_date_sk", "d_date_sk")).drop("d_date_sk")
+    stock = star_join(t.stock_near(weeks), (weeks, "inv_date_sk", "d_date_sk")).drop("d_date_sk")
     orders = star_join(c.sold(t, "cs", f"d_year = {year}", "d_week_seq", "d_date"),
                        (t.customer_demographics.where(f"cd_marital_status = '{marital}'").select("cd_demo_sk"), "cs_bill_cdemo_sk", "cd_demo_sk"),
                        (t.household_demographics.where(f"hd_buy_potential = '{buy_potential}'").select("hd_demo_sk"), "cs_bill_hdemo_sk", "hd_demo_sk"),

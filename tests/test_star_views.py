@@ -58,3 +58,21 @@ def test_a_line_is_moved_once_at_any_size(spark):
     text = plan(derived_tables(spark, FOLDER)._query("order_line"))
     assert "SortMergeJoin" in text and "Broadcast" not in text
     assert text.count("Exchange hashpartitioning(l_orderkey") == 1 and text.count("Exchange hashpartitioning(o_orderkey") == 1 and text.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("days", ["d_year = 2001 and d_moy in (1, 2)", "d_month_seq between 1190 and 1201", "d_date = date '2000-05-19'", "d_dow = 1 and d_year = 1999", "d_year = 1994"])
+def test_stock_of_some_days_is_whole(spark, days):
+    t = derived_tables(spark, FOLDER)
+    when = t.date_dim.where(days)
+    on_days = [df.join(when, df.inv_date_sk == when.d_date_sk, "left_semi") for df in (t.stock_near(when), t.inventory)]
+    near, whole = [sorted(map(tuple, df.collect())) for df in on_days]
+    assert near == whole
+
+
+@pytest.mark.parametrize("name", ["q21", "q39", "q39b", "q72"])
+def test_only_lines_that_have_stock_on_the_days_are_moved(spark, name):
+    from millrace.plans.tpcds import QUERIES
+    text = plan(QUERIES[name](derived_tables(spark, FOLDER)))
+    stock = text[text.index("collect_set("):]
+    moved = stock[stock.index("Exchange"):]
+    assert moved.index("LeftSemi") < moved.index("FileScan") and any("dynamicpruning" in line and "explode(sequence" in line for line in moved.splitlines())
