@@ -150,7 +150,8 @@ def _stocked_and_sold(t, sales, item_key, price, start, makers, limit):
 
     Both existence tests are semi joins, so no item is multiplied by its rows.
     """
-    stock = semi_join(t.inventory.where("inv_quantity_on_hand between 100 and 500"), c.days(t, c.between_days(start, 60)), ("inv_date_sk", "d_date_sk"))
+    when = c.days(t, c.between_days(start, 60))
+    stock = semi_join(t.stock_near(when).where("inv_quantity_on_hand between 100 and 500"), when, ("inv_date_sk", "d_date_sk"))
     items = t.item.where(f"i_current_price between {price} and {price + 30} and i_manufact_id in {c.sql_list(makers)}")
     out = semi_join(semi_join(items, stock, ("i_item_sk", "inv_item_sk"), many=True), sales, ("i_item_sk", item_key), many=True).select("i_item_id", "i_item_desc", "i_current_price").distinct()
     return top_n(out, limit, "i_item_id")
