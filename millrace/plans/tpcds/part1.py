@@ -335,7 +335,7 @@ def q21(t, day="2000-05-19", lo=0.99, hi=1.49, limit=100):
 def q22(t, first_month=1190, limit=100):
     """Average stock over the product hierarchy; the rollup runs on per-product sums."""
     keys = ["i_product_name", "i_brand", "i_class", "i_category"]
-    df = c.dated(t.inventory, "inv_date_sk", c.days(t, f"d_month_seq between {first_month} and {first_month + 11}"))
+    df = c.stocked(t, c.days(t, f"d_month_seq between {first_month} and {first_month + 11}"))
     per_item = df.groupBy("inv_item_sk").agg(F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("n"))
     out = star_join(per_item, (t.item.select("i_item_sk", *keys), "inv_item_sk", "i_item_sk")) \
         .rollup(*keys).agg(ratio(F.sum("s"), F.sum("n")).alias("qoh"))

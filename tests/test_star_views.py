@@ -69,7 +69,7 @@ def test_stock_of_some_days_is_whole(spark, days):
     assert near == whole
 
 
-@pytest.mark.parametrize("name", ["q21", "q37", "q39", "q39b", "q72", "q82"])
+@pytest.mark.parametrize("name", ["q21", "q22", "q37", "q39", "q39b", "q72", "q82"])
 def test_only_lines_that_have_stock_on_the_days_are_moved(spark, name):
     from millrace.plans.tpcds import QUERIES
     text = plan(QUERIES[name](derived_tables(spark, FOLDER)))
