@@ -68,10 +68,16 @@ def returned(t, prefix: str, predicate: str, *columns) -> DataFrame:
     return dated(getattr(t, table), f"{prefix}_returned_date_sk", days(t, predicate, *columns))
 
 
-def with_returns(t, sales: DataFrame, prefix: str, how: str = "left") -> DataFrame:
-    """Sales lines with the return of the same number and item."""
+def with_returns(t, sales: DataFrame, prefix: str, how: str = "left", items: DataFrame | None = None) -> DataFrame:
+    """Sales lines with the return of the same number and item.
+
+    Where all sales are of ``items`` (``i_item_sk``), returns of others meet none and are dropped before they are moved.
+    """
     table, rp, number, rnumber, _ = RETURNS[prefix]
-    return sales.join(getattr(t, table), on((number, rnumber), (f"{prefix}_item_sk", f"{rp}_item_sk")), how)
+    backs = getattr(t, table)
+    if items is not None:
+        backs = semi_join(backs, items.select("i_item_sk"), (f"{rp}_item_sk", "i_item_sk"))
+    return sales.join(backs, on((number, rnumber), (f"{prefix}_item_sk", f"{rp}_item_sk")), how)
 
 
 def sql_list(values) -> str:

@@ -193,12 +193,12 @@ def q39b(t, year=2001, month=1, least=1.5):
 
 def q40(t, day="2002-05-08", lo=0.99, hi=1.49, limit=100):
     """Catalog sales net of refunds around a day, per warehouse state and item."""
-    df = star_join(c.sold(t, "cs", c.between_days(day, 30, 30), "d_date"),
-                   (t.item.where(f"i_current_price between {lo} and {hi}").select("i_item_sk", "i_item_id"), "cs_item_sk", "i_item_sk"),
+    items = t.item.where(f"i_current_price between {lo} and {hi}").select("i_item_sk", "i_item_id")
+    df = star_join(c.sold(t, "cs", c.between_days(day, 30, 30), "d_date"), (items, "cs_item_sk", "i_item_sk"),
                    (t.warehouse.select("w_warehouse_sk", "w_state"), "cs_warehouse_sk", "w_warehouse_sk"))
     net = F.expr("cs_sales_price - coalesce(cr_refunded_cash, cast(0 as decimal(8,2)))")
     early = F.col("d_date") < F.lit(day).cast("date")
-    out = c.with_returns(t, df, "cs").groupBy("w_state", "i_item_id").agg(
+    out = c.with_returns(t, df, "cs", items=items).groupBy("w_state", "i_item_id").agg(
         F.coalesce(F.sum(F.when(early, net)), F.lit(0)).alias("sales_before"), F.coalesce(F.sum(F.when(~early, net)), F.lit(0)).alias("sales_after"))
     return top_n(out, limit, "w_state", "i_item_id")
 

@@ -328,11 +328,12 @@ def q75(t, category="Shoes", year=2000, limit=100):
     """Product kinds whose net quantity fell by more than a tenth from one year to the next."""
     keys = ["i_brand_id", "i_class_id", "i_category_id", "i_manufact_id"]
     zero = F.lit(0)
+    items = t.item.where(f"i_category = '{category}'").select("i_item_sk", *keys)
     rows = []
     for p in ("cs", "ss", "ws"):
         _, rp, _, _, ramt = c.RETURNS[p]
-        df = star_join(c.sold(t, p, f"d_year in ({year - 1}, {year})", "d_year"), (t.item.where(f"i_category = '{category}'").select("i_item_sk", *keys), f"{p}_item_sk", "i_item_sk"))
-        rows.append(c.with_returns(t, df, p).select("d_year", *keys, (F.col(f"{p}_quantity") - F.coalesce(f"{rp}_return_quantity", zero)).alias("cnt"),
+        df = star_join(c.sold(t, p, f"d_year in ({year - 1}, {year})", "d_year"), (items, f"{p}_item_sk", "i_item_sk"))
+        rows.append(c.with_returns(t, df, p, items=items).select("d_year", *keys, (F.col(f"{p}_quantity") - F.coalesce(f"{rp}_return_quantity", zero)).alias("cnt"),
                                                     (F.col(f"{p}_ext_sales_price") - F.coalesce(ramt, zero.cast("decimal(8,2)"))).alias("amt")))
     detail = union_distinct(*rows)
     wide = detail.groupBy(*keys).agg(*[F.sum(F.when(F.col("d_year") == y, F.col(v))).alias(f"{n}_{v}") for y, n in ((year - 1, "prev"), (year, "curr")) for v in ("cnt", "amt")])

@@ -76,3 +76,10 @@ def test_only_lines_that_have_stock_on_the_days_are_moved(spark, name):
     stock = text[text.index("collect_set("):]
     moved = stock[stock.index("Exchange"):]
     assert moved.index("LeftSemi") < moved.index("FileScan") and any("dynamicpruning" in line and "explode(sequence" in line for line in moved.splitlines())
+
+
+@pytest.mark.parametrize("name, joins", [("q75", 3), ("q40", 1)])
+def test_returns_of_other_items_are_not_moved(spark, name, joins):
+    from millrace.plans.tpcds import QUERIES
+    text = plan(QUERIES[name](derived_tables(spark, FOLDER)))
+    assert text.count("LeftSemi") == joins
