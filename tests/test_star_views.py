@@ -83,3 +83,11 @@ def test_returns_of_other_items_are_not_moved(spark, name, joins):
     from millrace.plans.tpcds import QUERIES
     text = plan(QUERIES[name](derived_tables(spark, FOLDER)))
     assert text.count("LeftSemi") == joins
+
+
+def test_only_returns_of_like_parties_meet_their_sales(spark):
+    from millrace.plans.catalog.pack import PARAMETERS
+    from millrace.plans.tpcds import QUERIES
+    t = derived_tables(spark, FOLDER)
+    joins = [line for line in plan(QUERIES["q85"](t, **PARAMETERS["q85"](t))).splitlines() if "Join [" in line]
+    assert "wr_order_number" in joins[2] and any("wr_refunded_addr_sk" in line for line in joins[3:])
