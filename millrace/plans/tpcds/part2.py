@@ -148,11 +148,13 @@ def q36(t, year=1998, states=("GA", "AL", "LA", "NM", "MN", "NM", "CO", "MI"), l
 def _stocked_and_sold(t, sales, item_key, price, start, makers, limit):
     """Items in a price band with stock of 100 to 500 in 60 days and any sale (q37, q82).
 
-    Both existence tests are semi joins, so no item is multiplied by its rows.
+    Both existence tests are semi joins, so no item is multiplied by its rows;
+    sales of other items are dropped before they are moved.
     """
     when = c.days(t, c.between_days(start, 60))
     stock = semi_join(t.stock_near(when).where("inv_quantity_on_hand between 100 and 500"), when, ("inv_date_sk", "d_date_sk"))
     items = t.item.where(f"i_current_price between {price} and {price + 30} and i_manufact_id in {c.sql_list(makers)}")
+    sales = semi_join(sales.select(item_key), items.select(F.col("i_item_sk").alias("wanted")), (item_key, "wanted"))
     out = semi_join(semi_join(items, stock, ("i_item_sk", "inv_item_sk"), many=True), sales, ("i_item_sk", item_key), many=True).select("i_item_id", "i_item_desc", "i_current_price").distinct()
     return top_n(out, limit, "i_item_id")
 

@@ -91,3 +91,11 @@ def test_only_returns_of_like_parties_meet_their_sales(spark):
     t = derived_tables(spark, FOLDER)
     joins = [line for line in plan(QUERIES["q85"](t, **PARAMETERS["q85"](t))).splitlines() if "Join [" in line]
     assert "wr_order_number" in joins[2] and any("wr_refunded_addr_sk" in line for line in joins[3:])
+
+
+@pytest.mark.parametrize("name", ["q37", "q82"])
+def test_sales_of_other_items_are_not_moved(spark, name):
+    from millrace.plans.tpcds import QUERIES
+    text = plan(QUERIES[name](derived_tables(spark, FOLDER)))
+    last = text[text.rindex("LeftSemi"):]  # the semi join deepest in the branch of sales, next to their lines
+    assert text.count("LeftSemi") == 5 and "l_partkey" in last and "i_manufact_id" in last and "Exchange hashpartitioning" not in last
